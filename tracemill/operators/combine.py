@@ -21,28 +21,46 @@ def _unusable(name: str) -> Column:
     return F.col(name).isNull() | (F.col(name) == "")
 
 
+def _distinct_ids(df: DataFrame, by: str) -> DataFrame:
+    """The usable ids of ``df``, once each.
+
+    Grouped by the id together with its hash: the join above then brings its own
+    exchange on the id. Grouped by the id alone, the aggregation would sit between
+    exchange and join, and adaptive execution would not split skewed partitions.
+    """
+    ids = df.filter(_usable(by)).select(by, F.crc32(F.col(by).cast("binary")).alias("id_hash"))
+    return ids.distinct().select(by)
+
+
 def exclude_ids(df: DataFrame, used: DataFrame, by: str = "id") -> DataFrame:
     """Rows of ``df`` whose id does not occur in ``used``; rows without id stay."""
-    used_ids = used.filter(_usable(by)).select(by).distinct()
-    kept = df.filter(_usable(by)).join(used_ids, by, "left_anti")
+    kept = df.filter(_usable(by)).join(_distinct_ids(used, by), by, "left_anti")
     return kept.unionByName(df.filter(_unusable(by)))
 
 
 def attach_completions(
-    problems: DataFrame, completions: DataFrame, by: str = "id"
+    problems: DataFrame,
+    completions: DataFrame,
+    by: str = "id",
+    answered: DataFrame | None = None,
+    unique: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """Pair every completion with its problem; also give the unanswered problems.
 
-    A problem is its row: copies of a row are one problem, so a copied problem
-    with many completions does not multiply them. This is a left join
-    in two parts, because a left join could not split a problem with very many
-    completions: the inner part can, and the other part has distinct ids to check
-    against. Both parts read the same exchange of the problems.
+    A problem is its row: copies of a row are one problem, so a copied problem with
+    many completions does not multiply them. ``unique`` says that there are no
+    copies and saves looking for them. ``answered`` may name a cheaper table with
+    the ids of ``completions``.
+
+    This is a left join in two parts, because a left join could not split a
+    problem with very many completions: the inner part can, and the other part only
+    has distinct ids to check against. Both parts read one exchange of the problems.
     """
-    distinct = problems.filter(_usable(by)).distinct()
-    answered = completions.filter(_usable(by))
-    pairs = distinct.join(answered, by, "inner")
-    silent = distinct.join(answered.select(by).distinct(), by, "left_anti")
+    asked = problems.filter(_usable(by))
+    asked = asked if unique else asked.distinct()
+    pairs = asked.join(completions.filter(_usable(by)), by, "inner")
+    ids = _distinct_ids(completions if answered is None else answered, by)
+    silent = asked.join(ids, by, "left_anti")
     return pairs, silent.unionByName(problems.filter(_unusable(by)))
 
 

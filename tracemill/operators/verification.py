@@ -20,39 +20,27 @@ NO_BOX = "no_box"
 MISMATCH = "mismatch"
 
 
-@dataclass(frozen=True)
-class Verified:
-    """The two outcomes of a verification, as lazy tables."""
-
-    accepted: DataFrame
-    rejected: DataFrame
-
-    def summary(self) -> DataFrame:
-        """One row: accepted and rejected rows. Unanswered problems are rejected."""
-        accepted = self.accepted.select(F.lit(True).alias("accepted"))
-        rejected = self.rejected.select(F.lit(False).alias("accepted"))
-        return accepted.unionByName(rejected).agg(
-            F.count_if("accepted").alias("accepted_rows"),
-            F.count_if(~F.col("accepted")).alias("rejected_rows"),
-        )
-
 
 def read_boxes(completions: DataFrame) -> DataFrame:
-    """Completions as ``reasoning`` with their last boxed answer.
+    """Completions as ``reasoning``, with their last boxed answer and a preview.
 
-    Done ahead of any join: it needs no problem, and what has no box need not be
-    shuffled to be accepted.
+    Done ahead of the join: what is only rejected then need not be shuffled whole.
     """
     text = F.coalesce(F.col("completion"), F.lit(""))
     read = completions.select(
         "id",
         text.alias("reasoning"),
         last_boxed(text).alias("boxed_answer"),
+        preview(text, PREVIEW_LENGTH, one_line=True).alias("preview"),
         "source_model",
     )
     return computed_once(read)
 
 
+def expected(problems: DataFrame) -> DataFrame:
+    return problems.select("id", "prompt", strip(F.col("answer")).alias("answer"))
+
+
 def is_right() -> Column:
     return same_answer(F.col("answer"), F.col("boxed_answer"), "latex_strict")
 
@@ -68,24 +56,49 @@ def rejected_fields(pairs: DataFrame) -> DataFrame:
         F.col("answer").alias("expected"),
         F.col("boxed_answer").alias("predicted"),
         reason.alias("reject_reason"),
-        preview(F.col("reasoning"), PREVIEW_LENGTH, one_line=True).alias("preview"),
+        "preview",
     )
 
 
-def verify(problems: DataFrame, completions: DataFrame) -> Verified:
+@dataclass(frozen=True)
+class Verified:
+    """Judged completions and the problems without any, as lazy tables."""
+
+    pairs: DataFrame
+    silent: DataFrame
+
+    @property
+    def accepted(self) -> DataFrame:
+        """Right completions, whole, with the problem they belong to."""
+        return accepted_fields(self.pairs)
+
+    @property
+    def rejected(self) -> DataFrame:
+        """Wrong completions and unanswered problems, with the reason."""
+        nothing = F.lit(None).cast("string")
+        unanswered = self.silent.select(
+            "id",
+            F.col("answer").alias("expected"),
+            nothing.alias("predicted"),
+            F.lit(NO_COMPLETION).alias("reject_reason"),
+            nothing.alias("preview"),
+        )
+        return rejected_fields(self.pairs).unionByName(unanswered)
+
+    def summary(self) -> DataFrame:
+        """One row: accepted and rejected rows. Unanswered problems are rejected."""
+        judged = self.pairs.select(is_right().alias("right"))
+        return judged.unionByName(self.silent.select(F.lit(False).alias("right"))).agg(
+            F.count_if("right").alias("accepted_rows"),
+            F.count_if(~F.col("right")).alias("rejected_rows"),
+        )
+
+
+def verify(problems: DataFrame, completions: DataFrame, unique: bool = False) -> Verified:
     """Judge completions ``(id, completion, source_model)`` of problems.
 
-    The accepted rows carry the whole completion as ``reasoning``. A problem
-    without any completion counts as a failed request and is rejected.
+    A problem without any completion counts as a failed request. ``unique`` says
+    that no problem occurs twice.
     """
-    asked = problems.select("id", "prompt", strip(F.col("answer")).alias("answer"))
-    pairs, silent = attach_completions(asked, read_boxes(completions))
-    nothing = F.lit(None).cast("string")
-    unanswered = silent.select(
-        "id",
-        F.col("answer").alias("expected"),
-        nothing.alias("predicted"),
-        F.lit(NO_COMPLETION).alias("reject_reason"),
-        nothing.alias("preview"),
-    )
-    return Verified(accepted_fields(pairs), rejected_fields(pairs).unionByName(unanswered))
+    read = read_boxes(completions)
+    return Verified(*attach_completions(expected(problems), read, "id", completions, unique))

@@ -8,12 +8,15 @@ failed attempt left there. So a rerun adds nothing, and a retry nothing twice.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tracemill.functions.text import strip
 from tracemill.operators.combine import attach_completions
-from tracemill.operators.verification import accepted_fields, read_boxes, rejected_fields
+from tracemill.operators.verification import (
+    accepted_fields,
+    expected,
+    read_boxes,
+    rejected_fields,
+)
 from tracemill.sources.records import (
     ACCEPTED_FIELDS,
     COMPLETION_FIELDS,
@@ -43,7 +46,7 @@ def verify_arrivals(
     known, so that a small batch is broadcast to the problems instead of
     shuffling them all.
     """
-    asked = problems.select("id", "prompt", strip(F.col("answer")).alias("answer"))
+    asked = expected(problems)
 
     def judge(batch: DataFrame, batch_id: int) -> None:
         answered = stage(read_boxes(batch), "arrivals")

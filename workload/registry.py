@@ -17,7 +17,7 @@ from tracemill.operators.ranking import seeded_key
 from tracemill.plans import recipes
 from tracemill.sources import sinks
 from tracemill.sources.records import ACCEPTED_FIELDS
-from tracemill.sources.staging import staging_path
+from tracemill.sources.staging import stage, staging_path
 from tracemill.streaming import arrivals
 from workload.derived import completions, predictions, problems, table, traces
 
@@ -227,7 +227,9 @@ def sample_strict(spark, sf):
 
 @query
 def sample_pool(spark, sf):
-    return tm.sample_exact(_pool(spark, sf).select("id", "answer"), SAMPLE_ROWS)
+    used = stage(tm.clean_traces(traces(spark, sf)).select("id"), "used")
+    pool = tm.exclude_ids(problems(spark, sf).select("id", "answer"), used)
+    return tm.sample_exact(pool, SAMPLE_ROWS)
 
 
 @query
