@@ -12,7 +12,7 @@ import unicodedata
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tracemill.functions.text import collapse, strip
+from tracemill.functions.text import collapse, strip, strip_end
 
 # The answer marker, a closed box without inner braces, a closed
 # box at the end of the text, and the LaTeX escape for a blank.
@@ -142,10 +142,14 @@ def predicted_answer(prediction: Column) -> Column:
 def cut_last_box(reasoning: Column) -> Column:
     """Drop everything from the last marker on, closed or not, and tidy the end.
 
-    Earlier boxes stay. The cut position comes from the length of the part behind
-    the last marker, so no regex runs over the text.
+    Earlier boxes stay. The cut position comes from the length of what follows the
+    last marker, in bytes: no regex runs, and no character is counted. The two
+    cases are concatenated, one of them empty, because what stands in a branch is
+    computed again for every use.
     """
     text = F.replace(strip(reasoning), F.lit(LATEX_BLANK), F.lit(" "))
     behind = F.substring_index(text, BOX_OPEN, -1)
-    before = F.left(text, F.length(text) - F.length(behind) - F.lit(len(BOX_OPEN)))
-    return strip(F.when(has_box(text), F.rtrim(before, F.lit(CUT_TRAILERS))).otherwise(text))
+    size, rest = F.octet_length(text), F.octet_length(behind)
+    before = F.left(text.cast("binary"), size - rest - F.lit(len(BOX_OPEN))).cast("string")
+    unmarked = F.when(rest == size, text).otherwise(F.lit(""))
+    return strip(F.concat(strip_end(before, CUT_TRAILERS), unmarked))

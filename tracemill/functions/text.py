@@ -22,9 +22,22 @@ WHITESPACE = (
 WHITESPACE_RUN = r"(?U)[\s\x1C-\x1F]+"
 
 
+def strip_end(text: Column, characters: str) -> Column:
+    """Drop trailing characters of a set.
+
+    Spark's ``rtrim`` walks through the whole text first. Most texts end in an
+    ordinary character, which their last byte shows at once; what is left to
+    ``rtrim`` are ends that may be in the set.
+    """
+    last_byte = F.substring(text.cast("binary"), -1, 1)
+    highest = max(char for char in characters if char.isascii()).encode()
+    ordinary = (last_byte > F.lit(highest)) & (last_byte < F.lit(b"\x80"))
+    return F.when(ordinary, text).otherwise(F.rtrim(text, F.lit(characters)))
+
+
 def strip(text: Column) -> Column:
-    """Drop whitespace at both ends; works from the ends, without a regex."""
-    return F.trim(text, F.lit(WHITESPACE))
+    """Drop whitespace at both ends, without a regex."""
+    return strip_end(F.ltrim(text, F.lit(WHITESPACE)), WHITESPACE)
 
 
 def collapse(text: Column) -> Column:
