@@ -12,7 +12,7 @@ import unicodedata
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tracemill.functions.text import collapse, strip, strip_end
+from tracemill.functions.text import collapse, strip, strip_end, strip_long
 
 # The answer marker, a closed box without inner braces, a closed
 # box at the end of the text, and the LaTeX escape for a blank.
@@ -136,7 +136,7 @@ def answers_match(expected: Column, predicted: Column, tolerance: float | None =
 
 def predicted_answer(prediction: Column) -> Column:
     """The last boxed answer if there is one, else the stripped text."""
-    return F.coalesce(last_boxed(prediction), strip(prediction))
+    return F.coalesce(last_boxed(prediction), strip_long(prediction))
 
 
 def cut_last_box(reasoning: Column) -> Column:
@@ -147,9 +147,9 @@ def cut_last_box(reasoning: Column) -> Column:
     cases are concatenated, one of them empty, because what stands in a branch is
     computed again for every use.
     """
-    text = F.replace(strip(reasoning), F.lit(LATEX_BLANK), F.lit(" "))
+    text = F.replace(strip_long(reasoning), F.lit(LATEX_BLANK), F.lit(" "))
     behind = F.substring_index(text, BOX_OPEN, -1)
     size, rest = F.octet_length(text), F.octet_length(behind)
     before = F.left(text.cast("binary"), size - rest - F.lit(len(BOX_OPEN))).cast("string")
     unmarked = F.when(rest == size, text).otherwise(F.lit(""))
-    return strip(F.concat(strip_end(before, CUT_TRAILERS), unmarked))
+    return strip_long(F.concat(strip_end(before, CUT_TRAILERS), unmarked))

@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tracemill.functions.answers import BOX_OPEN, has_box, normalize
-from tracemill.functions.text import strip
+from tracemill.functions.text import strip, strip_long
 
 # The default instruction, the sentence that introduces an answer,
 # and the ChatML turn markers.
@@ -24,7 +24,8 @@ def boxed(answer: Column) -> Column:
 
 def user_message(prompt: Column, suffix: str | None = INSTRUCTION_SUFFIX) -> Column:
     """The stripped prompt, with the instruction on a line of its own if any."""
-    return F.concat(strip(prompt), F.lit("\n" + suffix)) if suffix else strip(prompt)
+    asked = strip_long(prompt)
+    return F.concat(asked, F.lit("\n" + suffix)) if suffix else asked
 
 
 def direct_reply(answer: Column) -> Column:
@@ -42,7 +43,7 @@ def reasoned_reply(reasoning: Column, answer: Column) -> Column:
 
     Falls back to the direct reply where there is no reasoning.
     """
-    body = strip(reasoning)
+    body = strip_long(reasoning)
     closed = F.when(has_box(body), body).otherwise(
         F.concat(body, F.lit("\n\n" + ANSWER_SENTENCE), direct_reply(answer))
     )

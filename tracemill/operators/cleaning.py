@@ -13,7 +13,7 @@ from tracemill.functions.answers import (
     last_boxed,
     normalize,
 )
-from tracemill.functions.text import strip
+from tracemill.functions.text import strip_long
 from tracemill.operators.projection import computed_once
 
 CLEAN_FIELDS = ("id", "prompt", "answer", "reasoning", "boxed_answer")
@@ -35,9 +35,9 @@ def judge_traces(traces: DataFrame) -> DataFrame:
     """
     prepared = traces.select(
         "id",
-        strip(_text("prompt")).alias("prompt"),
+        strip_long(_text("prompt")).alias("prompt"),
         normalize(_text("answer"), "latex_space").alias("answer"),
-        strip(_text("reasoning")).alias("raw_reasoning"),
+        strip_long(_text("reasoning")).alias("raw_reasoning"),
     )
     extracted = prepared.select(
         "*",
@@ -64,7 +64,7 @@ def rejected_traces(traces: DataFrame) -> DataFrame:
 
 def trace_flags(traces: DataFrame, text: str = "reasoning") -> DataFrame:
     """Per trace: any box, a box at the end, a LaTeX blank."""
-    reasoning = strip(_text(text))
+    reasoning = strip_long(_text(text))
     return traces.select(
         "id",
         has_box(reasoning).alias("has_box"),

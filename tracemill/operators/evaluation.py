@@ -14,7 +14,7 @@ from tracemill.functions.answers import (
     normalize,
     to_number,
 )
-from tracemill.functions.text import strip
+from tracemill.functions.text import strip, strip_long
 from tracemill.operators.projection import computed_once
 from tracemill.operators.ranking import first_rows, order_key
 
@@ -39,7 +39,7 @@ def judge_predictions(
         last_boxed(F.col(prediction)).alias("boxed"),
     )
     filled = read.select(
-        "*", F.coalesce(F.col("boxed"), strip(F.col(prediction))).alias("predicted")
+        "*", F.coalesce(F.col("boxed"), strip_long(F.col(prediction))).alias("predicted")
     )
     compared = filled.select(
         "*", normalize(F.col("expected")).alias("_left"), normalize(F.col("predicted")).alias("_right")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import tracemill as tm
 from tracemill.functions import answers, chat
-from tracemill.functions.text import preview, strip
+from tracemill.functions.text import preview, strip_long
 from tracemill.operators import checks, evaluation
 from tracemill.operators.cleaning import trace_flags
 from tracemill.operators.combine import attach_completions, oversample
@@ -306,7 +306,7 @@ def chat_multi_turn(spark, sf):
         "conv_id", (F.col("turn") + 1).alias("turn"), F.col("text").alias("question")
     )
     replied = turns.filter(F.col("role") == "assistant").select("conv_id", "turn", "text")
-    pair = chat.messages(strip(F.col("question")), strip(F.col("text")))
+    pair = chat.messages(strip_long(F.col("question")), strip_long(F.col("text")))
     joined = asked.join(replied, ["conv_id", "turn"])
     return joined.select("conv_id", "turn", chat.render_messages(pair).alias("text"))
 
