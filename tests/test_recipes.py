@@ -55,6 +55,23 @@ def test_published_counts(full_mix):
     }
 
 
+def test_cleaning_is_counted_on_the_way(full_mix):
+    assert full_mix.cleaning == {
+        "raw_rows": 435,
+        "boxed_any": 435,
+        "boxed_at_end": 435,
+        "latex_blank": 435,
+        "clean_rows": 435,
+        "rejected_rows": 0,
+    }
+
+
+def test_ordering_needs_no_join(full_mix):
+    """Positions are only stable over stored tables."""
+    plan = full_mix.ordered._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and "Aggregate" not in plan
+
+
 def test_sound_mix_passes(full_mix):
     checks = full_mix.checks().collect()
     assert len(checks) == 6 and all(row["passed"] for row in checks)

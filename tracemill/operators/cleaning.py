@@ -51,9 +51,13 @@ def judge_traces(traces: DataFrame) -> DataFrame:
     return computed_once(extracted.select("*", reason.alias("reject_reason")))
 
 
+def sound_traces(judged: DataFrame) -> DataFrame:
+    return judged.filter(F.col("reject_reason").isNull()).select(*CLEAN_FIELDS)
+
+
 def clean_traces(traces: DataFrame) -> DataFrame:
     """The sound traces with normalized answer and the last box cut off."""
-    return judge_traces(traces).filter(F.col("reject_reason").isNull()).select(*CLEAN_FIELDS)
+    return sound_traces(judge_traces(traces))
 
 
 def rejected_traces(traces: DataFrame) -> DataFrame:
@@ -73,15 +77,20 @@ def trace_flags(traces: DataFrame, text: str = "reasoning") -> DataFrame:
     )
 
 
-def clean_report(traces: DataFrame) -> DataFrame:
-    """One row of counters over all traces."""
+def cleaning_counters() -> list[Column]:
+    """Aggregates over judged traces: a report, or metrics to observe."""
     reasoning = F.col("raw_reasoning")
     sound = F.col("reject_reason").isNull()
-    return judge_traces(traces).agg(
-        F.count("*").alias("raw_rows"),
+    return [
+        F.count(F.lit(1)).alias("raw_rows"),
         F.count_if(has_box(reasoning)).alias("boxed_any"),
         F.count_if(ends_in_box(reasoning)).alias("boxed_at_end"),
         F.count_if(has_latex_blank(reasoning)).alias("latex_blank"),
         F.count_if(sound).alias("clean_rows"),
         F.count_if(~sound).alias("rejected_rows"),
-    )
+    ]
+
+
+def clean_report(traces: DataFrame) -> DataFrame:
+    """One row of counters over all traces."""
+    return judge_traces(traces).agg(*cleaning_counters())

@@ -82,8 +82,8 @@ def shuffle_rows(
     Rows with equal keys are ordered by content. Exact copies are told apart by
     their position, or else a group of copies would be one range and one task. The
     position must not change when a lost task runs again, so rows are read from a
-    stored table: pass ``stored`` where ``df`` already is one (a file scan with at
-    most row-wise steps on top), otherwise it is written first.
+    stored table: pass ``stored`` where ``df`` already is one (file scans with only
+    row-wise steps and unions on top), otherwise it is written first.
     """
     source = df if stored else stage(df, "shuffle")
     named = source.withColumn("shuffle_key", seeded_key(seed, *keys))

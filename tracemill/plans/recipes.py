@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from functools import cached_property
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tracemill.functions import chat
@@ -18,7 +18,7 @@ from tracemill.operators.checks import (
     mix_report,
     require_checks,
 )
-from tracemill.operators.cleaning import clean_traces
+from tracemill.operators.cleaning import cleaning_counters, judge_traces, sound_traces
 from tracemill.operators.combine import exclude_ids, oversample, union_texts
 from tracemill.operators.sampling import (
     DEFAULT_SEED,
@@ -96,10 +96,12 @@ def trace_texts(clean: DataFrame, copies: int = TRACE_COPIES) -> DataFrame:
 class Mix:
     """A training mix and the tables it was made from.
 
-    ``rows`` (``origin, id, copy, text``) is stored, so reports and checks do not
-    build it again.
+    ``rows`` (``origin, id, copy, text``) renders two stored tables, the sampled
+    direct replies and the cleaned traces. ``cleaning`` holds the counters of the
+    pass that cleaned the traces.
     """
 
+    cleaning: dict[str, int]
     problems: DataFrame
     pool: DataFrame
     clean: DataFrame
@@ -136,13 +138,16 @@ def mixed_recipe(
     """Cleaned traces, oversampled, with direct replies for a sample of the rest.
 
     The cleaned traces are stored once: their ids are needed to exclude problems,
-    in every pass of the sample, and their texts for the mix.
+    in every pass of the sample, and their texts for the mix. The sample is stored
+    too, but not the mix: repeating a stored trace costs less than writing the copies.
     """
-    clean = stage(clean_traces(traces), "clean")
+    counted = Observation("cleaning")
+    judged = judge_traces(traces).observe(counted, *cleaning_counters())
+    clean = stage(sound_traces(judged), "clean")
     pool = exclude_ids(problems, clean)
-    direct = direct_texts(sample_exact(pool, direct_samples, seed))
-    rows = stage(union_texts(direct, trace_texts(clean, copies)), "mix")
-    return Mix(problems, pool, clean, rows, direct_samples, seed)
+    direct = stage(direct_texts(sample_exact(pool, direct_samples, seed)), "direct")
+    rows = union_texts(direct, trace_texts(clean, copies))
+    return Mix(counted.get, problems, pool, clean, rows, direct_samples, seed)
 
 
 @dataclass(frozen=True)
