@@ -139,6 +139,36 @@ def test_head_by_text(texts, count):
     assert Counter(found) == Counter(order[:count])
 
 
+@pytest.mark.parametrize("small", [0, 3, 4096])
+def test_cut_by_few_and_by_all_digits(numbered, monkeypatch, small):
+    """Whether a bucket is counted by more digits or by whole keys, the cut is the same."""
+    monkeypatch.setattr(ranking, "SMALL_BUCKET", small)
+    order = sorted(md5(f"3:p{i}") for i in range(5000))
+    for rank in (1, 777, 4999):
+        cut = find_cut(numbered, seeded_key(3, "id"), rank)
+        assert sum(key < cut.bound for key in order) + cut.extra == rank
+
+
+def test_a_hot_key_takes_few_passes(spark, monkeypatch):
+    """A key of a third of all rows is recognized, not followed digit by digit."""
+    number = F.col("id")
+    table = spark.range(60000).select(F.when(number % 3 == 0, -1).otherwise(number).alias("id"))
+    key = seeded_key(1, "id")
+    order = sorted(md5(f"1:{-1 if i % 3 == 0 else i}") for i in range(60000))
+    passes = []
+    collect = type(table).collect
+    monkeypatch.setattr(type(table), "collect", lambda df: passes.append(1) or collect(df))
+    cut = find_cut(table, key, order.index(md5("1:-1")) + 100)
+    assert (cut.bound, cut.extra, cut.tied) == (md5("1:-1"), 100, 20000)
+    assert len(passes) <= 4
+
+
+def test_head_of_ids_with_a_long_common_start(texts):
+    rows = [(f"problem-with-a-long-name-{i:06d}",) for i in range(1000)]
+    found = ids(head_limit(texts("id", rows), 321))
+    assert sorted(found) == [row[0] for row in rows[:321]]
+
+
 @pytest.mark.parametrize("count", [5, 21, 400])
 def test_head_by_number(spark, count):
     rng = random.Random(10)
@@ -161,8 +191,9 @@ def test_split_at_keeps_every_row(numbered):
 
 def test_first_rows_of_few_and_many_agree(numbered, monkeypatch):
     key = seeded_key(8, "id")
-    few = ids(first_rows(numbered, 20, key))
+    few = ids(first_rows(numbered, 20, key, uniform=True))
     monkeypatch.setattr(ranking, "FEW_ROWS", 0)
+    assert sorted(few) == sorted(ids(first_rows(numbered, 20, key, uniform=True)))
     assert sorted(few) == sorted(ids(first_rows(numbered, 20, key)))
 
 

@@ -5,12 +5,13 @@ fine for a handful of rows and breaks down for thousands of rows out of many
 partitions. Here the key of the wanted rank is found first: rows are counted by the
 leading digits of a hexadecimal key, then again by more digits inside the one
 bucket that holds the rank, until the cut falls between two buckets. Each pass is a
-map-side aggregation over the narrow key with at most 4096 result rows, and two or
-three passes settle billions of rows. The cut itself is then a plain filter.
+map-side aggregation over the narrow key with at most 4096 result rows, and three
+passes settle 60 billion rows. The cut itself is then a plain filter.
 """
 
 from __future__ import annotations
 
+import os.path
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
@@ -18,7 +19,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# More digits would mean fewer passes, but every task sends a count per bucket.
 DIGITS_PER_PASS = 3
+# A bucket of no more rows, or of one key, is counted by whole keys.
+SMALL_BUCKET = 16**DIGITS_PER_PASS
+WHOLE_KEY = 2**31 - 1
 # Up to this many rows Spark's own ordered limit is the better plan.
 FEW_ROWS = 20
 # Rows one task writes out when identical rows are multiplied.
@@ -66,26 +71,36 @@ class Cut:
     tied: int = 0
 
 
-def find_cut(df: DataFrame, key: Column, rank: int | Callable[[int], int]) -> Cut:
+def common_start(df: DataFrame, key: Column) -> str:
+    """The digits that all keys begin with, so that no pass is spent on them."""
+    ends = df.select(key.alias("key")).agg(F.min("key"), F.max("key")).first()
+    return os.path.commonprefix([end or "" for end in ends])
+
+
+def find_cut(
+    df: DataFrame, key: Column, rank: int | Callable[[int], int], start: str = ""
+) -> Cut:
     """Locate the cut behind the first ``rank`` rows in key order.
 
-    ``rank`` may be a function of the row count, which the first pass yields.
+    ``rank`` may be a function of the row count, which the first pass yields. All
+    keys begin with ``start``.
     """
-    keys = df.select(key.alias("key"))
-    prefix, missing = "", None
+    inside = keys = df.select(key.alias("key"))
+    digest = F.xxhash64("key")
+    width, missing = len(start) + DIGITS_PER_PASS, None
     while True:
-        width = len(prefix) + DIGITS_PER_PASS
-        inside = keys.filter(F.col("key").startswith(prefix)) if prefix else keys
-        buckets = inside.groupBy(F.substring("key", 1, width).alias("bucket")).count()
-        counts = sorted((row["bucket"], row["count"]) for row in buckets.collect())
+        buckets = inside.groupBy(F.substring("key", 1, width).alias("bucket")).agg(
+            F.count("*").alias("rows"), (F.min(digest) == F.max(digest)).alias("one_key")
+        )
+        counts = sorted(map(tuple, buckets.collect()))
         if missing is None:
-            total = sum(count for _, count in counts)
+            total = sum(count for _, count, _ in counts)
             missing = rank(total) if callable(rank) else rank
             if missing >= total:
                 return Cut(None)
             if missing <= 0:
                 return Cut("")
-        for bucket, count in counts:
+        for bucket, count, one_key in counts:
             if missing < count:
                 break
             missing -= count
@@ -93,7 +108,8 @@ def find_cut(df: DataFrame, key: Column, rank: int | Callable[[int], int]) -> Cu
             return Cut(bucket)
         if len(bucket) < width:
             return Cut(bucket, missing, count)
-        prefix = bucket
+        inside = keys.filter(F.col("key").startswith(bucket))
+        width = WHOLE_KEY if one_key or count <= SMALL_BUCKET else width + DIGITS_PER_PASS
 
 
 def _copies(identical: DataFrame, count: int) -> DataFrame:
@@ -111,7 +127,10 @@ def _copies(identical: DataFrame, count: int) -> DataFrame:
 
 
 def split_at(
-    df: DataFrame, keys: Sequence[Column], rank: int | Callable[[int], int]
+    df: DataFrame,
+    keys: Sequence[Column],
+    rank: int | Callable[[int], int],
+    start: str = "",
 ) -> tuple[DataFrame, DataFrame]:
     """The first ``rank`` rows in the order of ``keys``, and all the others.
 
@@ -120,7 +139,7 @@ def split_at(
     multiplied from one of them.
     """
     key, *further = keys
-    cut = find_cut(df, key, rank)
+    cut = find_cut(df, key, rank, start)
     if cut.bound is None:
         return df, df.filter(F.lit(False))
     head, tail = df.filter(key < cut.bound), df.filter(key >= cut.bound)
@@ -134,11 +153,15 @@ def split_at(
     return head.unionByName(first), tail.unionByName(second)
 
 
-def first_rows(df: DataFrame, count: int, key: Column) -> DataFrame:
-    """The first ``count`` rows in key order (copies and ties by content)."""
+def first_rows(df: DataFrame, count: int, key: Column, uniform: bool = False) -> DataFrame:
+    """The first ``count`` rows in key order (copies and ties by content).
+
+    ``uniform`` keys, such as hashes, are spread evenly over all digits.
+    """
     if count < 0:
         raise ValueError(f"row count must not be negative: {count}")
     if count <= FEW_ROWS:
         rest = [F.col(name) for name in df.columns]
         return df.orderBy(key, *rest).limit(count)
-    return split_at(df, [key, content_key(df)], count)[0]
+    start = "" if uniform else common_start(df, key)
+    return split_at(df, [key, content_key(df)], count, start)[0]

@@ -33,7 +33,7 @@ def sample_exact(
     The choice depends on the seed and the key columns only, not on how the table
     is partitioned.
     """
-    return first_rows(df, count, seeded_key(seed, *keys))
+    return first_rows(df, count, seeded_key(seed, *keys), uniform=True)
 
 
 def sample_strict(
