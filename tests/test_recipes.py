@@ -110,6 +110,24 @@ def test_mix_order_is_a_permutation(full_mix):
     assert all(0.08 < share < 0.22 for share in tenths)
 
 
+def test_mix_of_copied_problems_is_exact(spark):
+    """A third of all problems are one row, another third has no id."""
+    number = F.col("id").substr(2, 9).cast("int") % 3
+    table = problems(spark, 3000)
+    table = table.select(
+        F.when(number == 0, "hot").when(number == 1, F.col("id")).alias("id"),
+        F.when(number == 0, "same").otherwise(F.col("prompt")).alias("prompt"),
+        F.when(number == 0, "7").otherwise(F.col("answer")).alias("answer"),
+    )
+    for count in (150, 1700, 2900):
+        mix = mixed_recipe(table, traces(spark, 30), count)
+        report = mix.report().first()
+        assert (report["pool_rows"], report["direct_rows"]) == (2990, count)
+        found = Counter(row["text"] for row in mix.ordered.collect())
+        assert found == Counter(row["text"] for row in mix.rows.collect())
+        assert max(found.values()) <= 1000
+
+
 def test_rejected_traces_stay_in_the_pool(spark):
     wrong = traces(spark, 10).withColumn("reasoning", F.lit("so \\boxed{wrong}"))
     mix = mixed_recipe(problems(spark, 30), wrong, 100)

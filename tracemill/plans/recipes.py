@@ -140,12 +140,15 @@ def mixed_recipe(
     The cleaned traces are stored once: their ids are needed to exclude problems,
     in every pass of the sample, and their texts for the mix. The sample is stored
     too, but not the mix: repeating a stored trace costs less than writing the copies.
+    Sampled rows are scattered over all problem files, so they are brought together
+    in files of a sensible size first.
     """
     counted = Observation("cleaning")
     judged = judge_traces(traces).observe(counted, *cleaning_counters())
     clean = stage(sound_traces(judged), "clean")
     pool = exclude_ids(problems, clean)
-    direct = stage(direct_texts(sample_exact(pool, direct_samples, seed)), "direct")
+    sampled = direct_texts(sample_exact(pool, direct_samples, seed))
+    direct = stage(sampled.hint("rebalance"), "direct")
     rows = union_texts(direct, trace_texts(clean, copies))
     return Mix(counted.get, problems, pool, clean, rows, direct_samples, seed)
 
