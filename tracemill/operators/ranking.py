@@ -116,13 +116,13 @@ def _copies(identical: DataFrame, count: int) -> DataFrame:
     """``count`` rows like the given ones, which are all the same."""
     one = identical.limit(1)
     if count <= COPIES_PER_TASK:
-        return one.withColumn("copy_no", F.explode(F.array_repeat(F.lit(0), count))).drop("copy_no")
+        return one.withColumn("_copy", F.explode(F.array_repeat(F.lit(0), count))).drop("_copy")
     whole, rest = divmod(count, COPIES_PER_TASK)
-    full = one.withColumn("part_no", F.explode(F.sequence(F.lit(1), F.lit(whole))))
+    full = one.withColumn("_part", F.explode(F.sequence(F.lit(1), F.lit(whole))))
     # One row per part travels; the multiplying happens behind the shuffle.
-    full = full.repartition("part_no")
-    full = full.withColumn("copy_no", F.explode(F.array_repeat(F.lit(0), COPIES_PER_TASK)))
-    full = full.drop("part_no", "copy_no")
+    full = full.repartition("_part")
+    full = full.withColumn("_copy", F.explode(F.array_repeat(F.lit(0), COPIES_PER_TASK)))
+    full = full.drop("_part", "_copy")
     return full.unionByName(_copies(identical, rest)) if rest else full
 
 

@@ -86,9 +86,9 @@ def shuffle_rows(
     row-wise steps and unions on top), otherwise it is written first.
     """
     source = df if stored else stage(df, "shuffle")
-    named = source.withColumn("shuffle_key", seeded_key(seed, *keys))
-    named = named.withColumn("content_key", F.xxhash64(*df.columns))
-    named = named.withColumn("position", F.monotonically_increasing_id())
-    ordered = named.orderBy("shuffle_key", "content_key", "position")
-    return ordered.drop("shuffle_key", "content_key", "position")
+    named = source.withColumn("_shuffle_key", seeded_key(seed, *keys))
+    named = named.withColumn("_content_key", F.xxhash64(*df.columns))
+    named = named.withColumn("_position", F.monotonically_increasing_id())
+    ordered = named.orderBy("_shuffle_key", "_content_key", "_position")
+    return ordered.drop("_shuffle_key", "_content_key", "_position")
 

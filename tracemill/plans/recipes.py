@@ -221,4 +221,8 @@ def build_dataset(
     asked = [recipe.prompt_field, recipe.answer_field, recipe.reasoning_field]
     fields = dict.fromkeys((*TRACE_FIELDS, *(name for name in asked if name)))
     records = load_records(spark, recipe.path, tuple(fields))
+    repeated = recipe.rows_wanted(max_samples, dry_run) is not None or recipe.val_ratio > 0
+    if repeated and not recipe.path.rstrip("/").lower().endswith(".parquet"):
+        # Sampling and splitting pass over the keys several times: parse the text once.
+        records = stage(records, "records")
     return format_dataset(records, recipe, max_samples, dry_run, keep)
