@@ -2,7 +2,7 @@
 
 BENCH_SF_DIR names the test data (default /root/testdata/sf0.1), BENCH_CPUS the
 local cores (default 8). Every query runs completely into a sink that discards the
-rows; the best of BENCH_RUNS (default 2) timings counts.
+rows; the best of BENCH_RUNS (default 3) timings counts.
 """
 
 from __future__ import annotations
@@ -51,7 +51,7 @@ def timed(run, repeats: int) -> float:
 
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
-    repeats = int(os.environ.get("BENCH_RUNS", "2"))
+    repeats = int(os.environ.get("BENCH_RUNS", "3"))
     spark = local_session(int(os.environ.get("BENCH_CPUS", "8")))
     spark.sparkContext.setLogLevel("ERROR")
     # The first job pays for starting up, which belongs to no query.
