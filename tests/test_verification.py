@@ -77,6 +77,21 @@ def test_unique_problems_need_no_search_for_copies(texts):
     assert "Aggregate" not in plan
 
 
+def test_stored_completions_give_the_same_and_are_read_in_part(texts, verified):
+    problems = texts("id prompt answer", PROBLEMS)
+    completions = texts("id completion source_model", COMPLETIONS)
+    stored = verify(problems, completions, store=True)
+    for outcome in ("accepted", "rejected"):
+        left, right = getattr(stored, outcome), getattr(verified, outcome)
+        assert sorted(map(tuple, left.collect()), key=repr) == sorted(
+            map(tuple, right.collect()), key=repr
+        )
+    assert stored.summary().first() == verified.summary().first()
+    plan = stored.summary()._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<id:string,boxed_answer:string>" in plan
+    assert "regexp_extract_all" not in plan
+
+
 def test_requests(texts):
     problems = texts("id prompt", [("a", 'say "é"\n\\x')])
     row = request_rows(problems).first()

@@ -12,6 +12,7 @@ from tracemill.functions.text import preview, strip
 from tracemill.operators.combine import attach_completions
 from tracemill.operators.projection import computed_once
 from tracemill.sources.records import ACCEPTED_FIELDS
+from tracemill.sources.staging import stage
 
 PREVIEW_LENGTH = 300
 
@@ -94,11 +95,20 @@ class Verified:
         )
 
 
-def verify(problems: DataFrame, completions: DataFrame, unique: bool = False) -> Verified:
+def verify(
+    problems: DataFrame,
+    completions: DataFrame,
+    unique: bool = False,
+    store: bool = False,
+) -> Verified:
     """Judge completions ``(id, completion, source_model)`` of problems.
 
     A problem without any completion counts as a failed request. ``unique`` says
-    that no problem occurs twice.
+    that no problem occurs twice. ``store`` keeps what was read from the completions
+    as a table, which pays where more than one outcome is used: the completions are
+    searched for boxes once, and each outcome reads only the columns it needs.
     """
-    read = read_boxes(completions)
-    return Verified(*attach_completions(expected(problems), read, "id", completions, unique))
+    read, ids = read_boxes(completions), completions
+    if store:
+        read = ids = stage(read, "boxes")
+    return Verified(*attach_completions(expected(problems), read, "id", ids, unique))

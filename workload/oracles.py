@@ -336,6 +336,10 @@ ORACLES: dict[str, str] = {
         "select count(*) filter (where ok) as accepted_rows, "
         "count(*) filter (where not ok) as rejected_rows from verdicts"
     ),
+    "verify_stored": on_pairs(
+        "select id, case when ok then 'accepted' when not answered then 'no_completion' "
+        "when boxed_answer is null then 'no_box' else 'mismatch' end as outcome from verdicts"
+    ),
     "attached": on_pairs(
         "select id, answer, reasoning as completion, source_model from pairs"
     ),

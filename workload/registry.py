@@ -176,6 +176,15 @@ def verify_summary(spark, sf):
     return _verified(spark, sf).summary()
 
 
+@query
+def verify_stored(spark, sf):
+    """Both outcomes in short form from completions read once."""
+    verified = tm.verify(problems(spark, sf), completions(spark, sf), unique=True, store=True)
+    right = verified.accepted.select("id", F.lit("accepted").alias("outcome"))
+    wrong = verified.rejected.select("id", F.col("reject_reason").alias("outcome"))
+    return right.unionByName(wrong)
+
+
 @query
 def attached(spark, sf):
     """The left join of problems and completions as one table."""
