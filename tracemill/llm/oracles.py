@@ -33,12 +33,12 @@ ORACLES["op5_quality_rules"] = r"""
 with read as (
   select row_number() over () as line, doc_id, lang, source, coalesce(text, '') as body from documents
 ), worded as (
-  select *, list_filter(regexp_split_to_array(body, '[\x20\x09-\x0D]+'), w -> w <> '') as words,
-         list_filter(string_split(body, chr(10)), l -> regexp_matches(l, '[^\x20\x09-\x0D]')) as lines
+  select *, list_filter(regexp_split_to_array(body, '[\x20\x09-\x0D]+'), lambda w: w <> '') as words,
+         list_filter(string_split(body, chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) as lines
   from read
 ), grams as (
   select line, unnest(range(1, len(words) - 1)) as pos,
-         unnest(list_transform(range(1, len(words) - 1), i -> words[i:i + 2])) as gram
+         unnest(list_transform(range(1, len(words) - 1), lambda i: words[i:i + 2])) as gram
   from worded where len(words) >= 3
 ), again as (
   select line, pos from grams

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracemill.llm import quality_rules, slots, url_rules
+from tracemill.llm import bpe, quality_rules, rule_ensemble, secrets, slots, url_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,6 +21,14 @@ URL_RULES = (
 )
 SHARDS = 8
 
+
+def tokenizer(name: str) -> str:
+    """The file of a public tokenizer, by the package that holds them."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 QUERIES: dict[str, Query] = {}
 
 
@@ -39,6 +47,12 @@ def op1_url_rules(spark, sf_dir):
     return url_rules.judge_urls(table(spark, sf_dir, "pages"), rules)
 
 
+@query
+def op2_rule_ensemble(spark, sf_dir):
+    docs, labels = (table(spark, sf_dir, name) for name in ("documents", "labels"))
+    return rule_ensemble.score_quality(docs, labels)
+
+
 @query
 def op3_virtual_slots(spark, sf_dir):
     sharded = slots.shard_records(table(spark, sf_dir, "documents"), SHARDS)
@@ -68,3 +82,14 @@ def op5_quality_rules(spark, sf_dir):
         "base_failed",
         "kept",
     )
+
+
+@query
+def op9_secrets(spark, sf_dir):
+    return secrets.scan_secrets(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_forced_boundaries(spark, sf_dir):
+    documents = table(spark, sf_dir, "documents")
+    return bpe.encode_texts(documents, tokenizer("word_bpe_49k.json"))
