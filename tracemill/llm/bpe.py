@@ -111,7 +111,7 @@ class Merges:
         return [s for s in symbols if s]
 
 
-def _byte_alphabet() -> dict[int, str]:
+def byte_alphabet() -> dict[int, str]:
     """What the byte-level alphabet shows each byte as: itself if printable, else a
     character from 256 on, in the order of the bytes."""
     shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -148,7 +148,7 @@ class Encoder:
         self.special = {t["content"]: t["id"] for t in described["added_tokens"]}
         marks = "|".join(map(re.escape, sorted(self.special, key=len, reverse=True)))
         self.marks = re.compile(f"({marks})") if marks else None
-        self.bytes_shown = dict(_byte_alphabet())
+        self.bytes_shown = dict(byte_alphabet())
         steps = described["pre_tokenizer"].get("pretokenizers") or [{}]
         normal = [n["type"] for n in (described["normalizer"] or {}).get("normalizers", [])]
         pattern = steps[0].get("pattern", {}).get("Regex")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracemill.llm import bpe, quality_rules, rule_ensemble, secrets, slots, url_rules
+from tracemill.llm import bpe, packing, quality_rules, rule_ensemble, secrets, slots, url_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -93,3 +93,9 @@ def op9_secrets(spark, sf_dir):
 def op10_forced_boundaries(spark, sf_dir):
     documents = table(spark, sf_dir, "documents")
     return bpe.encode_texts(documents, tokenizer("word_bpe_49k.json"))
+
+
+@query
+def op6_configuration_packing(spark, sf_dir):
+    documents = table(spark, sf_dir, "documents")
+    return packing.pack_documents(documents, tokenizer("byte_bpe_50k.json"))
