@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracemill.llm import bpe, packing, quality_rules, rule_ensemble, secrets, slots, url_rules
+from tracemill.llm import bpe, near_dedup, packing, quality_rules, rule_ensemble, secrets, slots, url_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -99,3 +99,8 @@ def op10_forced_boundaries(spark, sf_dir):
 def op6_configuration_packing(spark, sf_dir):
     documents = table(spark, sf_dir, "documents")
     return packing.pack_documents(documents, tokenizer("byte_bpe_50k.json"))
+
+
+@query
+def op4_bottom_k_near_dedup(spark, sf_dir):
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
