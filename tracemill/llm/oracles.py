@@ -109,3 +109,41 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 from measured m left join bounds b
   on m.lang is not distinct from b.lang and m.source is not distinct from b.source
 """
+
+ORACLES["op8_line_dedup"] = r"""
+with lines as (
+  select doc_id, generate_subscripts(string_split(text, chr(10)), 1) as line,
+         unnest(string_split(text, chr(10))) as body
+  from documents
+), worded as (
+  select doc_id, line, body,
+         list_filter(regexp_split_to_array(body, '[\x20\x09-\x0D]+'), lambda w: w <> '') as words
+  from lines
+), counted as (
+  select *, len(words) >= 5 as judged,
+         row_number() over (partition by words order by doc_id, line) as nth from worded
+), firsts as (
+  select words, len(words) as n, doc_id, line, row_number() over (order by doc_id, line) as pos
+  from counted where judged and nth = 1
+), variants as (
+  select words, n, pos, unnest(range(1, n + 1)) as place,
+         unnest(list_transform(range(1, n + 1), lambda i: words[1:i - 1] || words[i + 1:n])) as rest
+  from firsts
+), replaced as (
+  select words from variants qualify pos > min(pos) over (partition by rest, place, n)
+), shorter as (
+  select f.words, f.pos, v.pos as other, v.words as longer from firsts f join variants v on f.words = v.rest
+), near as (
+  select words from replaced
+  union select words from shorter where other < pos
+  union select longer from shorter where pos < other
+), verdicts as (
+  select c.*, judged and nth > 1 as exact, judged and nth = 1 and near.words is not null as close
+  from counted c left join near on c.words = near.words
+)
+select d.doc_id, count(v.line) as n_lines, count(*) filter (exact) as n_exact,
+       count(*) filter (close) as n_near,
+       case when count(*) filter (exact or close) = 0 then any_value(d.text)
+            else coalesce(string_agg(body, chr(10) order by line) filter (not (exact or close)), '') end as text
+from documents d left join verdicts v on d.doc_id = v.doc_id group by d.doc_id
+"""

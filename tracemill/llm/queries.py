@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracemill.llm import bpe, near_dedup, packing, quality_rules, rule_ensemble, secrets, slots, url_rules
+from tracemill.llm import bpe, fingerprints, line_dedup, near_dedup, packing, quality_rules, rule_ensemble, secrets, slots, url_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -104,3 +104,14 @@ def op6_configuration_packing(spark, sf_dir):
 @query
 def op4_bottom_k_near_dedup(spark, sf_dir):
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op8_line_dedup(spark, sf_dir):
+    """Every document without the lines that repeat earlier ones."""
+    return line_dedup.line_report(table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_bottom_k_fingerprints(spark, sf_dir):
+    return fingerprints.compare_with_next(table(spark, sf_dir, "documents"))

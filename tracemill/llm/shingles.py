@@ -36,6 +36,16 @@ def word_hashes(text: str) -> np.ndarray:
     return np.fromiter((known[w] for w in words), dtype=np.uint64, count=len(words))
 
 
+def finish_hash(values: np.ndarray) -> np.ndarray:
+    """Spread 64-bit values over the whole range, one to one."""
+    mixed = values ^ (values >> np.uint64(30))
+    mixed = mixed * _MIX[0]
+    mixed ^= mixed >> np.uint64(27)
+    mixed *= _MIX[1]
+    mixed ^= mixed >> np.uint64(31)
+    return mixed
+
+
 def shingle_set(text: str | None, size: int = SHINGLE_WORDS) -> np.ndarray:
     """The sorted distinct hashes of all runs of ``size`` words.
 
@@ -50,12 +60,7 @@ def shingle_set(text: str | None, size: int = SHINGLE_WORDS) -> np.ndarray:
     mixed = np.zeros(runs, dtype=np.uint64)
     for step in range(size):
         mixed = mixed * _FACTOR + hashes[step : step + runs]
-    mixed ^= mixed >> np.uint64(30)
-    mixed *= _MIX[0]
-    mixed ^= mixed >> np.uint64(27)
-    mixed *= _MIX[1]
-    mixed ^= mixed >> np.uint64(31)
-    return np.unique(mixed)
+    return np.unique(finish_hash(mixed))
 
 
 def set_digest(shingles: np.ndarray) -> bytes:
