@@ -1,27 +1,67 @@
-"""A training corpus from raw documents, stage by stage."""
+"""A training corpus from raw documents, stage by stage.
+
+Every stage takes what the one before it kept, and all but the last hand on the columns of
+the documents. A stage's result is stored before the next one reads it.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tracemill.llm import quality_rules
+from tracemill.llm import line_dedup, near_dedup, packing, quality_rules, secrets
+from tracemill.llm.queries import tokenizer
+from tracemill.llm.verdicts import keep_rows
 from tracemill.sources.staging import stage
 
 
-def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def _sized(docs: DataFrame) -> DataFrame:
+    """``n_chars`` of the text as it is now, where documents carry it."""
+    if "n_chars" not in docs.columns:
+        return docs
+    kind = docs.schema["n_chars"].dataType
+    size = F.coalesce(F.length("text"), F.col("n_chars")).cast(kind)
+    return docs.withColumn("n_chars", size)
+
+
+def judge_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the quality rules; the others go."""
-    good = quality_rules.judge_quality(docs).filter("kept").select("doc_id")
-    return docs.join(good, "doc_id", "left_semi")
+    return keep_rows(docs, quality_rules.judge_quality(docs))
+
+
+def cut_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without lines that repeat earlier ones; those left empty go."""
+    return _sized(line_dedup.dedup_lines(docs))
+
+
+def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates."""
+    return keep_rows(docs, near_dedup.near_duplicates(docs))
+
+
+def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with a mark in place of every secret."""
+    return _sized(secrets.redact_secrets(docs))
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents and their places in the training sequences."""
+    return packing.pack_documents(docs, tokenizer("byte_bpe_50k.json"))
 
 
 STAGES = [
-    ("quality_rules", keep_good),
+    ("quality_rules", judge_quality),
+    ("line_dedup", cut_lines),
+    ("near_dedup", drop_copies),
+    ("secret_scans", mask_secrets),
+    ("best_fit_packing", pack),
 ]
-# Tokens and packing cannot be said in SQL.
+# SQL can express neither learned formats nor tokens.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages, one after the other, over the documents of ``sf_dir``."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     *first, (_, last) = STAGES
     for name, step in first:

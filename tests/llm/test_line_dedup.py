@@ -1,0 +1,99 @@
+import random
+
+import numpy as np
+import pytest
+
+from tracemill.llm.line_dedup import dedup_lines, half_keys, line_report, variant_keys, within_one
+
+
+def edit_distance(one, other):
+    row = list(range(len(other) + 1))
+    for i, a in enumerate(one, 1):
+        last, row[0] = row[0], i
+        for j, b in enumerate(other, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (a != b))
+    return row[-1]
+
+
+def plain_report(rows, least=5):
+    """Every line against all earlier ones."""
+    lines = []
+    for doc, text in sorted((r for r in rows if r[1] is not None), key=lambda r: r[0]):
+        for number, line in enumerate(text.split("\n")):
+            words = line.encode().split()
+            earlier = [w for w, _ in lines if len(w) >= least]
+            verdict = None
+            if len(words) >= least:
+                if words in earlier:
+                    verdict = "exact"
+                elif any(edit_distance(words, w) <= 1 for w in earlier):
+                    verdict = "near"
+            lines.append((words, (doc, line, verdict)))
+    report = {doc: (0, 0, 0, text) for doc, text in rows}
+    for doc, _ in rows:
+        own = [entry for _, entry in lines if entry[0] == doc]
+        if own:
+            lost = [v for *_, v in own]
+            left = "\n".join(line for _, line, v in own if v is None)
+            report[doc] = (len(own), lost.count("exact"), lost.count("near"), left)
+    return report
+
+
+def test_like_brute_force(spark):
+    pick = random.Random(11)
+    words = [f"w{i}" for i in range(6)]
+    lines = [" ".join(pick.choice(words) for _ in range(pick.randint(1, 9))) for _ in range(30)]
+    long = [f"v{i}" for i in range(40)]
+    for _ in range(60):
+        line = pick.choice(lines + [" ".join(long)] * 8).split()
+        for _ in range(pick.randint(0, 2)):
+            at = pick.randrange(len(line) + 1)
+            kind = pick.randrange(3)
+            line[at : at + (kind > 0)] = [pick.choice(words)] if kind < 2 else []
+        lines.append("  ".join(line) if pick.random() < 0.2 else " ".join(line))
+    pick.shuffle(lines)
+    rows = [(i, "\n".join(lines[i * 3 : i * 3 + 3])) for i in range(30)] + [(40, None), (41, ""), (42, "\n\n")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: (r.n_lines, r.n_exact, r.n_near, r.text) for r in line_report(docs).collect()}
+    expected = plain_report(rows)
+    assert found == expected
+    assert sum(r[2] for r in expected.values()) > 10
+
+
+def test_distance_and_keys():
+    pick = random.Random(1)
+    some = [[pick.choice("abc").encode() for _ in range(pick.randint(1, 7))] for _ in range(150)]
+    for one in some:
+        for other in some:
+            near = edit_distance(one, other) <= 1
+            assert within_one(one, other) == near
+            if len(one) < 5 or len(other) < 5 or one == other:
+                continue
+            keys = [dict(zip(*(a.tolist() for a in variant_keys(w)))) for w in (one, other)]
+            met = {(keys[0][k], keys[1][k]) for k in keys[0].keys() & keys[1].keys()}
+            assert near == bool(met & {(0, 0), (1, 2), (2, 1)})
+            if near:
+                assert set(half_keys(one)) & set(half_keys(other))
+
+
+def test_odd_rows(spark, odd_documents, no_documents):
+    report = line_report(odd_documents).collect()
+    assert len(report) == odd_documents.count()
+    by = {r.doc_id: r for r in report}
+    assert (by[0].n_lines, by[0].text) == (0, None) and (by[1].n_lines, by[1].text) == (1, "")
+    assert by[5].n_exact == 0 and by[6].n_exact == 1 and by[6].text == ""
+    twice = [r for r in report if r.doc_id == 50]
+    assert len(twice) == 2 and all(r.n_exact == 0 for r in twice)
+    left = dedup_lines(odd_documents)
+    assert left.columns == odd_documents.columns and left.count() == odd_documents.count() - 1
+    assert line_report(no_documents).collect() == []
+    with pytest.raises(ValueError):
+        line_report(odd_documents, least_words=2).collect()
+
+
+def test_a_very_common_line(spark):
+    rows = [(i, f"a line that everybody has\nand one that only {i} has here") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = {r.doc_id: r.text for r in line_report(docs).collect()}
+    assert kept[0] == rows[0][1] and all(text == "" for doc, text in kept.items() if doc)
+    assert np.mean([text == "" for text in kept.values()]) > 0.99

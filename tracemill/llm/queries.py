@@ -103,7 +103,8 @@ def op6_configuration_packing(spark, sf_dir):
 
 @query
 def op4_bottom_k_near_dedup(spark, sf_dir):
-    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+    found = near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
 @query
