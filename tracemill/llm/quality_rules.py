@@ -121,7 +121,7 @@ def fails_base() -> Column:
 
 
 def _rate(part: str, whole: str, scale: int) -> Column:
-    return F.coalesce(F.expr(f"{scale} * {part} div {whole}"), F.lit(0).cast("long"))
+    return F.coalesce(F.expr(f"{scale} * {part} div nullif({whole}, 0)"), F.lit(0).cast("long"))
 
 
 def metric_columns() -> dict[str, Column]:
@@ -212,14 +212,16 @@ def inside_fences() -> Column:
 
 
 def judge_quality(docs: DataFrame, text: str = "text", least_texts: int = LEAST_TEXTS) -> DataFrame:
-    """Every document's counts, metrics, ``base_failed`` and ``kept``.
+    """Every document's ``text_hash``, counts, metrics, ``base_failed`` and ``kept``.
 
     ``docs`` has ``doc_id, lang, source`` and the text; other columns are not looked
     at. A null or empty text has no words and fails. Null languages and sources
     are groups of their own. Copies are judged alike, each row once. Sketches are
     made of the texts that pass the base rules.
     """
-    counted = text_counts(docs.select("doc_id", "lang", "source", F.col(text).alias("_whole")), "_whole")
+    whole = F.col(text)
+    narrow = docs.select("doc_id", "lang", "source", F.xxhash64(whole).alias("text_hash"), whole.alias("_whole"))
+    counted = text_counts(narrow, "_whole")
     metrics = [column.alias(name) for name, column in metric_columns().items()]
     measured = stage(counted.select("*", *metrics, fails_base().alias("base_failed")), "quality-counts")
     groups = ("lang", "source")
