@@ -30,7 +30,7 @@ HEADLINE = (
     "shuffle_order",
     "text_reasoned",
     "request_rows",
-    "chat_multi_turn",
+    "chat_turns",
     "baseline_recipe",
     "trace_recipe",
     "mixed_recipe",

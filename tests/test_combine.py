@@ -5,9 +5,11 @@ from pyspark.sql import functions as F
 
 from tracemill.operators.combine import (
     attach_completions,
+    check_repeats,
     exclude_ids,
     oversample,
     union_texts,
+    unknown_completions,
 )
 
 
@@ -74,27 +76,32 @@ def test_attaching_splits_a_hot_completion(spark, small_partitions):
 
 
 def test_attach_pairs_and_leftovers(texts):
-    problems = texts("id prompt", [("a", "1"), ("b", "2"), (None, "3"), ("", "4"), ("a", "1")])
+    problems = texts("id prompt", [("a", "1"), ("b", "2"), (None, "3"), ("", "4")])
     completions = texts("id completion", [("a", "x"), ("a", "y"), ("z", "q"), (None, "n"), ("", "e")])
     pairs, silent = attach_completions(problems, completions)
     assert sorted(map(tuple, pairs.select("id", "completion").collect())) == [("a", "x"), ("a", "y")]
     assert sorted(row["prompt"] for row in silent.collect()) == ["2", "3", "4"]
 
 
-def test_attach_does_not_multiply_copies(texts):
-    """A third of all problems are one row, and so are the completions' ids."""
+def test_every_copy_of_a_problem_counts(texts):
     problems = texts("id prompt", [("hot", "1")] * 500 + [(f"p{i}", "2") for i in range(1000)])
-    completions = texts("id completion", [("hot", f"c{i}") for i in range(500)])
-    pairs, silent = attach_completions(problems, completions)
-    assert pairs.count() == 500
-    assert silent.count() == 1000
+    pairs, silent = attach_completions(problems, texts("id completion", [("hot", "c"), ("p1", "d")]))
+    assert pairs.count() == 501
+    assert silent.count() == 999
+
+
+def test_ids_repeated_on_both_sides_are_refused(texts):
+    problems = texts("id prompt", [("hot", "1")] * 2 + [("a", "2"), (None, "3"), (None, "4")])
+    check_repeats(problems, texts("id completion", [("a", "x"), ("a", "y"), ("hot", "z"), (None, "n"), (None, "n")]))
+    with pytest.raises(ValueError, match="hot"):
+        check_repeats(problems, texts("id completion", [("hot", "x"), ("hot", "y")]))
 
 
-def test_attach_reads_the_problems_once(spark, small_partitions):
-    problems = hot(spark, 3000, "p1", "prompt")
-    pairs, silent = attach_completions(problems, hot(spark, 3000, "p1", "completion"))
-    plan = executed(pairs.select("id").unionByName(silent.select("id")))
-    assert "ReusedExchange" in plan
+def test_completions_of_no_problem(texts):
+    problems = texts("id prompt", [("a", "1"), (None, "2")])
+    completions = texts("id completion", [("a", "x"), ("z", "y"), (None, "n"), ("", "e")])
+    found = unknown_completions(problems, completions).select("completion").collect()
+    assert sorted(row["completion"] for row in found) == ["e", "n", "y"]
 
 
 @pytest.mark.parametrize("times", [0, 1, 2, 5])

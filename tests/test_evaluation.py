@@ -29,12 +29,32 @@ def test_matches(texts, tolerance, matched):
 def test_summary_and_misses(texts):
     result = evaluate(texts("id answer prediction", ROWS), tolerance=0.01, misses=2)
     assert tuple(result.summary.first()) == (9, 5, 5 / 9)
-    assert [tuple(row) for row in result.misses.collect()] == [
+    assert sorted(map(tuple, result.misses.collect())) == [
         ("4", "7", None, None),
         ("5", "7", "", None),
     ]
 
 
+def test_no_id(texts):
+    rows = [row[1:] for row in ROWS]
+    result = evaluate(texts("answer prediction", rows), tolerance=0.01, misses=3)
+    assert tuple(result.summary.first()) == (9, 5, 5 / 9)
+    assert result.misses.count() == 3
+
+
+def test_nothing_runs_or_is_read_before_it_is_needed(texts, spark, tmp_path):
+    path = str(tmp_path / "predictions")
+    texts("id answer prediction", ROWS).selectExpr("*", "answer as meta").write.parquet(path)
+    predictions = spark.read.parquet(path)
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("evaluate", "evaluate")
+    result = evaluate(predictions, misses=100)
+    summary = result.summary
+    assert not tracker.getJobIdsForGroup("evaluate")
+    plan = summary._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<answer:string,prediction:string>" in plan
+
+
 def test_field_names(texts):
     result = evaluate(texts("key truth guess", [("1", "7", "7")]), "truth", "guess", by="key")
     assert result.summary.first()["matched"] == 1

@@ -189,14 +189,50 @@ def test_split_at_keeps_every_row(numbered):
     assert tail.count() == 5000 - 1234
 
 
-def test_first_rows_of_few_and_many_agree(numbered, monkeypatch):
+def test_first_rows_with_and_without_a_uniform_key_agree(numbered):
     key = seeded_key(8, "id")
     few = ids(first_rows(numbered, 20, key, uniform=True))
-    monkeypatch.setattr(ranking, "FEW_ROWS", 0)
-    assert sorted(few) == sorted(ids(first_rows(numbered, 20, key, uniform=True)))
     assert sorted(few) == sorted(ids(first_rows(numbered, 20, key)))
 
 
+def test_fewer_rows_are_among_more_where_all_keys_tie(texts):
+    rows = [("same", f"text {i}") for i in range(60)]
+    table = texts("id prompt", rows)
+    samples = [{row["prompt"] for row in sample_exact(table, n).collect()} for n in range(18, 24)]
+    assert [len(s) for s in samples] == list(range(18, 24))
+    assert all(few < more for few, more in zip(samples, samples[1:]))
+
+
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz"])
+def test_rows_a_microsecond_apart_are_no_copies(spark, kind):
+    made = F.timestamp_micros(F.col("id") + 10**15).cast(kind).alias("at")
+    table = spark.range(60).select(F.lit("same").alias("id"), made)
+    assert sample_exact(table, 30).distinct().count() == 30
+    train, test = split_train_test(table, 0.5)
+    assert train.unionByName(test).distinct().count() == 60
+
+
+def test_columns_that_cannot_be_told_apart_are_refused(spark):
+    table = spark.range(30).select("id", F.create_map(F.lit("a"), F.col("id")).alias("m"))
+    with pytest.raises(TypeError, match="m: map"):
+        sample_exact(table, 3)
+
+
+def test_long_starts_take_few_passes(texts, monkeypatch):
+    """Two groups of ids, one with a long start of its own."""
+    start = "https://a-very-long-host-name.example.org/with/a/long/path/"
+    rows = [(f"{start}{i:06d}",) for i in range(6000)] + [(f"a{i:06d}",) for i in range(4000)]
+    table = texts("id", rows)
+    looks = []
+    for name in ("collect", "first"):
+        plain = getattr(type(table), name)
+        monkeypatch.setattr(type(table), name, lambda df, plain=plain: looks.append(1) or plain(df))
+    found = head_limit(table, 7000)
+    assert len(looks) <= 12
+    monkeypatch.undo()
+    assert sorted(ids(found)) == sorted(row[0] for row in rows)[:7000]
+
+
 def test_shuffle_is_a_seeded_order(texts):
     rows = [(f"p{i}", "own") for i in range(500)]
     shuffled = ids(shuffle_rows(texts("id prompt", rows), seed=4))

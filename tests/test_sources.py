@@ -5,7 +5,7 @@ import json
 import pytest
 
 from tracemill.sources import sinks, staging
-from tracemill.sources.records import load_records, read_json_lines, with_id
+from tracemill.sources.records import load_records, read_csv, read_json_lines, with_id
 
 CSV = (
     'id,prompt,answer\n000666,"line one\nsays ""hi"", then\n\nline four",00110100\n'
@@ -46,7 +46,7 @@ def test_json_lines(spark, tmp_path, suffix):
     path.write_text("\n".join(lines), encoding="utf-8")
     found = load_records(spark, str(path)).collect()
     assert sorted(map(tuple, found), key=repr) == sorted(
-        [("1", "é\n", "007", None), ("2", None, "1.10", None), (None, None, "true", None)], key=repr
+        [("007", "1", "é\n", None), ("1.10", "2", None, None), ("true", None, None, None)], key=repr
     )
 
 
@@ -56,6 +56,28 @@ def test_json_fields_are_a_choice(spark, tmp_path):
     assert rows(found) == [("1", "2")]
 
 
+def test_json_lines_bring_all_their_fields(spark, tmp_path):
+    (tmp_path / "t.jsonl").write_text('{"prediction": "p", "n": 1.50}\n{"meta": {"a": [1, 2.0]}}\n')
+    found = load_records(spark, str(tmp_path / "t.jsonl"))
+    assert found.dtypes == [("meta", "string"), ("n", "string"), ("prediction", "string")]
+    assert sorted(map(tuple, found.collect()), key=repr) == [
+        ('{"a": [1, 2.0]}', None, None), (None, "1.50", "p")]
+
+
+def test_another_order_of_csv_columns_stops_the_read(spark, tmp_path):
+    folder = tmp_path / "t.csv"
+    folder.mkdir()
+    (folder / "1.csv").write_text("id,prompt,answer\n1,p,a\n")
+    (folder / "2.csv").write_text("id,answer,prompt\n2,a,p\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        load_records(spark, str(folder)).collect()
+
+
+def test_plain_csv_can_be_split(spark, tmp_path):
+    (tmp_path / "t.csv").write_text("id,prompt\n1,x\n2,\n")
+    assert rows(read_csv(spark, str(tmp_path / "t.csv"), multi_line=False)) == [("1", "x"), ("2", "")]
+
+
 def test_a_bad_line_stops_the_read(spark, tmp_path):
     (tmp_path / "t.jsonl").write_text('{"id": "1"}\n{"id": \n')
     with pytest.raises(Exception, match="(?i)malformed|failfast"):
@@ -83,6 +105,8 @@ def test_ids_are_derived_where_missing(texts):
     assert len(set(found)) == 2 and all(len(i) == 32 for i in found)
     partly = texts("id prompt answer", [("x", "p", "a"), (None, "p", "a")])
     assert {row["id"] for row in with_id(partly).collect()} == {"x", found[0]}
+    odd = texts("id prompt answer", [("", "p", "a"), (None, None, "a"), ("", "a", None)])
+    assert len({row["id"] for row in with_id(odd).collect()} - {""}) == 3
 
 
 def test_append_and_replace(texts, spark, tmp_path):
@@ -116,6 +140,8 @@ def test_training_text_sink(texts, spark, tmp_path):
     assert rows(load_records(spark, path)) == [("x",)]
     with pytest.raises(Exception, match="(?i)already exists"):
         sinks.write_training_text(texts("id text", [("1", "x")]), path)
+    with pytest.raises(Exception, match="no text"):
+        sinks.write_training_text(texts("id text", [("1", None)]), str(tmp_path / "other.parquet"))
 
 
 def test_staged_tables_are_stored_and_still_prune_columns(texts, spark):

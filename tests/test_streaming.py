@@ -37,3 +37,24 @@ def test_rerun_adds_nothing_and_a_new_file_only_its_rows(texts, spark, tmp_path)
     assert accepted == [("a", "so \\boxed{7}"), ("b", r"\boxed{x\ y}"), ("b", r"again \boxed{x y}")]
     assert rejected == [("a", "mismatch"), ("b", "no_box")]
     assert run() == (accepted, rejected)
+
+
+def test_another_checkpoint_does_not_overwrite(texts, spark, tmp_path):
+    problems = texts("id prompt answer", [("a", "ask", "7"), ("b", "ask", "8")])
+    output = str(tmp_path / "out")
+    for name, answer in (("a", 7), ("b", 8)):
+        folder = tmp_path / f"in-{name}"
+        put(folder, "1.json", (name, f"\\boxed{{{answer}}}"))
+        arriving = watch_completions(spark, str(folder))
+        verify_arrivals(problems, arriving, output, str(tmp_path / f"state-{name}")).awaitTermination()
+    assert sorted(row["id"] for row in read_accepted(spark, output).collect()) == ["a", "b"]
+
+
+def test_no_input_gives_no_rows(texts, spark, tmp_path):
+    problems = texts("id prompt answer", [("a", "ask", "7")])
+    (tmp_path / "in").mkdir()
+    arriving = watch_completions(spark, str(tmp_path / "in"))
+    output = str(tmp_path / "out")
+    verify_arrivals(problems, arriving, output, str(tmp_path / "state")).awaitTermination()
+    assert read_accepted(spark, output).collect() == read_rejected(spark, output).collect() == []
+    assert "reasoning" in read_accepted(spark, output).columns

@@ -1,6 +1,7 @@
 """Verification of completions, and the request rows."""
 
 import json
+from pathlib import Path
 
 import pytest
 
@@ -10,7 +11,7 @@ from tracemill.operators.requests import (
     load_system_prompt,
     request_rows,
 )
-from tracemill.operators.verification import verify
+from tracemill.operators.verification import Fields, verify
 
 PROBLEMS = [
     ("a", " ask a ", " 7 "),
@@ -66,15 +67,43 @@ def test_summary(verified):
     assert verified.summary().first().asDict() == {"accepted_rows": 2, "rejected_rows": 5}
 
 
-def test_unique_problems_need_no_search_for_copies(texts):
+def test_audit(verified):
+    assert verified.audit().first().asDict() == {"repeated_problem_ids": 0, "unknown_completions": 2}
+
+
+def test_every_problem_row_is_judged(texts):
+    """As a left join: copies of a problem are rows of their own, with an id or without."""
+    rows = [(i, "ask", "1") for i in ("a", "a", "b", "b", None, None)]
+    completions = texts("id completion source_model", [("a", r"\boxed{1}", "m")])
+    copied = verify(texts("id prompt answer", rows), completions)
+    assert copied.summary().first().asDict() == {"accepted_rows": 2, "rejected_rows": 4}
+    assert copied.audit().first()["repeated_problem_ids"] == 2
+
+
+def test_field_names(texts):
+    fields = Fields("key", "question", "truth", "reply", "writer")
+    problems = texts("key question truth", PROBLEMS)
+    found = verify(problems, texts("key reply writer", COMPLETIONS), fields=fields)
+    assert found.summary().first().asDict() == {"accepted_rows": 2, "rejected_rows": 5}
+    assert {row["source_model"] for row in found.accepted.collect()} == {"m"}
+    assert request_rows(problems, id_field="key", prompt_field="question").count() == len(PROBLEMS)
+
+
+def test_the_summary_reads_no_prompt(texts, spark, tmp_path):
+    texts("id prompt answer", PROBLEMS).write.parquet(str(tmp_path / "problems"))
+    problems = spark.read.parquet(str(tmp_path / "problems"))
+    summary = verify(problems, texts("id completion source_model", COMPLETIONS)).summary()
+    plan = summary._jdf.queryExecution().executedPlan().toString()
+    assert "answer:string" in plan and "prompt" not in plan
+
+
+def test_what_was_stored_can_be_released(texts):
     problems = texts("id prompt answer", PROBLEMS)
-    completions = texts("id completion source_model", COMPLETIONS)
-    plain = verify(problems, completions, unique=True)
-    assert sorted(map(tuple, plain.accepted.collect())) == sorted(
-        map(tuple, verify(problems, completions).accepted.collect())
-    )
-    plan = plain.accepted._jdf.queryExecution().optimizedPlan().toString()
-    assert "Aggregate" not in plan
+    stored = verify(problems, texts("id completion source_model", COMPLETIONS), store=True)
+    file = Path(stored.stored.inputFiles()[0].removeprefix("file://"))
+    assert file.exists()
+    stored.release()
+    assert not file.parent.exists()
 
 
 def test_stored_completions_give_the_same_and_are_read_in_part(texts, verified):

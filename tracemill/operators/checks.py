@@ -41,26 +41,31 @@ def _part(df: DataFrame, name: str) -> DataFrame:
 
 def mix_report(
     problems: DataFrame,
-    pool: DataFrame,
-    clean: DataFrame,
+    pool: DataFrame | int,
+    clean: DataFrame | int,
     mix: DataFrame,
     accumulation: int = GRADIENT_ACCUMULATION,
 ) -> DataFrame:
     """One row of counters over the inputs and the mix ``(origin, text)``.
 
     All tables are counted in one aggregation; only partial counts are shuffled.
+    Counts known already may stand for the pool and the clean traces.
     """
     flagged = text_flags(mix.select(F.col("origin").alias("part"), "text")).drop("text")
-    rows = union_texts(
-        _part(problems, "problems"), _part(pool, "pool"), _part(clean, "clean"), flagged
-    )
+    inputs = {"problems": problems, "pool": pool, "clean": clean}
+    unknown = {name: table for name, table in inputs.items() if not isinstance(table, int)}
+    rows = union_texts(*(_part(table, name) for name, table in unknown.items()), flagged)
     part = F.col("part")
+
+    def size(name: str) -> Column:
+        return F.count_if(part == name) if name in unknown else F.lit(inputs[name]).cast("bigint")
+
     single, think = F.col("boxes") == 1, F.col("has_think")
     mixed = F.count_if(part.isin(DIRECT, TRACE))
     return rows.agg(
-        F.count_if(part == "problems").alias("train_rows"),
-        F.count_if(part == "pool").alias("pool_rows"),
-        F.count_if(part == "clean").alias("clean_rows"),
+        size("problems").alias("train_rows"),
+        size("pool").alias("pool_rows"),
+        size("clean").alias("clean_rows"),
         F.count_if(part == DIRECT).alias("direct_rows"),
         F.count_if(part == TRACE).alias("trace_rows"),
         mixed.alias("mixed_rows"),

@@ -30,11 +30,13 @@ def _text(name: str) -> Column:
 def judge_traces(traces: DataFrame) -> DataFrame:
     """Every trace with its cleaned fields, ``reject_reason`` (null if sound) and flags.
 
-    The trace's own answer is the truth here. The steps are separate projections
+    The trace's own answer is the truth here. Traces without an ``id`` column have an
+    empty one. The steps are separate projections
     so that each text is processed once per step.
     """
+    own = F.col("id") if "id" in traces.columns else F.lit("")
     prepared = traces.select(
-        "id",
+        own.alias("id"),
         strip_long(_text("prompt")).alias("prompt"),
         normalize(_text("answer"), "latex_space").alias("answer"),
         strip_long(_text("reasoning")).alias("raw_reasoning"),

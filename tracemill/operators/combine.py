@@ -38,26 +38,47 @@ def exclude_ids(df: DataFrame, used: DataFrame, by: str = "id") -> DataFrame:
     return kept.unionByName(df.filter(_unusable(by)))
 
 
+def repeated_ids(df: DataFrame, by: str) -> DataFrame:
+    """Usable ids that occur more than once."""
+    counts = df.filter(_usable(by)).groupBy(by).agg(F.count("*").alias("rows"))
+    return counts.filter("rows > 1").select(by)
+
+
+def check_repeats(problems: DataFrame, completions: DataFrame, by: str = "id") -> None:
+    """Raise if an id is repeated on both sides.
+
+    It would stand for several problems, and which of them a completion answers could
+    not be told: joining them gives every pair.
+    """
+    both = repeated_ids(problems, by).join(repeated_ids(completions, by), by, "left_semi")
+    found = both.limit(3).collect()
+    if found:
+        named = ", ".join(str(row[0]) for row in found)
+        raise ValueError(f"ids repeated among problems and among completions: {named}")
+
+
+def unknown_completions(problems: DataFrame, completions: DataFrame, by: str = "id") -> DataFrame:
+    """Completions that belong to no problem, or to none that can be told."""
+    return exclude_ids(completions, problems, by)
+
+
 def attach_completions(
     problems: DataFrame,
     completions: DataFrame,
     by: str = "id",
     answered: DataFrame | None = None,
-    unique: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """Pair every completion with its problem; also give the unanswered problems.
 
-    A problem is its row: copies of a row are one problem, so a copied problem with
-    many completions does not multiply them. ``unique`` says that there are no
-    copies and saves looking for them. ``answered`` may name a cheaper table with
-    the ids of ``completions``.
+    Every problem row counts, copies too. An id may be repeated on one side; see
+    :func:`check_repeats` for both. ``answered`` may name a cheaper table with the
+    ids of ``completions``.
 
     This is a left join in two parts, because a left join could not split a
     problem with very many completions: the inner part can, and the other part only
-    has distinct ids to check against. Both parts read one exchange of the problems.
+    has distinct ids to check against.
     """
     asked = problems.filter(_usable(by))
-    asked = asked if unique else asked.distinct()
     pairs = asked.join(completions.filter(_usable(by)), by, "inner")
     ids = _distinct_ids(completions if answered is None else answered, by)
     silent = asked.join(ids, by, "left_anti")

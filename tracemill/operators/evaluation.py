@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -17,6 +18,7 @@ from tracemill.functions.answers import (
 from tracemill.functions.text import strip, strip_long
 from tracemill.operators.projection import computed_once
 from tracemill.operators.ranking import first_rows, order_key
+from tracemill.sources.records import with_id
 
 DEFAULT_MISSES = 5
 
@@ -69,8 +71,33 @@ def sample_misses(judged: DataFrame, count: int = DEFAULT_MISSES, by: str = "id"
 
 @dataclass(frozen=True)
 class Evaluation:
-    summary: DataFrame
-    misses: DataFrame
+    """Outcomes of an evaluation. Nothing runs, and nothing is read, before it is used.
+
+    The barrier around the judged columns keeps Spark from pruning what is in it, so
+    each outcome puts only the columns it needs there.
+    """
+
+    predictions: DataFrame
+    answer: str
+    prediction: str
+    tolerance: float | None
+    count: int
+    by: str
+
+    @cached_property
+    def summary(self) -> DataFrame:
+        texts = self.predictions.select(self.answer, self.prediction)
+        return summarize(judge_predictions(texts, self.answer, self.prediction, self.tolerance))
+
+    @cached_property
+    def misses(self) -> DataFrame:
+        """The first misses by ``by``, or by a hash of the texts where there is none."""
+        named = self.predictions
+        if self.by not in named.columns:
+            named = with_id(named, self.prediction, self.answer, self.by)
+        texts = named.select(*dict.fromkeys((self.by, self.answer, self.prediction)))
+        judged = judge_predictions(texts, self.answer, self.prediction, self.tolerance)
+        return sample_misses(judged, self.count, self.by)
 
 
 def evaluate(
@@ -82,5 +109,5 @@ def evaluate(
     by: str = "id",
 ) -> Evaluation:
     """Score predictions: boxed answer if there is one, else the whole text."""
-    judged = judge_predictions(predictions, answer, prediction, tolerance)
-    return Evaluation(summarize(judged), sample_misses(judged, misses, by))
+    check_tolerance(tolerance)
+    return Evaluation(predictions, answer, prediction, tolerance, misses, by)

@@ -24,8 +24,6 @@ DIGITS_PER_PASS = 3
 # A bucket of no more rows, or of one key, is counted by whole keys.
 SMALL_BUCKET = 16**DIGITS_PER_PASS
 WHOLE_KEY = 2**31 - 1
-# Up to this many rows Spark's own ordered limit is the better plan.
-FEW_ROWS = 20
 # Rows one task writes out when identical rows are multiplied.
 COPIES_PER_TASK = 10_000
 
@@ -54,9 +52,43 @@ def seeded_key(seed: int, *columns: str | Column) -> Column:
     return F.md5(F.concat_ws(":", F.lit(str(seed)), *texts))
 
 
+# Without these, JSON would cut time stamps at milliseconds.
+EXACT_JSON = {
+    "ignoreNullFields": "false",
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+_EXACT_TYPES = (
+    T.StringType,
+    T.BinaryType,
+    T.BooleanType,
+    T.NumericType,
+    T.DateType,
+    T.TimestampType,
+    T.TimestampNTZType,
+    T.NullType,
+)
+
+
+def _exact_in_json(kind: T.DataType) -> bool:
+    """Whether different values of the type are always written differently."""
+    if isinstance(kind, T.StructType):
+        return all(_exact_in_json(field.dataType) for field in kind)
+    if isinstance(kind, T.ArrayType):
+        return _exact_in_json(kind.elementType)
+    return isinstance(kind, _EXACT_TYPES)
+
+
 def content_key(df: DataFrame) -> Column:
-    """MD5 over all columns: equal for exact copies only."""
-    return F.md5(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}))
+    """MD5 over all columns: equal for exact copies only.
+
+    Columns of types that JSON does not tell apart, such as maps and intervals, are
+    refused.
+    """
+    for field in df.schema:
+        if not _exact_in_json(field.dataType):
+            raise TypeError(f"cannot compare {field.name}: {field.dataType.simpleString()}")
+    return F.md5(F.to_json(F.struct(*df.columns), EXACT_JSON))
 
 
 @dataclass(frozen=True)
@@ -109,7 +141,14 @@ def find_cut(
         if len(bucket) < width:
             return Cut(bucket, missing, count)
         inside = keys.filter(F.col("key").startswith(bucket))
-        width = WHOLE_KEY if one_key or count <= SMALL_BUCKET else width + DIGITS_PER_PASS
+        if one_key or count <= SMALL_BUCKET:
+            width = WHOLE_KEY
+            continue
+        # Uniform keys fall into many buckets. A bucket with most of the rows points to
+        # keys with a long start in common, which one look skips at once.
+        crowded = 2 * count > sum(rows for _, rows, _ in counts)
+        shared = common_start(inside, F.col("key")) if crowded else bucket
+        width = max(width, len(shared)) + DIGITS_PER_PASS
 
 
 def _copies(identical: DataFrame, count: int) -> DataFrame:
@@ -154,14 +193,12 @@ def split_at(
 
 
 def first_rows(df: DataFrame, count: int, key: Column, uniform: bool = False) -> DataFrame:
-    """The first ``count`` rows in key order (copies and ties by content).
+    """The first ``count`` rows in key order, ties by content, as an unordered table.
 
-    ``uniform`` keys, such as hashes, are spread evenly over all digits.
+    The rule is one for all counts, so fewer rows are always among more. ``uniform``
+    keys, such as hashes, are spread evenly over all digits.
     """
     if count < 0:
         raise ValueError(f"row count must not be negative: {count}")
-    if count <= FEW_ROWS:
-        rest = [F.col(name) for name in df.columns]
-        return df.orderBy(key, *rest).limit(count)
     start = "" if uniform else common_start(df, key)
     return split_at(df, [key, content_key(df)], count, start)[0]

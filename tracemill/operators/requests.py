@@ -19,6 +19,9 @@ TASK_PREAMBLE = r"""Solve the following reasoning task.
 Infer the rule from the examples, explain the reasoning clearly, and end with the final answer inside \boxed{}.
 
 """
+REASONING_MODEL = re.compile(r"o\d")
+REASONING_TOKENS = "max_completion_tokens"
+PLAIN_TOKENS = "max_tokens"
 DEFAULT_MODEL = "gpt-4.1-mini"
 DEFAULT_TEMPERATURE = 0.2
 DEFAULT_MAX_TOKENS = 1200
@@ -41,23 +44,23 @@ def request_rows(
     temperature: float = DEFAULT_TEMPERATURE,
     max_tokens: int = DEFAULT_MAX_TOKENS,
     system_prompt: str = SYSTEM_PROMPT,
+    id_field: str = "id",
+    prompt_field: str = "prompt",
 ) -> DataFrame:
     """One request per problem: its parts as columns and the JSON ``body``.
 
     Models of the o series take another token key and no temperature.
     """
-    o_series = re.match(r"o\d", model) is not None
-    token_key = "max_completion_tokens" if o_series else "max_tokens"
-    user = F.concat(F.lit(TASK_PREAMBLE), F.col("prompt"))
-    parts = [
-        F.lit(model).alias("model"),
-        F.lit(max_tokens).alias(token_key),
-        F.array(message("system", F.lit(system_prompt)), message("user", user)).alias("messages"),
-    ]
-    if not o_series:
+    reasons = REASONING_MODEL.match(model) is not None
+    token_key = REASONING_TOKENS if reasons else PLAIN_TOKENS
+    user = F.concat(F.lit(TASK_PREAMBLE), F.col(prompt_field))
+    settings = {"model": model, token_key: max_tokens}
+    turns = F.array(message("system", F.lit(system_prompt)), message("user", user))
+    parts = [F.lit(value).alias(name) for name, value in settings.items()] + [turns.alias("messages")]
+    if not reasons:
         parts.append(F.lit(float(temperature)).alias("temperature"))
     return problems.select(
-        "id",
+        F.col(id_field).alias("id"),
         F.lit(model).alias("model"),
         F.lit(token_key).alias("token_key"),
         F.lit(system_prompt).alias("system_message"),

@@ -21,7 +21,7 @@ DEFAULT_SEED = 42
 
 
 def head_limit(df: DataFrame, count: int, by: str = "id") -> DataFrame:
-    """The first ``count`` records by ``by``; Spark tables have no file order."""
+    """The first ``count`` records by ``by``, in no order; Spark tables have no file order."""
     return first_rows(df, count, order_key(df, by))
 
 
@@ -40,10 +40,15 @@ def sample_strict(
     df: DataFrame, count: int, seed: int = DEFAULT_SEED, keys: Sequence[str] = ("id",)
 ) -> DataFrame:
     """As :func:`sample_exact`, but asking for more rows than there are is an error."""
-    available = df.count()
-    if count > available:
-        raise ValueError(f"cannot sample {count} of {available} rows")
-    return sample_exact(df, count, seed, keys)
+    if count < 0:
+        raise ValueError(f"row count must not be negative: {count}")
+
+    def wanted(available: int) -> int:
+        if count > available:
+            raise ValueError(f"cannot sample {count} of {available} rows")
+        return count
+
+    return split_at(df, [seeded_key(seed, *keys), content_key(df)], wanted)[0]
 
 
 def split_train_test(

@@ -9,10 +9,15 @@ from pyspark.sql import functions as F
 
 from tracemill.functions.answers import last_boxed, same_answer
 from tracemill.functions.text import preview, strip
-from tracemill.operators.combine import attach_completions
+from tracemill.operators.combine import (
+    attach_completions,
+    check_repeats,
+    repeated_ids,
+    unknown_completions,
+)
 from tracemill.operators.projection import computed_once
 from tracemill.sources.records import ACCEPTED_FIELDS
-from tracemill.sources.staging import stage
+from tracemill.sources.staging import release, stage
 
 PREVIEW_LENGTH = 300
 
@@ -21,25 +26,39 @@ NO_BOX = "no_box"
 MISMATCH = "mismatch"
 
 
+@dataclass(frozen=True)
+class Fields:
+    """What the columns of problems and completions are called."""
+
+    id: str = "id"
+    prompt: str = "prompt"
+    answer: str = "answer"
+    completion: str = "completion"
+    source_model: str = "source_model"
 
-def read_boxes(completions: DataFrame) -> DataFrame:
+
+def read_boxes(completions: DataFrame, fields: Fields = Fields()) -> DataFrame:
     """Completions as ``reasoning``, with their last boxed answer and a preview.
 
     Done ahead of the join: what is only rejected then need not be shuffled whole.
     """
-    text = F.coalesce(F.col("completion"), F.lit(""))
+    text = F.coalesce(F.col(fields.completion), F.lit(""))
     read = completions.select(
-        "id",
+        F.col(fields.id).alias("id"),
         text.alias("reasoning"),
         last_boxed(text).alias("boxed_answer"),
         preview(text, PREVIEW_LENGTH, one_line=True).alias("preview"),
-        "source_model",
+        F.col(fields.source_model).alias("source_model"),
     )
     return computed_once(read)
 
 
-def expected(problems: DataFrame) -> DataFrame:
-    return problems.select("id", "prompt", strip(F.col("answer")).alias("answer"))
+def expected(problems: DataFrame, fields: Fields = Fields()) -> DataFrame:
+    return problems.select(
+        F.col(fields.id).alias("id"),
+        F.col(fields.prompt).alias("prompt"),
+        strip(F.col(fields.answer)).alias("answer"),
+    )
 
 
 def is_right() -> Column:
@@ -67,6 +86,9 @@ class Verified:
 
     pairs: DataFrame
     silent: DataFrame
+    problems: DataFrame
+    completions: DataFrame
+    stored: DataFrame | None = None
 
     @property
     def accepted(self) -> DataFrame:
@@ -94,21 +116,44 @@ class Verified:
             F.count_if(~F.col("right")).alias("rejected_rows"),
         )
 
+    def audit(self) -> DataFrame:
+        """One row: ids repeated among the problems, and completions of no problem.
+
+        Neither is in the outcomes: repeated problems are judged row by row, and
+        completions of an unknown id, or of none, have nothing to be judged by.
+        """
+        repeated = repeated_ids(self.problems, "id").select(F.lit("repeated").alias("kind"))
+        unknown = unknown_completions(self.problems.select("id"), self.completions.select("id"))
+        both = repeated.unionByName(unknown.select(F.lit("unknown").alias("kind")))
+        return both.agg(
+            F.count_if(F.col("kind") == "repeated").alias("repeated_problem_ids"),
+            F.count_if(F.col("kind") == "unknown").alias("unknown_completions"),
+        )
+
+    def release(self) -> None:
+        """Delete what ``store`` kept; the outcomes cannot be read after that."""
+        if self.stored is not None:
+            release(self.stored)
+
 
 def verify(
     problems: DataFrame,
     completions: DataFrame,
-    unique: bool = False,
     store: bool = False,
+    fields: Fields = Fields(),
 ) -> Verified:
-    """Judge completions ``(id, completion, source_model)`` of problems.
+    """Judge completions of problems, row by row.
 
-    A problem without any completion counts as a failed request. ``unique`` says
-    that no problem occurs twice. ``store`` keeps what was read from the completions
+    A problem without any completion counts as a failed request. Ids repeated on
+    both sides are an error. ``store`` keeps what was read from the completions
     as a table, which pays where more than one outcome is used: the completions are
     searched for boxes once, and each outcome reads only the columns it needs.
     """
-    read, ids = read_boxes(completions), completions
+    asked = expected(problems, fields)
+    given = completions.select(F.col(fields.id).alias("id"))
+    check_repeats(asked, given)
+    read, ids, stored = read_boxes(completions, fields), given, None
     if store:
-        read = ids = stage(read, "boxes")
-    return Verified(*attach_completions(expected(problems), read, "id", ids, unique))
+        read = ids = stored = stage(read, "boxes")
+    pairs, silent = attach_completions(asked, read, "id", ids)
+    return Verified(pairs, silent, asked, given, stored)

@@ -27,8 +27,8 @@ from tracemill.operators.sampling import (
     shuffle_rows,
     split_train_test,
 )
-from tracemill.sources.records import TRACE_FIELDS, load_records, with_id
-from tracemill.sources.staging import stage
+from tracemill.sources.records import load_records, with_id
+from tracemill.sources.staging import release, stage
 
 BASELINE_SAMPLES = 600
 DIRECT_SAMPLES = 5000
@@ -52,6 +52,11 @@ def training_text(
     return df.select(*keep, chat.chat_text(user, reply).alias("text"))
 
 
+def without_text(texts: DataFrame) -> DataFrame:
+    """Rows of a training set that a null field left without text."""
+    return texts.filter(F.col("text").isNull())
+
+
 def baseline_recipe(
     problems: DataFrame,
     samples: int = BASELINE_SAMPLES,
@@ -62,7 +67,8 @@ def baseline_recipe(
 
     Asking for more problems than there are is an error.
     """
-    return training_text(sample_strict(problems, samples, seed), keep=keep)
+    named = problems if "id" in problems.columns else with_id(problems)
+    return training_text(sample_strict(named, samples, seed), keep=keep)
 
 
 def trace_recipe(traces: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -108,6 +114,7 @@ class Mix:
     rows: DataFrame
     direct_samples: int
     seed: int
+    stored: tuple[DataFrame, ...] = ()
 
     @cached_property
     def ordered(self) -> DataFrame:
@@ -119,11 +126,16 @@ class Mix:
         return self.ordered.select("text")
 
     def report(self) -> DataFrame:
-        return mix_report(self.problems, self.pool, self.clean, self.rows)
+        return mix_report(self.problems, self.pool, self.cleaning["clean_rows"], self.rows)
 
     def checks(self) -> DataFrame:
         return mix_checks(self.report(), self.direct_samples)
 
+    def release(self) -> None:
+        """Delete the stored tables; the mix cannot be read after that."""
+        for table in self.stored:
+            release(table)
+
     def require(self) -> None:
         require_checks(self.checks())
 
@@ -150,7 +162,7 @@ def mixed_recipe(
     sampled = direct_texts(sample_exact(pool, direct_samples, seed))
     direct = stage(sampled.hint("rebalance"), "direct")
     rows = union_texts(direct, trace_texts(clean, copies))
-    return Mix(counted.get, problems, pool, clean, rows, direct_samples, seed)
+    return Mix(counted.get, problems, pool, clean, rows, direct_samples, seed, (clean, direct))
 
 
 @dataclass(frozen=True)
@@ -218,9 +230,7 @@ def build_dataset(
     keep: tuple[str, ...] = (),
 ) -> tuple[DataFrame, DataFrame | None]:
     """Load the recipe's records and format them; gives train and test part."""
-    asked = [recipe.prompt_field, recipe.answer_field, recipe.reasoning_field]
-    fields = dict.fromkeys((*TRACE_FIELDS, *(name for name in asked if name)))
-    records = load_records(spark, recipe.path, tuple(fields))
+    records = load_records(spark, recipe.path)
     repeated = recipe.rows_wanted(max_samples, dry_run) is not None or recipe.val_ratio > 0
     if repeated and not recipe.path.rstrip("/").lower().endswith(".parquet"):
         # Sampling and splitting pass over the keys several times: parse the text once.

@@ -21,25 +21,33 @@ def text_schema(fields: Sequence[str]) -> T.StructType:
     return T.StructType([T.StructField(name, T.StringType()) for name in fields])
 
 
-def read_csv(spark: SparkSession, path: str) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """CSV with a header; quoted fields may span lines and double their quotes.
 
     Columns are those of the header, all text. An empty field is an empty text:
     CSV cannot tell it from a missing one. A file with multi-line fields cannot
-    be split, so give Spark many files, or Parquet, where there is much to read.
+    be split, so give Spark many files, or Parquet, where there is much to read. All
+    files of a folder must have the same header; one with other columns, or another
+    order of them, stops the read. Where no field spans lines, ``multi_line=False`` lets
+    Spark split the files.
     """
     reader = spark.read.option("header", True).option("inferSchema", False)
-    reader = reader.option("multiLine", True).option("escape", '"').option("mode", "FAILFAST")
+    reader = reader.option("multiLine", multi_line).option("escape", '"')
+    reader = reader.option("mode", "FAILFAST").option("enforceSchema", False)
     return reader.csv(path).na.fill("")
 
 
 def read_json_lines(
-    spark: SparkSession, path: str, fields: Sequence[str] = TRACE_FIELDS
+    spark: SparkSession, path: str, fields: Sequence[str] | None = None
 ) -> DataFrame:
-    """JSON lines with the given fields as text; blank lines are skipped.
+    """JSON lines with all their fields as text, or the given ones; blank lines are skipped.
 
-    A line that is no JSON stops the read. Numbers keep their spelling.
+    Without ``fields`` a first pass collects the names. Objects and arrays come as
+    their JSON. A line that is no JSON stops the read. Numbers keep their spelling.
     """
+    if fields is None:
+        names = spark.read.option("primitivesAsString", True).option("mode", "FAILFAST").json(path)
+        fields = names.columns
     return spark.read.schema(text_schema(fields)).option("mode", "FAILFAST").json(path)
 
 
@@ -49,12 +57,12 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
 
 
 def load_records(
-    spark: SparkSession, path: str, fields: Sequence[str] = TRACE_FIELDS
+    spark: SparkSession, path: str, fields: Sequence[str] | None = None
 ) -> DataFrame:
     """Read by suffix: ``.csv``, ``.jsonl``, ``.ndjson`` or ``.parquet``.
 
-    ``fields`` names what to take from JSON lines; the other formats carry their
-    own column names.
+    ``fields`` names what to take from JSON lines, where that is not everything; the
+    other formats carry their own column names.
     """
     suffix = PurePosixPath(path.rstrip("/")).suffix
     try:
@@ -73,8 +81,16 @@ def load_records(
     raise ValueError(f"unsupported record format: {suffix or path}")
 
 
-def with_id(df: DataFrame, prompt: str = "prompt", answer: str = "answer") -> DataFrame:
-    """Give records without an ``id`` one derived from their content."""
-    derived = F.md5(F.concat_ws("\n", F.col(prompt), F.col(answer)))
-    given = [F.col("id")] if "id" in df.columns else []
-    return df.withColumn("id", F.coalesce(*given, derived))
+def with_id(
+    df: DataFrame, prompt: str = "prompt", answer: str = "answer", by: str = "id"
+) -> DataFrame:
+    """Give records without an id, or with an empty one, one derived from their content."""
+    content = F.to_json(
+        F.struct(F.col(prompt).alias("prompt"), F.col(answer).alias("answer")),
+        {"ignoreNullFields": "false"},
+    )
+    derived = F.md5(content)
+    if by not in df.columns:
+        return df.withColumn(by, derived)
+    given = F.col(by).cast("string")
+    return df.withColumn(by, F.when(given.isNull() | (given == ""), derived).otherwise(given))

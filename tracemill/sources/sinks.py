@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 def _json(df: DataFrame, mode: str, path: str) -> None:
@@ -25,5 +26,7 @@ def replace_json_lines(df: DataFrame, path: str) -> None:
 
 
 def write_training_text(df: DataFrame, path: str, overwrite: bool = False) -> None:
-    """Write the ``text`` column alone, as Parquet."""
-    df.select("text").write.mode("overwrite" if overwrite else "errorifexists").parquet(path)
+    """Write the ``text`` column alone, as Parquet. A row without text stops the write."""
+    missing = F.raise_error(F.lit("a training row has no text"))
+    whole = F.when(F.col("text").isNull(), missing).otherwise(F.col("text"))
+    df.select(whole.alias("text")).write.mode("overwrite" if overwrite else "errorifexists").parquet(path)

@@ -6,6 +6,7 @@ checkpoint keeps column pruning, filter pushdown and size statistics.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -42,3 +43,18 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     path = staging_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def release(df: DataFrame) -> None:
+    """Delete the stored table that ``df`` reads, once nothing else needs it.
+
+    Only tables under the folder of intermediate tables are ever deleted.
+    """
+    spark = df.sparkSession
+    ours = re.compile(re.escape(staging_folder(spark).split(":")[-1].lstrip("/")) + r"/tracemill/[\w-]+")
+    for file in df.inputFiles():
+        found = ours.search(file)
+        if found:
+            folder = spark._jvm.org.apache.hadoop.fs.Path(file[: found.end()])
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+            return

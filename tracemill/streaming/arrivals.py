@@ -2,15 +2,19 @@
 
 Stateless: every completion is judged on its own. The checkpoint remembers which
 files were read, and each micro-batch writes its own folder, replacing what a
-failed attempt left there. So a rerun adds nothing, and a retry nothing twice.
+failed attempt left there. So a rerun adds nothing, and a retry nothing twice. The
+folder carries the id that the checkpoint gave the stream, so that streams with other
+checkpoints may write beside it.
 """
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tracemill.operators.combine import attach_completions
+from tracemill.operators.combine import attach_completions, check_repeats
 from tracemill.operators.verification import (
     accepted_fields,
     expected,
@@ -24,7 +28,7 @@ from tracemill.sources.records import (
     text_schema,
 )
 from tracemill.sources.sinks import replace_json_lines
-from tracemill.sources.staging import stage
+from tracemill.sources.staging import release, stage
 
 ACCEPTED_FOLDER = "accepted"
 REJECTED_FOLDER = "rejected"
@@ -42,28 +46,49 @@ def verify_arrivals(
 ) -> StreamingQuery:
     """Judge all completions that are there and not yet judged, then stop.
 
-    The batch is stored first: it is read for both outcomes, and its size is then
-    known, so that a small batch is broadcast to the problems instead of
-    shuffling them all.
+    The batch is stored first: its size is then known, so that a small batch is broadcast
+    to the problems instead of shuffling them all. Its pairs are stored too, so
+    that they are joined once for both outcomes. Both tables are deleted afterwards.
+    Problems without a completion are no outcome here; more may arrive.
     """
     asked = expected(problems)
 
     def judge(batch: DataFrame, batch_id: int) -> None:
         answered = stage(read_boxes(batch), "arrivals")
         wanted = asked.join(answered.select("id").distinct(), "id", "left_semi")
-        pairs, _ = attach_completions(wanted, answered)
-        replace_json_lines(accepted_fields(pairs), f"{output}/{ACCEPTED_FOLDER}/batch={batch_id}")
-        replace_json_lines(rejected_fields(pairs), f"{output}/{REJECTED_FOLDER}/batch={batch_id}")
+        check_repeats(wanted.select("id"), answered.select("id"))
+        pairs = stage(attach_completions(wanted, answered)[0], "arrival-pairs")
+        part = f"stream={stream_id(batch.sparkSession, checkpoint)}/batch={batch_id}"
+        replace_json_lines(accepted_fields(pairs), f"{output}/{ACCEPTED_FOLDER}/{part}")
+        replace_json_lines(rejected_fields(pairs), f"{output}/{REJECTED_FOLDER}/{part}")
+        release(pairs)
+        release(answered)
 
     writer = arrivals.writeStream.foreachBatch(judge).trigger(availableNow=True)
     return writer.option("checkpointLocation", checkpoint).start()
 
 
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that Spark keeps with the checkpoint from the first start on."""
+    return spark.read.text(f"{checkpoint}/metadata").select(
+        F.get_json_object("value", "$.id")
+    ).first()[0]
+
+
+def _read(spark: SparkSession, folder: str, fields: tuple[str, ...]) -> DataFrame:
+    """All batches of all streams; no rows where nothing was written yet."""
+    schema = text_schema(fields)
+    try:
+        return spark.read.schema(schema).json(f"{folder}/*/*")
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return spark.createDataFrame([], schema)
+        raise
+
+
 def read_accepted(spark: SparkSession, output: str) -> DataFrame:
-    schema = text_schema(ACCEPTED_FIELDS)
-    return spark.read.schema(schema).json(f"{output}/{ACCEPTED_FOLDER}/*")
+    return _read(spark, f"{output}/{ACCEPTED_FOLDER}", ACCEPTED_FIELDS)
 
 
 def read_rejected(spark: SparkSession, output: str) -> DataFrame:
-    schema = text_schema(REJECTED_FIELDS)
-    return spark.read.schema(schema).json(f"{output}/{REJECTED_FOLDER}/*")
+    return _read(spark, f"{output}/{REJECTED_FOLDER}", REJECTED_FIELDS)

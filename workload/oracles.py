@@ -6,11 +6,34 @@ escapes, so backslashes stand for themselves.
 
 from __future__ import annotations
 
-from tracemill.functions.chat import INSTRUCTION_SUFFIX
-from tracemill.functions.text import WHITESPACE
-from tracemill.operators.requests import SYSTEM_PROMPT, TASK_PREAMBLE
-from workload.registry import DIRECT_ROWS, HEAD_ROWS, SAMPLE_ROWS, TEST_RATIO, TOLERANCE
+from workload.registry import (
+    DIRECT_ROWS,
+    HEAD_ROWS,
+    LIMITED_ROWS,
+    SAMPLE_ROWS,
+    TEST_RATIO,
+    TIED_ROWS,
+    TOLERANCE,
+)
+
+# Fixed values, stated here once more so that a wrong one in the library shows.
+INSTRUCTION_SUFFIX = 'Put your final answer inside \\boxed{}.'
+SYSTEM_PROMPT = r"""You are generating supervised fine-tuning data for a reasoning model.
+Given a puzzle-like prompt, infer the transformation rule from the examples, reason clearly, and end with the final answer inside \boxed{}.
+Do not mention that you know the ground-truth answer.
+Keep the reasoning concise but useful for training."""
+TASK_PREAMBLE = r"""Solve the following reasoning task.
+Infer the rule from the examples, explain the reasoning clearly, and end with the final answer inside \boxed{}.
 
+"""
+# White space as Python strips it, by code point.
+WHITESPACE = "".join(
+    map(
+        chr,
+        [*range(0x9, 0xE), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680]
+        + [*range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000],
+    )
+)
 SPACE_CLASS = (
     r"[\x{9}-\x{D}\x{1C}-\x{20}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
     r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
@@ -264,14 +287,32 @@ def in_test(kind: str) -> str:
     from problems) where place {kind} ceil(total * {TEST_RATIO})""")
 
 
-def dataset(kind: str) -> str:
+def dataset(kind: str, rows: int = SAMPLE_ROWS) -> str:
     text = chat(asked("prompt"), reasoned("reasoning", "answer"))
     return on_traces(f"""select id, {text} as text from (
     select *, row_number() over ({SEEDED}) as place, count(*) over () as total
-    from (select * from traces {SEEDED} limit {SAMPLE_ROWS}))
+    from (select * from traces {SEEDED} limit {rows}))
   where place {kind} ceil(total * {TEST_RATIO})""")
 
 
+# Every fifth document is there twice more, every seventh has no id.
+COPIED = """problems as (
+  select case when doc_id % 7 > 0 then id end as id, text as prompt, answer
+  from docs, (select unnest([0, 1, 2]) as copy) as copies
+  where copy = 0 or doc_id % 5 = 0)"""
+
+
+def on_copies(select: str) -> str:
+    return sql(select, COPIED, TRACES, COMPLETIONS, PAIRS)
+
+
+def tied(rows: int) -> str:
+    """Ties of the seeded key are cut by the MD5 of the row as JSON."""
+    content = """concat('{"id":"', id, '","lang":"', lang, '"}')"""
+    return f"""select id, lang from (select concat('d', doc_id) as id, lang from documents)
+  order by md5(concat('42:', lang)), md5({content}) limit {rows}"""
+
+
 DIRECT = chat(asked("prompt"), boxed(strip("answer")))
 REASONED = chat(asked("prompt"), reasoned("reasoning", "answer"))
 SUMMARY = """select count(*) as evaluated, count(*) filter (where {0}) as matched,
@@ -375,7 +416,9 @@ ORACLES: dict[str, str] = {
         f"select 'trace' as origin, id, 0 as copy, {TRACE_TEXT} as text from clean"
     ),
     "message_arrays": on_problems(f"select id, {DIRECT} as text, 2 as turns from problems"),
-    "chat_multi_turn": f"""select replied.conv_id, replied.turn,
+    "chat_turns": f"""select conv_id, turn,
+    concat('<|im_start|>', role, '\n', {strip("text")}, '<|im_end|>') as text from conversations""",
+    "chat_pairs": f"""select replied.conv_id, replied.turn,
     {chat(strip("asked.text"), strip("replied.text"))} as text
   from conversations as asked join conversations as replied
     on asked.conv_id = replied.conv_id and asked.turn + 1 = replied.turn
@@ -403,8 +446,30 @@ ORACLES: dict[str, str] = {
     "dataset_test": dataset("<="),
     "load_csv": on_problems("select * from problems"),
     "load_json_lines": on_traces("select id, prompt, answer, reasoning from traces"),
-    "load_parquet": "select cast(doc_id as varchar) as doc_id, text, "
+    "load_parquet": "select cast(doc_id as varchar) as doc_id, text, lang, source, "
     "cast(n_chars as varchar) as n_chars from documents",
+    "load_predictions_jsonl": sql("select * from predictions", PREDICTIONS),
+    "eval_no_id": sql(SUMMARY.format("near"), PREDICTIONS, SCORED),
+    "clean_no_id": on_clean("select '' as id, prompt, answer, reasoning, boxed_answer from clean"),
+    "baseline_no_id": on_problems(
+        f"""select {DIRECT} as text from problems order by md5(concat('42:',
+    md5(cast(json_object('prompt', prompt, 'answer', answer) as varchar)))) limit {SAMPLE_ROWS}"""
+    ),
+    "sample_ties": sql(tied(TIED_ROWS)),
+    "sample_ties_more": sql(tied(TIED_ROWS + 1)),
+    "verify_copies": on_copies(
+        "select id, answer, case when ok then 'accepted' when not answered then 'no_completion' "
+        "when boxed_answer is null then 'no_box' else 'mismatch' end as outcome from verdicts"
+    ),
+    "verify_audit": on_copies(
+        """select (select count(*) from (select id from problems where id is not null
+      group by id having count(*) > 1)) as repeated_problem_ids,
+    (select count(*) from completions
+      where not exists (select 1 from problems where problems.id = completions.id))
+      as unknown_completions"""
+    ),
+    "dataset_max_samples": dataset(">", LIMITED_ROWS),
+    "dataset_dry_run": dataset(">", 8),
     "append_accepted": sql(
         "select *, cast(null as varchar) as source_model from clean union all " + ACCEPTED,
         PROBLEMS,

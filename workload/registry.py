@@ -14,6 +14,7 @@ from tracemill.operators import checks, evaluation
 from tracemill.operators.cleaning import trace_flags
 from tracemill.operators.combine import attach_completions, oversample
 from tracemill.operators.ranking import seeded_key
+from tracemill.operators.verification import Fields
 from tracemill.plans import recipes
 from tracemill.sources import sinks
 from tracemill.sources.records import ACCEPTED_FIELDS
@@ -28,6 +29,8 @@ SAMPLE_ROWS = 100
 HEAD_ROWS = 50
 TEST_RATIO = 0.1
 DIRECT_ROWS = 500
+TIED_ROWS = 20
+LIMITED_ROWS = 30
 
 QUERIES: dict[str, Query] = {}
 
@@ -120,6 +123,11 @@ def eval_summary_exact(spark, sf):
     return _rounded(tm.evaluate(predictions(spark, sf)).summary)
 
 
+@query
+def eval_no_id(spark, sf):
+    return _rounded(tm.evaluate(predictions(spark, sf).drop("id"), tolerance=TOLERANCE).summary)
+
+
 @query
 def eval_misses(spark, sf):
     return tm.evaluate(predictions(spark, sf), tolerance=TOLERANCE).misses
@@ -144,6 +152,11 @@ def clean_traces(spark, sf):
     return tm.clean_traces(traces(spark, sf))
 
 
+@query
+def clean_no_id(spark, sf):
+    return tm.clean_traces(traces(spark, sf).drop("id"))
+
+
 @query
 def clean_rejected(spark, sf):
     return tm.rejected_traces(traces(spark, sf))
@@ -179,12 +192,41 @@ def verify_summary(spark, sf):
 @query
 def verify_stored(spark, sf):
     """Both outcomes in short form from completions read once."""
-    verified = tm.verify(problems(spark, sf), completions(spark, sf), unique=True, store=True)
+    verified = tm.verify(problems(spark, sf), completions(spark, sf), store=True)
     right = verified.accepted.select("id", F.lit("accepted").alias("outcome"))
     wrong = verified.rejected.select("id", F.col("reject_reason").alias("outcome"))
     return right.unionByName(wrong)
 
 
+def _copied(spark, sf):
+    """Every fifth problem three times, every seventh without an id; renamed columns."""
+    number = F.substring("id", 2, 20).cast("bigint")
+    times = F.when(number % 5 == 0, 3).otherwise(1)
+    copies = problems(spark, sf).select("*", F.explode(F.array_repeat(F.lit(0), times)).alias("copy"))
+    given = completions(spark, sf).withColumnsRenamed({"id": "key", "completion": "reply"})
+    asked = copies.select(
+        F.when(number % 7 > 0, F.col("id")).alias("key"), F.col("prompt").alias("question"), "answer"
+    )
+    fields = Fields(id="key", prompt="question", completion="reply")
+    return tm.verify(asked, given, fields=fields)
+
+
+@query
+def verify_copies(spark, sf):
+    """The outcome of every problem row, copies and rows without id too."""
+    verified = _copied(spark, sf)
+    right = verified.accepted.select("id", "answer", F.lit("accepted").alias("outcome"))
+    wrong = verified.rejected.select(
+        "id", F.col("expected").alias("answer"), F.col("reject_reason").alias("outcome")
+    )
+    return right.unionByName(wrong)
+
+
+@query
+def verify_audit(spark, sf):
+    return _copied(spark, sf).audit()
+
+
 @query
 def attached(spark, sf):
     """The left join of problems and completions as one table."""
@@ -234,6 +276,25 @@ def sample_strict(spark, sf):
     return tm.sample_strict(problems(spark, sf), SAMPLE_ROWS, seed=7).select("id", "answer")
 
 
+def _tied(spark, sf, rows):
+    named = table(spark, sf, "documents").select(
+        F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("id"), "lang"
+    )
+    return tm.sample_exact(named, rows, keys=("lang",))
+
+
+@query
+def sample_ties(spark, sf):
+    """A sample by a key that very many rows share."""
+    return _tied(spark, sf, TIED_ROWS)
+
+
+@query
+def sample_ties_more(spark, sf):
+    """One row more: the rows of the smaller sample are all among these."""
+    return _tied(spark, sf, TIED_ROWS + 1)
+
+
 @query
 def sample_pool(spark, sf):
     used = stage(tm.clean_traces(traces(spark, sf)).select("id"), "used")
@@ -305,7 +366,15 @@ def message_arrays(spark, sf):
 
 
 @query
-def chat_multi_turn(spark, sf):
+def chat_turns(spark, sf):
+    """Every turn of the conversations, whoever speaks."""
+    turns = table(spark, sf, "conversations")
+    text = chat.chat_turn(F.col("role"), strip_long(F.col("text")))
+    return turns.select("conv_id", "turn", text.alias("text"))
+
+
+@query
+def chat_pairs(spark, sf):
     """Every assistant turn of the conversations with the user turn before it.
 
     Turns meet by conversation and number, so no conversation is gathered whole.
@@ -328,6 +397,11 @@ def baseline_recipe(spark, sf):
     return tm.baseline_recipe(problems(spark, sf), SAMPLE_ROWS, keep=("id",))
 
 
+@query
+def baseline_no_id(spark, sf):
+    return tm.baseline_recipe(problems(spark, sf).drop("id"), SAMPLE_ROWS)
+
+
 @query
 def trace_recipe(spark, sf):
     return tm.trace_recipe(traces(spark, sf), keep=("id", "answer"))
@@ -362,19 +436,19 @@ def mix_checks(spark, sf):
     return _mix(spark, sf).checks()
 
 
-def _dataset(spark, sf):
+def _dataset(spark, sf, sample_size=SAMPLE_ROWS, **limits):
     path = staging_path(spark, "records") + ".jsonl"
     sinks.replace_json_lines(traces(spark, sf), path)
     config = {
         "seed": 42,
         "data": {
             "path": path,
-            "sample_size": SAMPLE_ROWS,
+            "sample_size": sample_size,
             "val_ratio": TEST_RATIO,
             "reasoning_field": "reasoning",
         },
     }
-    return tm.build_dataset(spark, tm.Recipe.from_config(config), keep=("id",))
+    return tm.build_dataset(spark, tm.Recipe.from_config(config), keep=("id",), **limits)
 
 
 @query
@@ -387,6 +461,16 @@ def dataset_test(spark, sf):
     return _dataset(spark, sf)[1]
 
 
+@query
+def dataset_max_samples(spark, sf):
+    return _dataset(spark, sf, max_samples=LIMITED_ROWS)[0]
+
+
+@query
+def dataset_dry_run(spark, sf):
+    return _dataset(spark, sf, sample_size=None, dry_run=True)[0]
+
+
 # --- sources, sinks, streaming ---------------------------------------------
 
 
@@ -409,7 +493,14 @@ def load_json_lines(spark, sf):
 @query
 def load_parquet(spark, sf):
     path = f"{sf}/documents.parquet"
-    return tm.load_records(spark, path).select("doc_id", "text", "n_chars")
+    return tm.load_records(spark, path)
+
+
+@query
+def load_predictions_jsonl(spark, sf):
+    path = staging_path(spark, "predictions") + ".jsonl"
+    sinks.create_json_lines(predictions(spark, sf), path)
+    return tm.load_records(spark, path)
 
 
 @query
