@@ -5,14 +5,16 @@
 2. The ``k`` smallest shingle hashes of a set are its sketch. Two sets that are similar
    enough share many of them, so they share one among each one's rarest few: only those
    are put into inverted lists.
-3. Lists propose pairs. A list never proposes all its pairs: its nodes are compared
+3. Nodes that meet in no list are done. For the few others, lists of their whole sets take
+   the place of the sketches' lists; these leave nothing to chance.
+4. Lists propose pairs. A list never proposes all its pairs: its nodes are compared
    with a few nodes of the list, links found so far are turned into components, and
    what is left in different components is compared in the end. That loses nothing:
    two nodes in one component need no further link.
-4. A pair's union sketch estimates its resemblance, which sorts out most pairs. The
+5. A pair's union sketch estimates its resemblance, which sorts out most pairs. The
    others are confirmed on full shingle sets, read anew from the texts.
 
-Where a set has more than ``k`` shingles, steps 2 and 4 allow for six standard deviations
+Where a set has more than ``k`` shingles, steps 2 and 5 allow for six standard deviations
 of the estimate, so a link is missed about once in a hundred million borderline pairs.
 """
 
@@ -44,10 +46,28 @@ HUBS = (1, 3)
 PAIRS_PER_GROUP = 128
 
 
-def least_shared(size: int, percent: int) -> int:
-    """Values of a union sketch that two similar sets share almost surely."""
+def least_shared(n: int, size: int, percent: int) -> int:
+    """Values of a union sketch that a set of ``n`` shares almost surely with one like it.
+
+    A union has at most ``n / share`` values. A sketch that holds all of it shows at
+    least ``n * share``; otherwise it draws ``size`` without putting any back.
+    """
+    share = percent / 100
+    union = n / share
+    whole = math.ceil(n * percent / 100)
+    if union <= size:
+        return whole
+    spread = size * share * (1 - share) * (union - size) / (union - 1)
+    return min(whole, math.floor(size * share - DEVIATIONS * math.sqrt(spread)))
+
+
+def _least_shared_column(n: Column, size: int, percent: int) -> Column:
     share = percent / 100
-    return math.floor(size * share - DEVIATIONS * math.sqrt(size * share * (1 - share)))
+    union = n / share
+    whole = F.ceil(n * percent / 100)
+    spread = size * share * (1 - share) * (union - size) / (union - 1)
+    drawn = F.floor(size * share - DEVIATIONS * F.sqrt(spread))
+    return F.when(union <= size, whole).otherwise(F.least(whole, drawn))
 
 
 def sketch_texts(docs: DataFrame, text: str, id_column: str, size: int, words: int) -> DataFrame:
@@ -87,65 +107,114 @@ def distinct_sets(sketched: DataFrame) -> DataFrame:
     return stage(numbered, "shingle-sets")
 
 
-def inverted_lists(nodes: DataFrame, size: int, percent: int) -> DataFrame:
-    """``value, node, n``: each node under its rarest retained values, stored.
+def _rarest(values: DataFrame, needed: Column) -> DataFrame:
+    """``value, node, n, alone, place``: each node under its first values, stored.
 
-    The order is by the number of nodes that retain a value, the same for all, so
-    nodes that share enough values share one of their first. Values of one node only are
-    counted, but not listed.
+    ``values`` has a row for each of the ``kept`` values of a node. They are ordered by the
+    number of nodes that have them, the same for all; nodes that share ``needed`` values
+    then share one of their first ``kept - needed + 1``. Values of one node only are
+    counted (``alone``), but not listed, and neither are lists of one node.
     """
-    values = nodes.select("node", "n", F.size("sketch").alias("kept"), F.explode("sketch").alias("value"))
     shared = values.groupBy("value").agg(F.count("*").alias("nodes")).filter("nodes > 1")
     common = values.join(shared, "value")
     rare_first = Window.partitionBy("node").orderBy("nodes", "value")
     alone = F.col("kept") - F.count("*").over(Window.partitionBy("node"))
-    whole = F.col("n") * 100 <= size * percent
-    needed = F.when(whole, F.ceil(F.col("n") * percent / 100)).otherwise(least_shared(size, percent))
-    first = common.select(
-        "value", "node", "n", (F.row_number().over(rare_first) + alone).alias("place"),
-        (F.col("kept") - needed + 1).alias("places"),
+    placed = common.select(
+        "value", "node", "n", "kept", alone.alias("alone"), (F.row_number().over(rare_first) + alone).alias("place")
     )
-    return stage(first.filter("place <= places").select("value", "node", "n"), "inverted-lists")
+    first = placed.filter(F.col("place") <= F.col("kept") - needed + 1)
+    first = stage(first.select("value", "node", "n", "alone", "place"), "first-values")
+    met = first.groupBy("value").agg(F.count("*").alias("nodes")).filter("nodes > 1").select("value")
+    return stage(first.join(met, "value", "left_semi"), "inverted-lists")
 
 
-def _sizes_fit(one: str, other: str, percent: int) -> Column:
-    return (F.col(one) * 100 >= F.col(other) * percent) & (F.col(other) * 100 >= F.col(one) * percent)
+def sketch_lists(nodes: DataFrame, size: int, percent: int) -> DataFrame:
+    """Inverted lists of the values that sketches retain: who may have a partner."""
+    kept = F.size("sketch").alias("kept")
+    values = nodes.select("node", "n", kept, F.explode("sketch").alias("value"))
+    return _rarest(values, _least_shared_column(F.col("n"), size, percent))
 
 
-def hub_pairs(lists: DataFrame, hubs: int, labels: DataFrame | None, percent: int, seed: int) -> DataFrame:
-    """Distinct pairs of a list's hubs with its other nodes, where not yet connected."""
-    named = lists if labels is None else lists.join(labels, "node", "left").select(
-        "value", "node", "n", F.coalesce("component", "node").alias("component")
-    )
+def full_lists(texts: DataFrame, percent: int, words: int) -> DataFrame:
+    """Inverted lists of all values of the nodes that may have a partner.
+
+    Sketches leave room for chance and so put distant copies of one text under
+    one value. Whole sets do not, and few nodes have got here.
+    """
+
+    def make():
+        def step(nodes, bodies):
+            out = ([], [], [])
+            for node, body in zip(nodes, bodies):
+                values = shingle_set(body, words).view(np.int64).tolist()
+                out[0].extend([node] * len(values))
+                out[1].extend([len(values)] * len(values))
+                out[2].extend(values)
+            return list(out)
+
+        return step
+
+    values = map_slices(texts.select("node", "text"), make, "node long, n long, value long")
+    values = stage(values.distinct(), "full-values").withColumn("kept", F.col("n"))
+    return _rarest(values, F.ceil(F.col("n") * percent / 100))
+
+
+def _may_overlap(one: dict[str, Column], other: dict[str, Column], percent: int) -> Column:
+    """Whether two sets can be similar, given the places where they meet in a list.
+
+    Their sizes say how much they must share. If they do, the first value they share is
+    early in both; a list where they meet later need not propose them.
+    """
+    shared = F.ceil((one["n"] + other["n"]) * percent / (100 + percent))
+    early = lambda side: side["place"] <= side["n"] - shared + 1
+    return early(one) & early(other)
+
+
+def _labelled(lists: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """Lists with the component of each node, at first the node itself."""
     if labels is None:
-        named = named.withColumn("component", F.col("node"))
-    row = F.struct("node", "n", "component")
-    choice = [F.min_by(row, F.xxhash64("node", F.lit(seed + i))).alias(f"hub{i}") for i in range(hubs)]
-    chosen = named.groupBy("value").agg(
-        *choice, F.min("component").alias("least"), F.max("component").alias("most")
-    ).filter("least < most")
-    chosen = chosen.select("value", F.explode(F.array_distinct(F.array(*(f"hub{i}" for i in range(hubs))))).alias("hub"))
-    pairs = named.join(chosen, "value").filter(
-        (F.col("component") != F.col("hub.component"))
-    ).select("node", "n", F.col("hub.node").alias("hub"), F.col("hub.n").alias("hub_n"))
-    fitting = pairs.filter(_sizes_fit("n", "hub_n", percent))
-    return fitting.select(F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b")).distinct()
-
-
-def open_pairs(lists: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """Distinct pairs of a list that are still in different components."""
-    named = lists.join(labels, "node", "left").select(
-        "value", "node", "n", F.coalesce("component", "node").alias("component")
+        return lists.withColumn("component", F.col("node"))
+    joined = lists.join(labels, "node", "left")
+    return joined.withColumn("component", F.coalesce("component", "node"))
+
+
+def hub_pairs(lists: DataFrame, hubs: int, labels: DataFrame | None, percent: int) -> DataFrame:
+    """Distinct pairs of a list's hubs with its other nodes, where not yet connected.
+
+    Hubs are the nodes with the fewest values of their own: in a family of edited
+    copies they are next to the original, and most others are near them. Hubs of
+    later rounds are of different components.
+    """
+    named = _labelled(lists, labels)
+    row = F.struct("alone", "node", "n", "component", "place")
+    centres = named.groupBy("value", "component").agg(F.min(row).alias("hub"))
+    nearest = Window.partitionBy("value").orderBy("hub")
+    chosen = centres.select(
+        "value", "hub", F.row_number().over(nearest).alias("nth"), F.count("*").over(Window.partitionBy("value")).alias("many")
+    ).filter((F.col("nth") <= hubs) & (F.col("many") > 1))
+    pairs = named.join(chosen.select("value", "hub"), "value")
+    fit = _may_overlap(
+        {"n": F.col("n"), "place": F.col("place")}, {"n": F.col("hub.n"), "place": F.col("hub.place")}, percent
     )
+    pairs = pairs.filter((F.col("component") != F.col("hub.component")) & fit)
+    return pairs.select(
+        F.least("hub.node", "node").alias("a"), F.greatest("hub.node", "node").alias("b")
+    ).distinct()
+
+
+def open_pairs(lists: DataFrame, labels: DataFrame | None, percent: int) -> DataFrame:
+    """Distinct pairs of a list that are still in different components."""
+    named = _labelled(lists, labels)
     open_lists = named.groupBy("value").agg(
         F.min("component").alias("least"), F.max("component").alias("most")
     ).filter("least < most").select("value")
     named = stage(named.join(open_lists, "value", "left_semi"), "open-lists")
-    other = named.select(
-        "value", F.col("node").alias("node2"), F.col("n").alias("n2"), F.col("component").alias("component2")
-    )
+    other = named.select("value", *(F.col(c).alias(f"{c}2") for c in ("node", "n", "component", "place")))
     apart = (F.col("component") != F.col("component2")) & (F.col("node") < F.col("node2"))
-    pairs = named.join(other, "value").filter(apart & _sizes_fit("n", "n2", percent))
+    fit = _may_overlap(
+        {"n": F.col("n"), "place": F.col("place")}, {"n": F.col("n2"), "place": F.col("place2")}, percent
+    )
+    pairs = named.join(other, "value").filter(apart & fit)
     return pairs.select(F.col("node").alias("a"), F.col("node2").alias("b")).distinct()
 
 
@@ -158,7 +227,6 @@ def promising(pairs: DataFrame, nodes: DataFrame, size: int, percent: int) -> Da
         F.col("node").alias(name), F.col("n").alias(f"n_{name}"), F.col("sketch").alias(f"s_{name}")
     )
     joined = pairs.join(side("a"), "a").join(side("b"), "b")
-    least = least_shared(size, percent)
 
     def make():
         def step(ones, others, ns, ms, lefts, rights):
@@ -171,7 +239,7 @@ def promising(pairs: DataFrame, nodes: DataFrame, size: int, percent: int) -> Da
                         kept.append((a, b, True))
                 else:
                     shared, seen = union_sketch(one, other, size)
-                    if shared >= least - (size - seen):
+                    if seen < size or shared >= least_shared(min(n, m), size, percent):
                         kept.append((a, b, False))
             return [list(column) for column in zip(*kept)] or [[], [], []]
 
@@ -187,7 +255,7 @@ def node_texts(docs: DataFrame, nodes: DataFrame, lists: DataFrame, text: str, i
     wanted = listed.select("node", F.col("doc_id").alias("_wanted"), "text_hash")
     rows = docs.select(F.col(id_column).alias("_doc"), F.xxhash64(F.col(text)).alias("text_hash"), F.col(text).alias("text"))
     found = rows.join(wanted, (rows.text_hash == wanted.text_hash) & rows._doc.eqNullSafe(wanted._wanted))
-    return stage(found.select("node", "text"), "node-texts")
+    return stage(found.select("node", "text").dropDuplicates(["node"]), "node-texts")
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame, percent: int, words: int) -> DataFrame:
@@ -231,16 +299,15 @@ def find_links(
     docs: DataFrame, nodes: DataFrame, text: str, id_column: str, size: int, percent: int, words: int
 ) -> DataFrame | None:
     """``node, component`` of all nodes that are linked to another; None if none is."""
-    lists = inverted_lists(nodes, size, percent)
-    if lists.isEmpty():
+    listed = sketch_lists(nodes, size, percent)
+    if listed.isEmpty():
         return None
-    texts = node_texts(docs, nodes, lists, text, id_column)
+    texts = node_texts(docs, nodes, listed, text, id_column)
+    lists = full_lists(texts, percent, words)
     links, labels = None, None
     for number in range(len(HUBS) + 1):
         if number < len(HUBS):
-            pairs = hub_pairs(lists, HUBS[number], labels, percent, 10 * number)
-        elif labels is None:
-            pairs = open_pairs(lists, lists.select("node", F.col("node").alias("component")).distinct(), percent)
+            pairs = hub_pairs(lists, HUBS[number], labels, percent)
         else:
             pairs = open_pairs(lists, labels, percent)
         likely = stage(promising(stage(pairs, "pairs"), nodes, size, percent), "likely-pairs")
@@ -262,7 +329,7 @@ def near_duplicates(
     size: int = SKETCH,
     words: int = SHINGLE_WORDS,
 ) -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept`` of every row.
+    """``doc_id, text_hash, n_shingles, component_id, kept`` of every row.
 
     Texts are linked where their shingle sets overlap by ``percent`` of their union;
     the component is named by its smallest id, and that document is kept. Null and
@@ -281,10 +348,14 @@ def near_duplicates(
         placed = stage(placed, "components")
     names = placed.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     named = placed.join(names, "component").select("digest", "component_id")
-    rows = sketched.select("doc_id", "n_shingles", "digest")
+    rows = sketched.select("doc_id", "text_hash", "n_shingles", "digest")
     full = rows.filter(F.col("digest").isNotNull()).join(named, "digest").drop("digest")
-    empty = rows.filter(F.col("digest").isNull()).select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
+    empty = rows.filter(F.col("digest").isNull()).drop("digest").withColumn("component_id", F.col("doc_id"))
     result = full.unionByName(empty)
     return result.select(
-        F.col("doc_id").alias(id_column), "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept")
+        F.col("doc_id").alias(id_column),
+        "text_hash",
+        "n_shingles",
+        "component_id",
+        F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"),
     )
