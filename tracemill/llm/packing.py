@@ -317,7 +317,9 @@ def pack_documents(
     earlier = Window.partitionBy("length").orderBy("task")
     before = F.sum("held").over(earlier.rowsBetween(Window.unboundedPreceding, 0)) - F.col("held")
     offsets = held.select("task", "length", before.alias("before"))
-    ranked = pieces.join(offsets, ["task", "length"])
+    # As many rows as tasks times lengths: compressed they look small enough to broadcast,
+    # but they grow with the input.
+    ranked = pieces.join(offsets.hint("merge"), ["task", "length"])
     own = [id_column, "piece", "start", "length", "ids_crc32"] + (["ids"] if keep_ids else [])
     ranked = ranked.select(*own, (F.col("before") + F.col("place")).alias("rank"))
     fields = [f for f in ranked.schema if f.name != "rank"]
