@@ -189,9 +189,10 @@ def hub_pairs(lists: DataFrame, hubs: int, labels: DataFrame | None, percent: in
     row = F.struct("alone", "node", "n", "component", "place")
     centres = named.groupBy("value", "component").agg(F.min(row).alias("hub"))
     nearest = Window.partitionBy("value").orderBy("hub")
-    chosen = centres.select(
-        "value", "hub", F.row_number().over(nearest).alias("nth"), F.count("*").over(Window.partitionBy("value")).alias("many")
-    ).filter((F.col("nth") <= hubs) & (F.col("many") > 1))
+    # Spark keeps each task's first rows of a window that is cut at a rank.
+    first = centres.withColumn("nth", F.row_number().over(nearest)).filter(F.col("nth") <= hubs)
+    ends = named.groupBy("value").agg(F.min("component").alias("least"), F.max("component").alias("most"))
+    chosen = first.join(ends.filter("least < most"), "value", "left_semi")
     pairs = named.join(chosen.select("value", "hub"), "value")
     fit = _may_overlap(
         {"n": F.col("n"), "place": F.col("place")}, {"n": F.col("hub.n"), "place": F.col("hub.place")}, percent
