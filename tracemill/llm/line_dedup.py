@@ -73,15 +73,12 @@ def variant_keys(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     n = len(hashes)
     powers = np.ones(n + 1, dtype=np.uint64)
     np.multiply.accumulate(np.full(n, _BASE), out=powers[1:])
-    # ahead[i]: polynomial of the first i words; behind[i]: of those from i on.
-    terms = hashes * powers[n - 1 :: -1][:n]
+    # What lies behind a deleted word keeps its powers, what lies before it loses one.
+    terms = hashes * powers[:n][::-1]
     total = np.concatenate((np.zeros(1, np.uint64), np.add.accumulate(terms)))
     behind = total[n] - total
-    # Words before the deleted one move one place to the right.
     ahead = np.zeros(n, dtype=np.uint64)
-    sum_ = np.uint64(0)
-    shifted = hashes[:-1] * powers[n - 2 :: -1][: n - 1] if n > 1 else np.zeros(0, np.uint64)
-    ahead[1:] = np.add.accumulate(shifted) if n > 1 else sum_
+    ahead[1:] = np.add.accumulate(hashes[:-1] * powers[: n - 1][::-1])
     without = ahead + behind[1:]
     place = finish_hash(np.arange(n, dtype=np.uint64) + np.uint64(n << 32))
     keys = np.concatenate((finish_hash(without ^ place), finish_hash(without), finish_hash(total[n:])))
