@@ -2,8 +2,8 @@
 
 Shallow random trees over text statistics are taken apart: every path from a root is
 a conjunctive rule. Lasso logistic regression over the rules leaves few of them with
-a weight, and those are compiled into one Spark column. Scoring therefore is a
-projection, without a model object or Python in the tasks.
+a weight, and those are compiled into one Spark column: scoring is a projection over
+the statistics, without a model object.
 """
 
 from __future__ import annotations
@@ -12,12 +12,14 @@ import math
 import re
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tracemill.llm.quality_rules import metric_columns, text_counts
+from tracemill.llm.batches import map_slices
+from tracemill.llm.shingles import finish_hash, word_hashes
 from tracemill.sources.staging import stage
 
 FOLDS = 5
@@ -28,26 +30,28 @@ TRAINING_ROWS = 20_000
 TREES = 40
 DEPTH = 3
 PENALTY = 0.002
+ITERATIONS = 40
 SEED = 17
 _HASHES = 1 << 20
 
 # Characters whose rate per thousand is a statistic.
 CHARACTERS = {
-    "upper_rate": "ABCDEFGHIJKLMNOPQRSTUVWXYZ",
-    "digit_rate": "0123456789",
-    "stop_rate": ".?",
-    "shout_rate": "!",
-    "bar_rate": "|",
-    "mark_rate": "#*$%&<>",
-    "quote_rate": "\"'`",
-    "bracket_rate": "(){}[]",
-    "comma_rate": ",;:",
+    "upper_rate": b"ABCDEFGHIJKLMNOPQRSTUVWXYZ",
+    "digit_rate": b"0123456789",
+    "stop_rate": b".?",
+    "shout_rate": b"!",
+    "bar_rate": b"|",
+    "mark_rate": b"#*$%&<>",
+    "quote_rate": b"\"'`",
+    "bracket_rate": b"(){}[]",
+    "comma_rate": b",;:",
 }
+BLANKS = b" \t\n\x0b\x0c\r"
+WINDOW = 3
 STATISTICS = (
     "n_words",
     "n_lines",
     "word_length",
-    "symbol_rate",
     "dup_line_rate",
     "repeat_rate",
     *CHARACTERS,
@@ -59,22 +63,60 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % FOLDS == HELD_OUT_FOLD, F.lit(False))
 
 
+def repeated_words(hashes: np.ndarray, window: int = WINDOW) -> int:
+    """Words inside windows of words that occur twice or more in the text."""
+    runs = len(hashes) - window + 1
+    if runs < 2:
+        return 0
+    grams = np.zeros(runs, dtype=np.uint64)
+    for step in range(window):
+        grams = finish_hash(grams + hashes[step : step + runs])
+    order = np.argsort(grams, kind="stable")
+    same = grams[order][1:] == grams[order][:-1]
+    again = np.zeros(runs, dtype=bool)
+    again[order[1:][same]] = True
+    again[order[:-1][same]] = True
+    covered = np.zeros(len(hashes), dtype=bool)
+    for step in range(window):
+        covered[step : step + runs] |= again
+    return int(covered.sum())
+
+
+def statistics(text: str | None) -> tuple[float, ...]:
+    """``STATISTICS`` of one whole text; all are 0 for a null or empty one."""
+    text = text or ""
+    raw = text.encode("utf-8", "surrogatepass")
+    deleted = lambda found: len(raw) - len(raw.translate(None, found))
+    hashes = word_hashes(text)
+    words = max(len(hashes), 1)
+    lines = [line for line in raw.split(b"\n") if line.strip(BLANKS)]
+    size = max(len(text), 1)
+    return (
+        float(len(hashes)),
+        float(len(lines)),
+        (len(text) - deleted(BLANKS)) / words,
+        1000 * (len(lines) - len(set(lines))) / max(len(lines), 1),
+        1000 * repeated_words(hashes) / words,
+        *(1000 * deleted(found) / size for found in CHARACTERS.values()),
+    )
+
+
 def text_statistics(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` without the text, with ``STATISTICS`` of the whole of it.
+    """``docs`` without the text, with ``STATISTICS`` of the whole of it."""
+    kept = [field for field in docs.schema if field.name != text]
 
-    All are 0 for a null or empty text.
-    """
-    whole = F.coalesce(F.col(text), F.lit(""))
-    size = F.greatest(F.length(whole), F.lit(1))
-    rates = [
-        ((F.length(whole) - F.length(F.translate(whole, found, ""))) * 1000.0 / size).alias(name)
-        for name, found in CHARACTERS.items()
-    ]
-    kept = [name for name in docs.columns if name != text]
-    counted = text_counts(docs.select("*", *rates), text)
-    metrics = [column.alias(name) for name, column in metric_columns().items()]
-    measured = counted.select("*", *metrics)
-    return measured.select(*kept, *(F.col(name).cast("double").alias(name) for name in STATISTICS))
+    def make():
+        def step(*columns):
+            *others, texts = columns
+            rows = [statistics(whole) for whole in texts]
+            return [*others, *(list(column) for column in zip(*rows))]
+
+        return step
+
+    fields = [f"`{field.name}` {field.dataType.simpleString()}" for field in kept]
+    fields += [f"{name} double" for name in STATISTICS]
+    source = docs.select(*(field.name for field in kept), text)
+    return map_slices(source, make, ", ".join(fields))
 
 
 @dataclass(frozen=True, order=True)
@@ -161,7 +203,7 @@ def fit_rules(training: DataFrame) -> RuleModel:
     if len(counts) < 2:
         known = 0.0 if not counts else (6.0 if 1.0 in counts else -6.0)
         return RuleModel(known, ())
-    few = training.coalesce(8)
+    few = training.coalesce(4)
     rows = few.select("label", array_to_vector(F.array(*STATISTICS)).alias("features"))
     forest = RandomForestClassifier(
         numTrees=TREES, maxDepth=DEPTH, seed=SEED, featureSubsetStrategy="onethird", subsamplingRate=0.7
@@ -170,7 +212,7 @@ def fit_rules(training: DataFrame) -> RuleModel:
     if not rules:
         return RuleModel(math.log(counts[1.0] / counts[0.0]), ())
     fires = F.array(*(rule_column(rule).cast("double") for rule in rules))
-    lasso = LogisticRegression(elasticNetParam=1.0, regParam=PENALTY, maxIter=100, standardization=False)
+    lasso = LogisticRegression(elasticNetParam=1.0, regParam=PENALTY, maxIter=ITERATIONS, standardization=False)
     fitted = lasso.fit(few.select("label", array_to_vector(fires).alias("features")))
     pairs = zip(rules, map(float, fitted.coefficients.toArray()))
     return RuleModel(float(fitted.intercept), tuple((r, w) for r, w in pairs if w))
