@@ -97,3 +97,13 @@ def test_a_very_common_line(spark):
     kept = {r.doc_id: r.text for r in line_report(docs).collect()}
     assert kept[0] == rows[0][1] and all(text == "" for doc, text in kept.items() if doc)
     assert np.mean([text == "" for text in kept.values()]) > 0.99
+
+
+def test_short_lines_lose_exact_copies(spark):
+    """Lines of one to four words go where they are equal to an earlier one, not where they are near."""
+    rows = [(1, "All rights reserved.\nshort line one here\nstop"), (2, "own\nAll  rights reserved.\n\nshort line two here"), (3, "stop\n\n"), (4, "one more line of words"), (5, "one more line of")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    left = {r.doc_id: r.text for r in dedup_lines(docs).collect()}
+    assert left == {1: rows[0][1], 2: "own\n\nshort line two here", 4: rows[3][1], 5: rows[4][1]}
+    report = {r.doc_id: (r.n_exact, r.n_near) for r in line_report(docs, least_exact=1).collect()}
+    assert report == {1: (0, 0), 2: (1, 0), 3: (1, 0), 4: (0, 0), 5: (0, 0)}

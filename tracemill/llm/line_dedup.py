@@ -27,7 +27,9 @@ from tracemill.llm.batches import map_slices
 from tracemill.llm.shingles import finish_hash
 from tracemill.sources.staging import stage
 
+# Words of lines that are compared for one edit, and of those that lose exact copies.
 LEAST_WORDS = 5
+LEAST_EXACT = 1
 # Bits of the bitmap of shared halves, a multiple of Spark's 32,768 per bucket. A fuller
 # bitmap prunes less and changes no result.
 BITS = 1 << 26
@@ -103,16 +105,20 @@ def _identified(docs: DataFrame, text: str, id_column: str) -> DataFrame:
     return docs.select(F.col(id_column), F.xxhash64(F.col(text)), F.col(text))
 
 
-def line_table(docs: DataFrame, text: str, id_column: str, least_words: int) -> DataFrame:
-    """``doc, text_hash, line, digest, halves`` of every line with enough words, stored."""
+def line_table(docs: DataFrame, text: str, id_column: str, least_words: int, least_exact: int) -> DataFrame:
+    """``doc, text_hash, line, digest, halves`` of every line with enough words, stored.
+
+    Lines of ``least_exact`` words are there; those under ``least_words`` have no halves.
+    """
 
     def make():
         def step(names, hashes, texts):
             rows = []
             for name, own, whole in zip(names, hashes, texts):
                 for number, words in enumerate(line_words(whole or "")):
-                    if len(words) >= least_words:
-                        rows.append((name, own, number, line_digest(words), half_keys(words)))
+                    if len(words) >= least_exact:
+                        halves = half_keys(words) if len(words) >= least_words else []
+                        rows.append((name, own, number, line_digest(words), halves))
             return [list(column) for column in zip(*rows)] or [[] for _ in range(5)]
 
         return step
@@ -222,11 +228,15 @@ def earlier_near(candidates: DataFrame, firsts: DataFrame) -> DataFrame:
     return stage(map_slices(worded, verify, "digest binary").distinct(), "near-lines")
 
 
-def lost_lines(docs: DataFrame, text: str, id_column: str, least_words: int = LEAST_WORDS) -> DataFrame:
+def lost_lines(
+    docs: DataFrame, text: str, id_column: str, least_words: int = LEAST_WORDS, least_exact: int = LEAST_EXACT
+) -> DataFrame:
     """``doc, text_hash, exact, near``: the numbers of the lines each document loses."""
     if least_words < 3:
         raise ValueError(f"lines of {least_words} words have no two halves")
-    lines = line_table(docs, text, id_column, least_words)
+    if not 1 <= least_exact <= least_words:
+        raise ValueError(f"exact copies of {least_exact} words, near ones of {least_words}")
+    lines = line_table(docs, text, id_column, least_words, least_exact)
     firsts = lines.groupBy("digest").agg(F.min(position()).alias("first"), F.count("*").alias("times"))
     firsts = stage(firsts, "first-lines")
     shared = shared_halves(lines)
@@ -243,9 +253,9 @@ def lost_lines(docs: DataFrame, text: str, id_column: str, least_words: int = LE
     )
 
 
-def _cleaned(docs: DataFrame, text: str, id_column: str, least_words: int) -> DataFrame:
+def _cleaned(docs: DataFrame, text: str, id_column: str, least_words: int, least_exact: int) -> DataFrame:
     """``document`` as it was, its new ``text``, and ``n_lines, n_exact, n_near``."""
-    lost = lost_lines(docs, text, id_column, least_words)
+    lost = lost_lines(docs, text, id_column, least_words, least_exact)
     whole = docs.select(F.struct(*docs.columns).alias("document"))
     body = F.col("document")[text]
     own = whole.select("document", F.xxhash64(body).alias("own_hash"))
@@ -265,30 +275,39 @@ def _cleaned(docs: DataFrame, text: str, id_column: str, least_words: int) -> Da
 
 
 def line_report(
-    docs: DataFrame, text: str = "text", id_column: str = "doc_id", least_words: int = LEAST_WORDS
+    docs: DataFrame,
+    text: str = "text",
+    id_column: str = "doc_id",
+    least_words: int = LEAST_WORDS,
+    least_exact: int = LEAST_WORDS,
 ) -> DataFrame:
     """Every document's ``n_lines, n_exact, n_near`` and the text that is left.
 
     A line goes where an earlier line, in any document, has the same words (exact) or is
     one word's insertion, deletion or replacement away (near), whether or not that one
     stays. Earlier means a smaller id, then a smaller line number; rows without id come
-    last. Lines with fewer than ``least_words`` words always stay. A null text stays null
+    last. Lines with fewer than ``least_words`` words have no near ones, and with fewer than
+    ``least_exact`` they always stay; its default is the rule of the SQL of op8. A null text stays null
     and has no lines, an empty one has one. Repeated rows are one document and
     lose the same lines. Other columns are not looked at.
     """
-    cleaned = _cleaned(docs.select(id_column, text), text, id_column, least_words)
+    cleaned = _cleaned(docs.select(id_column, text), text, id_column, least_words, least_exact)
     return cleaned.select(f"document.{id_column}", "n_lines", "n_exact", "n_near", F.col("text").alias(text))
 
 
 def dedup_lines(
-    docs: DataFrame, text: str = "text", id_column: str = "doc_id", least_words: int = LEAST_WORDS
+    docs: DataFrame,
+    text: str = "text",
+    id_column: str = "doc_id",
+    least_words: int = LEAST_WORDS,
+    least_exact: int = LEAST_EXACT,
 ) -> DataFrame:
     """``docs`` with repeated lines cut out, by the rule of :func:`line_report`.
 
-    Documents that lose lines and have no word left go. All columns but the text are
+    Unless ``least_exact`` says otherwise, every line with a word loses its exact copies. Documents that lose lines and have no word left go. All columns but the text are
     handed on as they are.
     """
-    cleaned = _cleaned(docs, text, id_column, least_words)
+    cleaned = _cleaned(docs, text, id_column, least_words, least_exact)
     bare = F.regexp_like("text", F.lit(r"^[\x20\x09-\x0D]*$"))
     left = cleaned.filter((F.col("n_exact") + F.col("n_near") == 0) | ~bare)
     own = [
