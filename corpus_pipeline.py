@@ -14,6 +14,9 @@ from tracemill.llm.queries import tokenizer
 from tracemill.llm.verdicts import keep_rows
 from tracemill.sources.staging import stage
 
+# Documents are near duplicates from this share of common shingles of five words on.
+NEAR_PERCENT = 80
+
 
 def _sized(docs: DataFrame) -> DataFrame:
     """``n_chars`` of the text as it is now, where documents carry it."""
@@ -36,7 +39,7 @@ def cut_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates."""
-    return keep_rows(docs, near_dedup.near_duplicates(docs))
+    return keep_rows(docs, near_dedup.near_duplicates(docs, percent=NEAR_PERCENT))
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
