@@ -1,5 +1,6 @@
 from collections import defaultdict
 
+import pytest
 from pyspark.sql import functions as F
 
 from tracemill.llm import slots
@@ -72,3 +73,34 @@ def test_whole_records_are_written(spark, odd_documents, tmp_path):
 def test_native(spark, odd_documents):
     plan = slots.shard_records(odd_documents, 3)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_a_stored_map_takes_all_later_rows(spark):
+    """Later rows lie in slots, and in parts of a divided slot, that were empty before."""
+    before = spark.range(40).select(F.col("id").alias("doc_id"), F.lit("text").alias("text"))
+    long = spark.createDataFrame([(7, "x" * 5000)], "doc_id long, text string")
+    before = before.unionByName(long)
+    measured = slots.measure(before, "doc_id", "text", 64)
+    parts = slots.slot_parts(measured, 64)
+    slot_map = slots.first_map(slots.placed(measured, parts), parts, 4)
+    rows = slot_map.collect()
+    held = {(r.virtual_slot, r.part) for r in rows}
+    assert held == {(r.virtual_slot, p) for r in rows for p in range(r.parts)}
+    assert {r.virtual_slot for r in rows} == set(range(64)) and max(r.parts for r in rows) > 10
+    later = spark.range(3000).select((F.col("id") % 300).alias("doc_id"), F.lit("text").alias("text"))
+    later = later.unionByName(spark.range(500).select(F.lit(7).cast("long").alias("doc_id"), F.lit("x").alias("text")))
+    found = slots.shard_records(later, 4, slots=64, slot_map=slot_map).collect()
+    assert len(found) == 3500
+    check_places(found, 4)
+    next_map = slots.rebalance(slot_map, slots.slot_totals(slots.placed(measured, parts)), 5).collect()
+    assert {(r.virtual_slot, r.part) for r in next_map} == held and len(next_map) == len(rows)
+
+
+def test_a_missing_owner_is_an_error(spark):
+    docs = spark.range(300).select(F.col("id").alias("doc_id"), F.lit("text").alias("text"))
+    measured = slots.measure(docs, "doc_id", "text", 64)
+    parts = slots.slot_parts(measured, 64)
+    slot_map = slots.first_map(slots.placed(measured, parts), parts, 4)
+    for lacking in (slot_map.filter("virtual_slot <> 5"), slot_map.withColumn("parts", F.lit(2))):
+        with pytest.raises(Exception, match="no owner of slot"):
+            slots.shard_records(docs, 4, slots=64, slot_map=lacking).count()

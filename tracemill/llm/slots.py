@@ -6,7 +6,8 @@ Rebalancing edits the map and moves no more slots than it must.
 
 A slot with far more bytes than the others, as one id with very many rows makes, is
 dealt into parts that the map treats as slots of their own. The map therefore has at
-most twice as many rows as there are slots, whatever the data.
+most twice as many rows as there are slots, whatever the data. It has every slot and every
+part, those without rows too, so that later rows find an owner.
 """
 
 from __future__ import annotations
@@ -29,6 +30,10 @@ def text_crc32(text: Column) -> Column:
     return F.coalesce(F.crc32(F.encode(text, "UTF-8")), F.lit(0).cast("long"))
 
 
+def slot_of(key: Column, slots: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(slots)).cast("int")
+
+
 def measure(docs: DataFrame, key: str, text: str, slots: int) -> DataFrame:
     """The key, size, checksum and slot of every row, stored with a row number.
 
@@ -39,34 +44,63 @@ def measure(docs: DataFrame, key: str, text: str, slots: int) -> DataFrame:
         F.col(key).alias("record"),
         utf8_size(F.col(text)).alias("size"),
         text_crc32(F.col(text)).alias("text_crc32"),
-        F.pmod(F.xxhash64(F.col(key)), F.lit(slots)).cast("int").alias("virtual_slot"),
+        slot_of(F.col(key), slots).alias("virtual_slot"),
         F.monotonically_increasing_id().alias("row"),
     )
     return stage(narrow, "slot-records")
 
 
 def slot_parts(measured: DataFrame, slots: int) -> DataFrame:
-    """``virtual_slot, parts``: slots beyond twice the mean size are dealt into parts."""
+    """``virtual_slot, parts`` of every slot: those beyond twice the mean size are dealt into parts."""
     sums = measured.groupBy("virtual_slot").agg(F.sum("size").alias("bytes"))
     total = sums.agg(F.sum("bytes").alias("total"))
     share = F.greatest(F.ceil(F.col("total") / slots), F.lit(1))
     whole = F.col("bytes") <= 2 * share
     parts = F.when(whole, 1).otherwise(F.ceil(F.col("bytes") / share)).cast("int")
-    # One row beside at most `slots` rows.
-    return sums.join(F.broadcast(total)).select("virtual_slot", parts.alias("parts"))
+    every = measured.sparkSession.range(slots).select(F.col("id").cast("int").alias("virtual_slot"))
+    # At most `slots` rows, and one row beside them.
+    filled = sums.join(F.broadcast(total)).select("virtual_slot", parts.alias("parts"))
+    return every.join(F.broadcast(filled), "virtual_slot", "left").select(
+        "virtual_slot", F.coalesce("parts", F.lit(1)).alias("parts")
+    )
 
 
 def placed(measured: DataFrame, parts: DataFrame) -> DataFrame:
-    """Measured rows with the part of their slot; ``parts`` has a row per slot."""
-    joined = measured.join(F.broadcast(parts), "virtual_slot")
+    """Measured rows with the part of their slot; ``parts`` has a row per slot.
+
+    Rows of a slot that is not there get part -1, which no map has.
+    """
+    joined = measured.join(F.broadcast(parts), "virtual_slot", "left")
     part = F.pmod(F.xxhash64("row"), F.col("parts")).cast("int")
-    return joined.select("*", part.alias("part"))
+    return joined.select("*", F.coalesce(part, F.lit(-1)).alias("part"))
+
+
+def owned(rows: DataFrame, slot_map: DataFrame) -> DataFrame:
+    """Placed rows with their shard; a row whose slot or part the map lacks is an error."""
+    # At most 2 * slots rows.
+    owners = slot_map.select("virtual_slot", "part", F.col("shard").alias("owner"))
+    joined = rows.join(F.broadcast(owners), ["virtual_slot", "part"], "left")
+    missing = F.concat(F.lit("the map has no owner of slot "), F.col("virtual_slot").cast("string"))
+    shard = F.when(F.col("owner").isNull(), F.raise_error(missing)).otherwise(F.col("owner"))
+    return joined.select(*rows.columns, shard.cast("int").alias("shard"))
 
 
-def slot_totals(rows: DataFrame) -> DataFrame:
-    return rows.groupBy("virtual_slot", "part", "parts").agg(
+def slot_totals(rows: DataFrame, parts: DataFrame | None = None) -> DataFrame:
+    """Rows and bytes by slot and part; with ``parts`` of every slot also where there are none."""
+    totals = rows.groupBy("virtual_slot", "part", "parts").agg(
         F.count("*").alias("slot_rows"), F.sum("size").alias("slot_bytes")
     )
+    return totals if parts is None else every_part(totals, parts)
+
+
+def every_part(totals: DataFrame, parts: DataFrame) -> DataFrame:
+    """Totals with a row for each part from 0 on, of size 0 where nothing is known."""
+    part = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")
+    every = parts.select("virtual_slot", part, "parts")
+    count = lambda name: F.coalesce(name, F.lit(0)).cast("long").alias(name)
+    return every.join(F.broadcast(totals.drop("parts")), ["virtual_slot", "part"], "left").select(
+        *every.columns, count("slot_rows"), count("slot_bytes")
+    )
 
 
 def initial_map(totals: DataFrame, shards: int, version: int = 1) -> DataFrame:
@@ -91,8 +125,12 @@ def rebalance(current: DataFrame, totals: DataFrame, shards: int) -> DataFrame:
     Each shard keeps its slots, largest first, while they fit into an even share;
     the rest, and slots new to the map, fill what room the shards have left. Room
     and moving slots are laid out along one line of bytes, and a slot goes to the
-    shard at its middle. Slots that stay are not touched.
+    shard at its middle. Slots that stay are not touched, nor are empty ones with a shard;
+    empty ones without are dealt out in turn. Slots of the map that ``totals`` lacks are empty.
     """
+    lacking = current.join(F.broadcast(totals.select("virtual_slot")), "virtual_slot", "left_anti")
+    fields = ["virtual_slot", "parts"]
+    totals = every_part(totals, totals.select(*fields).unionByName(lacking.select(*fields)).distinct())
     known = current.select("version", "virtual_slot", "part", "shard")
     version = current.agg((F.max("version") + 1).alias("next"))
     keys = ["virtual_slot", "part"]
@@ -103,8 +141,10 @@ def rebalance(current: DataFrame, totals: DataFrame, shards: int) -> DataFrame:
     held = Window.partitionBy("shard").orderBy(F.desc("slot_bytes"), *keys)
     upto = F.sum("slot_bytes").over(held.rowsBetween(Window.unboundedPreceding, 0))
     state = state.select("*", share, upto.alias("upto"))
-    stays = F.col("shard").isNotNull() & (F.col("upto") <= F.col("share"))
-    staying, moving = state.filter(stays), state.filter(~stays)
+    empty = F.col("slot_bytes") == 0
+    stays = F.col("shard").isNotNull() & (empty | (F.col("upto") <= F.col("share")))
+    staying, moving = state.filter(stays), state.filter(~stays & ~empty)
+    dealt = state.filter(~stays & empty).withColumn("shard", F.pmod(F.col("virtual_slot") + F.col("part"), F.lit(shards)))
 
     spark = totals.sparkSession
     used = staying.groupBy("shard").agg(F.sum("slot_bytes").alias("used"))
@@ -123,13 +163,13 @@ def rebalance(current: DataFrame, totals: DataFrame, shards: int) -> DataFrame:
     within = (F.col("middle") >= F.col("from")) & (F.col("middle") < F.col("to"))
     moved = moving.join(F.broadcast(room), within)
     fields = MAP_FIELDS[1:]
-    edited = staying.select(*fields).unionByName(moved.select(*fields))
+    edited = staying.select(*fields).unionByName(moved.select(*fields)).unionByName(dealt.select(*fields))
     return edited.join(F.broadcast(version)).select(F.col("next").alias("version"), *fields)
 
 
-def first_map(rows: DataFrame, shards: int) -> DataFrame:
+def first_map(rows: DataFrame, parts: DataFrame, shards: int) -> DataFrame:
     """The stored map of placed rows: dealt out, then evened out once."""
-    totals = stage(slot_totals(rows), "slot-totals")
+    totals = stage(slot_totals(rows, parts), "slot-totals")
     return stage(rebalance(initial_map(totals, shards, version=0), totals, shards), "slot-map")
 
 
@@ -176,20 +216,18 @@ def shard_records(
     """Every row's ``size, text_crc32, virtual_slot, part, shard, slot``.
 
     Shards are near equal in bytes. Without ``slot_map`` a first one is made from
-    the data. A null text has size 1 and checksum 0; rows with a null key share a
+    the data. A map without the slot or part of a row is an error. A null text has size 1 and checksum 0; rows with a null key share a
     slot, which is dealt into parts if it is large. Copied rows each get a place of
     their own. Columns of ``docs`` other than the two named are not looked at.
     """
     measured = measure(docs, key, text, slots)
     if slot_map is None:
-        rows = placed(measured, slot_parts(measured, slots))
-        slot_map = first_map(rows, shards)
+        parts = slot_parts(measured, slots)
+        rows = placed(measured, parts)
+        slot_map = first_map(rows, parts, shards)
     else:
         rows = placed(measured, slot_map.select("virtual_slot", "parts").distinct())
-    # At most 2 * slots rows.
-    owners = slot_map.select("virtual_slot", "part", "shard")
-    owned = rows.join(F.broadcast(owners), ["virtual_slot", "part"])
-    return number_rows(owned).select(
+    return number_rows(owned(rows, slot_map)).select(
         F.col("record").alias(key), "size", "text_crc32", "virtual_slot", "part", "shard", "slot"
     )
 
@@ -201,21 +239,19 @@ def write_shards(
     """Write whole records into folders ``_shard=0`` and so on; returns the slot map.
 
     Every task writes what it has read, so nothing is shuffled. Rows of a divided
-    slot are spread by their position.
+    slot are spread by their number, which is stored with them.
     """
-    measured = measure(docs, key, text, slots)
-    slot_map = first_map(placed(measured, slot_parts(measured, slots)), shards)
-    slot = F.pmod(F.xxhash64(F.col(key)), F.lit(slots)).cast("int")
-    whole = docs.select(
+    numbered = docs.select(
         F.struct(*docs.columns).alias("_record"),
-        slot.alias("virtual_slot"),
-        F.xxhash64(F.monotonically_increasing_id()).alias("_row"),
+        slot_of(F.col(key), slots).alias("virtual_slot"),
+        utf8_size(F.col(text)).alias("size"),
+        F.monotonically_increasing_id().alias("row"),
     )
-    parts = slot_map.select("virtual_slot", "parts").distinct()
-    dealt = whole.join(F.broadcast(parts), "virtual_slot")
-    dealt = dealt.withColumn("part", F.pmod("_row", F.col("parts")).cast("int"))
-    owners = slot_map.select("virtual_slot", "part", "shard")
-    owned = dealt.join(F.broadcast(owners), ["virtual_slot", "part"])
-    sharded = owned.select("_record.*", F.col("shard").alias("_shard"))
+    whole = stage(numbered, "slot-documents")
+    measured = whole.select("virtual_slot", "size", "row")
+    parts = slot_parts(measured, slots)
+    slot_map = first_map(placed(measured, parts), parts, shards)
+    dealt = placed(whole, slot_map.select("virtual_slot", "parts").distinct())
+    sharded = owned(dealt, slot_map).select("_record.*", F.col("shard").alias("_shard"))
     sharded.write.partitionBy("_shard").parquet(path)
     return slot_map
