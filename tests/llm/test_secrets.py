@@ -73,3 +73,37 @@ def test_redacted_rows(spark):
     docs = spark.createDataFrame([(1, TEXTS[0]), (2, None)], "doc_id long, text string")
     rows = {r.doc_id: r.text for r in s.redact_secrets(docs).collect()}
     assert rows == {1: '[secret]" and [secret]', 2: None}
+
+
+def test_short_and_digitless_tokens_are_scored(spark):
+    """Bare credentials of 12 characters, and of letters only, among prose."""
+    import random
+
+    pick = random.Random(4)
+    upper = lambda n: "".join(pick.choice("GHJKLMNPQRSTUVWXYZ") for _ in range(n))
+    mixed = lambda n: "".join(pick.choice("0123456789abcdef") for _ in range(n))
+    prose = " ".join(f"{a}{b}" for a in ("inter", "under", "super", "counter") for b in ("national", "standing", "visor", "active"))
+    rows = [(i, f"{prose} token={make(n)} more") for i, (make, n) in enumerate([(upper, 24), (mixed, 12)] * 150)]
+    short, letters = mixed(12), upper(24)
+    rows += [(1000, f"see {short} there"), (1001, f"see {letters} there"), (1002, prose)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    spans = {r.doc_id: r.spans for r in s.scan_secrets(docs).collect()}
+    assert (spans[1000], spans[1001], spans[1002]) == ("format:4:16", "format:4:28", "")
+
+
+def test_remembered_odds_and_overlaps():
+    formats = s.Formats(s.infer_automaton(["ab12cd34ef", "XYZ+/=-_0"]), s.infer_automaton(["ordinary", "words-of"]))
+    odds = s.remembering(formats)
+    for word in ("ab12cd34ef", "zz99zz99zz", "ordinary", "ab12cd34ee", "x" * 200):
+        assert odds(word) == odds(word) == formats.odds(word)
+    found = [(5, 9, "hex"), (0, 6, "assign"), (20, 22, "access")]
+    tokens = [(0, 2), (8, 12), (9, 12), (12, 20), (12, 21), (21, 30), (22, 30)]
+    assert s.untouched(tokens, found) == [(9, 12), (12, 20), (22, 30)]
+
+
+def test_what_no_automaton_explains_is_no_credential():
+    labelled = [hashlib.sha1(str(i).encode()).hexdigest() for i in range(300)]
+    ordinary = ["international", "understanding", "organisations", "whatsoever"] * 100
+    formats = s.Formats(s.infer_automaton(labelled), s.infer_automaton(ordinary))
+    assert all(formats.odds(word) < 0 for word in ("STATEMENT", "CONSTITUTION", "understanding"))
+    assert formats.odds(labelled[0][:12]) > s.LEAST_ODDS

@@ -2,9 +2,10 @@
 
 Values that the fixed patterns find are labelled credentials. Their prefix tree is
 folded into a probabilistic automaton by merging states whose outcomes do not differ
-significantly (ALERGIA); a second automaton comes from ordinary long tokens. Every
-long token outside the fixed findings is then scored by the likelihood ratio of the
-two, and reported if the credentials' format explains it better.
+significantly (ALERGIA); a second automaton comes from ordinary tokens. Every token
+outside the fixed findings that is as long as a labelled credential may be is then scored
+by its likelihood ratio, and reported if the credentials' format explains it better than the
+ordinary one and than characters drawn at random.
 
 Automata are learned from bounded samples (``SAMPLE``) and are small; the texts are
 scanned where they lie, without a shuffle.
@@ -13,11 +14,14 @@ scanned where they lie, without a shuffle.
 from __future__ import annotations
 
 import hashlib
+import heapq
 import math
 import re
-from collections.abc import Iterable, Iterator
+from bisect import bisect_right
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass, field
 
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,16 +39,17 @@ ASSIGN_LEAST, ACCESS_LEAST, HEX_LEAST = 8, 16, 32
 KINDS = ("assign", "access", "hex", "format")
 BASE_KINDS = KINDS[:3]
 
-# Tokens the automata judge.
-LEAST_TOKEN = 16
+# Tokens the automata judge: all that are long enough for a labelled credential.
+LEAST_TOKEN = ASSIGN_LEAST
 TOKEN = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{%d,}" % LEAST_TOKEN)
-DIGIT = re.compile(r"[0-9]")
 # Distinct values of either sort that the automata are learned from.
 SAMPLE = 1000
 # Chance of keeping two states apart that are the same.
 ALPHA = 0.05
 # Natural logarithm of the odds at which a token is reported.
 LEAST_ODDS = 3.0
+# Strings of character classes whose odds a task remembers, and the longest of them.
+REMEMBERED, LONGEST_REMEMBERED = 1 << 16, 64
 
 Span = tuple[int, int, str]
 
@@ -63,6 +68,7 @@ def symbol(character: str) -> str:
 
 
 SYMBOLS = "0aAzZ+/_=-."
+_CLASSES = {code: symbol(chr(code)) for code in range(128)}
 
 
 @dataclass
@@ -182,7 +188,27 @@ class Formats:
     def odds(self, word: str) -> float:
         if self.credentials is None:
             return -math.inf
-        return log_likelihood(self.credentials, word) - log_likelihood(self.ordinary, word)
+        # A token that neither automaton explains, such as a word in capitals, is no credential.
+        chance = -(len(word) + 1) * math.log(len(SYMBOLS) + 1)
+        return log_likelihood(self.credentials, word) - max(log_likelihood(self.ordinary, word), chance)
+
+
+def remembering(formats: Formats) -> Callable[[str], float]:
+    """``formats.odds``, which depend on the classes of the characters only."""
+    known: dict[str, float] = {}
+
+    def odds(word: str) -> float:
+        classes = word.translate(_CLASSES)
+        if classes in known:
+            return known[classes]
+        value = formats.odds(classes)
+        if len(classes) <= LONGEST_REMEMBERED:
+            if len(known) >= REMEMBERED:
+                known.clear()
+            known[classes] = value
+        return value
+
+    return odds
 
 
 def base_spans(text: str) -> list[Span]:
@@ -208,8 +234,27 @@ def long_tokens(text: str) -> Iterator[tuple[int, int]]:
     return ((m.start(), m.end()) for m in TOKEN.finditer(text))
 
 
+def untouched(tokens: list[tuple[int, int]], found: list[Span]) -> list[tuple[int, int]]:
+    """The tokens that overlap no span."""
+    if not found:
+        return tokens
+    starts, ends = [], []
+    for start, end, _ in sorted(found):
+        if ends and start <= ends[-1]:
+            ends[-1] = max(ends[-1], end)
+        else:
+            starts.append(start)
+            ends.append(end)
+    free = []
+    for start, end in tokens:
+        at = bisect_right(ends, start)
+        if at == len(ends) or starts[at] >= end:
+            free.append((start, end))
+    return free
+
+
 def scan(text: str) -> tuple[list[Span], list[tuple[int, int]]]:
-    """Base spans, and long tokens with a digit that touch none of them.
+    """Base spans, and long tokens that touch none of them.
 
     A run of 32 hexadecimal digits always lies inside a long token, so only those
     are searched for it.
@@ -222,10 +267,8 @@ def scan(text: str) -> tuple[list[Span], list[tuple[int, int]]]:
                 for m in HEX.finditer(text[start:end])
                 if m.end() - m.start() >= HEX_LEAST
             ]
-        if DIGIT.search(text, start, end):
-            tokens.append((start, end))
-    free = [t for t in tokens if not any(s < t[1] and t[0] < e for s, e, _ in found)]
-    return found, free
+        tokens.append((start, end))
+    return found, untouched(tokens, found)
 
 
 def in_order(spans: Iterable[Span]) -> list[Span]:
@@ -236,12 +279,18 @@ def write_spans(spans: Iterable[Span]) -> str:
     return ",".join(f"{kind}:{start}:{end}" for start, end, kind in spans)
 
 
-def _examples(docs: DataFrame, text: str) -> DataFrame:
-    """``labelled, value`` of every credential and ordinary token of the corpus."""
+def _place(value: str) -> tuple[int, str]:
+    """The order of ``xxhash64(value), value`` in Spark."""
+    key = xxhash.xxh64_intdigest(value.encode(), 42)
+    return (key - (1 << 64) if key >> 63 else key), value
+
+
+def _examples(docs: DataFrame, text: str, sample: int) -> DataFrame:
+    """``labelled, value`` of credentials and ordinary tokens: of either sort the first of every slice."""
 
     def make():
         def step(texts):
-            labels, values = [], []
+            values = {True: set(), False: set()}
             for whole in texts:
                 if not whole:
                     continue
@@ -250,11 +299,14 @@ def _examples(docs: DataFrame, text: str) -> DataFrame:
                     value = whole[start:end]
                     if kind == "assign":
                         value = ASSIGN.match(value)[2]
-                    labels.append(True)
-                    values.append(value)
-                labels += [False] * len(free)
-                values += [whole[start:end] for start, end in free]
-            return [labels, values]
+                    values[True].add(value)
+                values[False].update(whole[start:end] for start, end in free)
+            out = ([], [])
+            for labelled, own in values.items():
+                first = heapq.nsmallest(sample, (v for v in own if len(v) <= 1000), key=_place)
+                out[0].extend([labelled] * len(first))
+                out[1].extend(first)
+            return list(out)
 
         return step
 
@@ -263,7 +315,7 @@ def _examples(docs: DataFrame, text: str) -> DataFrame:
 
 def learn_formats(docs: DataFrame, text: str = "text", sample: int = SAMPLE) -> Formats:
     """Automata from at most ``sample`` distinct values of either sort, by hash."""
-    distinct = _examples(docs, text).filter(F.length("value") <= 1000).distinct()
+    distinct = _examples(docs, text, sample).distinct()
     words = {}
     for labelled in (True, False):
         some = distinct.filter(F.col("labelled") == labelled)
@@ -273,11 +325,17 @@ def learn_formats(docs: DataFrame, text: str = "text", sample: int = SAMPLE) ->
     return Formats(credentials, infer_automaton(words[False]))
 
 
-def find_spans(text: str | None, formats: Formats, least_odds: float = LEAST_ODDS) -> list[Span]:
-    """All spans of a text in order; none for a null text."""
+def find_spans(
+    text: str | None,
+    formats: Formats,
+    least_odds: float = LEAST_ODDS,
+    odds: Callable[[str], float] | None = None,
+) -> list[Span]:
+    """All spans of a text in order; none for a null text. ``odds`` may remember those of ``formats``."""
     found, free = scan(text or "")
-    odds = ((start, end, formats.odds(text[start:end])) for start, end in free)
-    return in_order(found + [(s, e, "format") for s, e, value in odds if value >= least_odds])
+    odds = odds or formats.odds
+    scored = ((start, end, odds(text[start:end])) for start, end in free)
+    return in_order(found + [(s, e, "format") for s, e, value in scored if value >= least_odds])
 
 
 def redact(text: str, spans: Iterable[Span], mark: str) -> str:
@@ -304,10 +362,12 @@ def scan_secrets(
     learned = formats or learn_formats(docs, text)
 
     def make():
+        odds = remembering(learned)
+
         def step(ids, texts):
             rows = []
             for name, whole in zip(ids, texts):
-                spans = find_spans(whole, learned)
+                spans = find_spans(whole, learned, odds=odds)
                 base = [span for span in spans if span[2] in BASE_KINDS]
                 counts = [sum(kind == k for *_, kind in base) for k in BASE_KINDS]
                 digest = hashlib.sha256(write_spans(base).encode()).hexdigest()
@@ -332,8 +392,9 @@ def redact_secrets(
 
     @F.pandas_udf("string")
     def clean(texts):
+        odds = remembering(learned)
         return texts.map(
-            lambda whole: whole and redact(whole, find_spans(whole, learned), mark),
+            lambda whole: whole and redact(whole, find_spans(whole, learned, odds=odds), mark),
             na_action="ignore",
         )
 
