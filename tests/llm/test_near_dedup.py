@@ -1,5 +1,6 @@
 import random
 import re
+from math import comb
 
 from tracemill.llm.components import connected_components
 from tracemill.llm.near_dedup import least_shared, near_duplicates
@@ -92,3 +93,11 @@ def test_needed_overlap():
     assert least_shared(10, 64, 85) == 9
     assert least_shared(64, 64, 85) <= 55
     assert 35 <= least_shared(10**6, 64, 85) <= 38
+
+
+def test_chance_of_a_missed_link():
+    """The figures of the module's docstring."""
+    for percent, chance in ((85, 3.5e-8), (80, 1.95e-8)):
+        p, needed = percent / 100, least_shared(10**9, 64, percent)
+        missed = sum(comb(64, i) * p**i * (1 - p) ** (64 - i) for i in range(needed))
+        assert 0.99 * chance < missed < 1.01 * chance
