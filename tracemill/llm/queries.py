@@ -7,7 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracemill.llm import bpe, fingerprints, line_dedup, near_dedup, packing, quality_rules, rule_ensemble, secrets, slots, url_rules
+from tracemill.llm import (
+    bpe,
+    fingerprints,
+    line_dedup,
+    near_dedup,
+    packing,
+    quality_rules,
+    rule_ensemble,
+    secrets,
+    slots,
+    token_counts,
+    url_rules,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -116,3 +128,8 @@ def op8_line_dedup(spark, sf_dir):
 @query
 def op7_bottom_k_fingerprints(spark, sf_dir):
     return fingerprints.compare_with_next(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_whole_tokens(spark, sf_dir):
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
