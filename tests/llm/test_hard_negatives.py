@@ -1,0 +1,138 @@
+"""Mined negatives against all scores, and the bounds that end a walk."""
+
+import math
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tracemill.llm import hard_negatives
+from tracemill.llm.hard_negatives import NO_ID, Tiles, bounds_of, directions, exact_scores, mine_negatives
+from tracemill.llm.hard_negatives import negatives_of_embeddings
+
+
+def plain(rows, positives=5, negatives=3):
+    """By trying all pairs. Rows are (vec_id, vector, label); ids of None come last."""
+    sound = []
+    for vec_id, vector, label in rows:
+        if label is None or vector is None or any(x is None or not math.isfinite(x) for x in vector):
+            continue
+        if vec_id is not None and vec_id % 7 == 0:
+            label = (label + 1) % 10
+        sound.append((vec_id, [math.floor(256 * x) for x in vector], label))
+    score = lambda a, b: sum(x * y for x, y in zip(a, b))
+    place = lambda s: (-s[0], s[1] is None, s[1] or 0)
+    found = []
+    for at, (vec_id, vector, label) in enumerate(sound):
+        if vec_id is None or vec_id % 50:
+            continue
+        others = [(score(vector, v), i, lab) for n, (i, v, lab) in enumerate(sound) if n != at]
+        for p_score, p_id, _ in sorted((o for o in others if o[2] == label), key=place)[:positives]:
+            hard = (o for o in others if o[2] != label and 50 * p_score <= 100 * o[0] <= 95 * p_score)
+            for rank, (n_score, n_id, _) in enumerate(sorted(hard, key=place)[:negatives], 1):
+                found.append((vec_id, p_id, rank, n_id, p_score, n_score))
+    return sorted(found, key=repr)
+
+
+def mined(df):
+    return sorted(map(tuple, negatives_of_embeddings(df).collect()), key=repr)
+
+
+def table(spark, rows):
+    return spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+
+
+def near_groups(chance, count, size=6, spread=0.3):
+    """Vectors around a few directions, in quarters so that scores are often equal."""
+    centres = [[chance.gauss(0, 1) for _ in range(size)] for _ in range(4)]
+    vectors = []
+    for _ in range(count):
+        centre = chance.choice(centres)
+        vectors.append([round(4 * (x + chance.gauss(0, spread))) / 4 for x in centre])
+    return vectors
+
+
+@pytest.mark.parametrize("seed, blocks, groups", [(1, 1, 1), (2, 5, 3), (3, 7, 1)])
+def test_equals_all_pairs(spark, monkeypatch, seed, blocks, groups):
+    monkeypatch.setattr(Tiles, "of", lambda *sizes: Tiles(groups, blocks))
+    chance = random.Random(seed)
+    rows = [(10 * at, v, chance.randrange(4)) for at, v in enumerate(near_groups(chance, 400))]
+    expected = plain(rows)
+    assert len(expected) > 100
+    assert mined(table(spark, rows)) == expected
+
+
+def test_odd_rows(spark):
+    chance = random.Random(9)
+    rows = [(at, v, at % 3) for at, v in enumerate(near_groups(chance, 160))]
+    rows += rows[40:60] * 2 + [(50, rows[50][1], rows[50][2])]
+    rows += [(200, None, 1), (250, [1.0, None, 1.0], 1), (300, [1.0] * 6, None), (350, [float("nan")] * 6, 1)]
+    rows += [(400, [float("inf")] * 6, 0), (450, [], 0), (500, [1.0, 2.0], 1), (550, [0.0] * 6, 2)]
+    rows += [(None, rows[3][1], 0), (None, rows[4][1], 1)]
+    extra = table(spark, rows).selectExpr("*", "1 as score", "'x' as row", "2 as anchor", "3 as cluster")
+    assert mined(extra) == plain(rows)
+
+
+def test_hot_vector_and_hot_label(spark):
+    rows = [(at, [1.0, 0.5, 0.25], 1) for at in range(0, 900)]
+    rows += [(at, [0.5, 0.5 + at % 9 / 16, 0.0], at % 4) for at in range(900, 1200)]
+    assert mined(table(spark, rows)) == plain(rows)
+
+
+def test_no_rows_no_anchors_no_negatives(spark):
+    assert mined(table(spark, [])) == []
+    assert mined(table(spark, [(1, [1.0], 0), (2, [1.0], 1)])) == []
+    assert mined(table(spark, [(50, [1.0], 0), (100, [1.0], 0)])) == []
+
+
+def test_bounds_hold():
+    chance = np.random.default_rng(4)
+    for spread in (0.01, 0.3, 3.0):
+        members = chance.normal(size=5) + spread * chance.normal(size=(20, 5))
+        others = chance.normal(size=(300, 5)) * chance.exponential(size=(300, 1))
+        units, lengths = directions(others)
+        bound = bounds_of(members, units, lengths)
+        own, _ = directions(members)
+        assert (own @ others.T <= bound + 1e-9).all()
+
+
+def test_walks_end_early(monkeypatch):
+    """Of candidates in far directions nothing is scored."""
+    scored = []
+    real = hard_negatives.exact_scores
+    monkeypatch.setattr(hard_negatives, "exact_scores", lambda a, b: scored.append(len(b)) or real(a, b))
+    chance = np.random.default_rng(2)
+    near = np.floor(256 * (np.array([1.0, 0, 0, 0]) + 0.05 * chance.normal(size=(500, 4))))
+    far = np.floor(256 * (np.array([0, 1.0, 0, 0]) + 0.05 * chance.normal(size=(20_000, 4))))
+    vectors = np.concatenate([near, far])
+    rows = np.arange(len(vectors))
+    candidates = {"vectors": vectors, "row": rows, "id": rows, "label": np.zeros(len(rows), int)}
+    some = slice(0, 20)
+    anchors = {"vectors": vectors[some], "row": rows[some], "label": np.zeros(20, int), "cluster": np.zeros(20, int)}
+    anchors |= {"lows": np.full((20, 1), hard_negatives.NONE), "highs": np.full((20, 1), hard_negatives.LARGEST_SCORE)}
+    found = hard_negatives.walk_tile(anchors, candidates, True, 5)
+    assert sum(scored) < 2_000
+    best = np.sort(np.where(rows[some, None] == rows, -1, vectors[some] @ vectors.T), axis=1)[:, :-6:-1]
+    assert sorted(found["score"]) == sorted(best.ravel())
+
+
+def test_scores_are_exact():
+    small = np.array([[3.0, -4.0], [1 << 20, 5.0]])
+    assert exact_scores(small, small).tolist() == [[25, (3 << 20) - 20], [(3 << 20) - 20, (1 << 40) + 25]]
+    # Products beyond the whole numbers of floating point, and beyond 64 bits.
+    large = np.array([[float(1 << 28), 1.0], [1e30, 0.0], [1.0, 1.0]])
+    cap = hard_negatives.LARGEST_SCORE
+    assert exact_scores(large, large).tolist() == [
+        [(1 << 56) + 1, cap, (1 << 28) + 1],
+        [cap, cap, cap],
+        [(1 << 28) + 1, cap, 2],
+    ]
+    assert NO_ID > cap
+
+
+def test_other_windows_and_scales(spark):
+    rows = [(50 * at, [1.0 + at / 4, 0.5], at % 2) for at in range(20)]
+    label = F.col("label")
+    found = mine_negatives(table(spark, rows), F.col("vec_id") == 0, label, scale=1, positives=1, negatives=2, low=1)
+    assert [tuple(r) for r in found.orderBy("rank").collect()] == [(0, 800, 1, 650, 5, 4), (0, 800, 2, 750, 5, 4)]

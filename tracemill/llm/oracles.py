@@ -147,3 +147,105 @@ select d.doc_id, count(v.line) as n_lines, count(*) filter (exact) as n_exact,
             else coalesce(string_agg(body, chr(10) order by line) filter (not (exact or close)), '') end as text
 from documents d left join verdicts v on d.doc_id = v.doc_id group by d.doc_id
 """
+
+ORACLES["op11_edit_lattice"] = r"""
+with recursive crc_table as (
+  select list(v order by i) as crc from (
+    select i, list_reduce(range(8), lambda c, k: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end, i) as v
+    from range(256) numbers(i))
+), keyed as (
+  select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text,
+         coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' ') as key
+  from conversations
+), drawn as (
+  select k.*, xor(list_reduce(list_transform(range(1, length(key) + 1), lambda i: ord(substr(key, i, 1))::bigint),
+                              lambda c, b: xor(c >> 8, crc[(xor(c, b) & 255) + 1]), 4294967295), 4294967295) % 20 as draw
+  from keyed k, crc_table
+), turns as (
+  select conv_id, turn, case when draw = 4 then 'user' else role end as role,
+         case draw when 1 then '' when 2 then regexp_replace(text, '[.!?]', '', 'g') else text end as text,
+         unnest(range(case when draw = 3 then 2 else 1 end)) as copy
+  from drawn where draw <> 0
+), judged as (
+  select *, substr(role, 1, 1) as initial,
+         row_number() over (partition by conv_id order by turn nulls first, role, md5(text), copy) as pos,
+         row_number() over (partition by conv_id, role, text order by turn nulls first, copy) > 1 as again,
+         not regexp_matches(text, '[^\x20\x09-\x0D]') as blank,
+         not regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') as cut_off
+  from turns
+), numbered as (
+  select conv_id, turn, role, text, initial, pos, blank, not blank and again as duplicate,
+         not blank and not again and cut_off as truncated,
+         coalesce(lag(initial) over (partition by conv_id order by pos) || initial not in ('su', 'ua', 'au'), false) as illegal
+  from judged
+), counts as (
+  select conv_id, max(pos) as rows, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps,
+         count(*) filter (blank) as blank, count(*) filter (duplicate) as duplicate,
+         count(*) filter (truncated) as truncated, count(*) filter (illegal) as illegal
+  from numbered group by conv_id
+), kept(state, initial, after_it) as (
+  values (0, 's', 1), (0, 'u', 2), (1, 'u', 2), (2, 'a', 3), (3, 'u', 2)
+), inserted(state, n, before_it, added) as (
+  values (0, 0, 0, []), (1, 0, 1, []), (2, 0, 2, []), (3, 0, 3, []),
+         (0, 1, 2, ['user:']), (1, 1, 2, ['user:']), (2, 1, 3, ['assistant:']), (3, 1, 2, ['user:']),
+         (0, 2, 3, ['user:', 'assistant:']), (1, 2, 3, ['user:', 'assistant:']),
+         (2, 2, 2, ['assistant:', 'user:']), (3, 2, 3, ['user:', 'assistant:'])
+), edits as (
+  select n.conv_id, pos, state, 'D' as letter, 2 as cost, state as after_it, []::varchar[] as line
+  from numbered n, range(4) states(state)
+  union all
+  select n.conv_id, pos, k.state, 'K', case when truncated then 5 else 0 end, k.after_it, [role || ':' || text]
+  from numbered n join kept k on n.initial = k.initial where not blank and not duplicate
+  union all
+  select n.conv_id, pos, k.state, 'R', case when truncated then 6 else 1 end, k.after_it,
+         [case when k.after_it = 2 then 'user:' else 'assistant:' end || text]
+  from numbered n, kept k where k.initial <> 's' and not blank and not duplicate
+), walk as (
+  select conv_id, 0::bigint as pos, 0 as state, row(0, '', []::varchar[]) as way from counts
+  union all
+  select w.conv_id, w.pos + 1, e.after_it,
+         min(row((w.way)[1] + 5 * i.n + e.cost, (w.way)[2] || repeat('I', i.n) || e.letter, (w.way)[3] || i.added || e.line))
+  from walk w join inserted i on i.state = w.state
+  join edits e on e.conv_id is not distinct from w.conv_id and e.pos = w.pos + 1 and e.state = i.before_it
+  group by 1, 2, 3
+), best as (
+  select w.conv_id, min(row((way)[1] + 5 * n, (way)[2] || repeat('I', n), (way)[3] || added)) as way
+  from walk w join counts c on c.conv_id is not distinct from w.conv_id and w.pos = c.rows
+  join inserted i on i.state = w.state and i.before_it in (0, 3)
+  group by 1
+), originals as (
+  select distinct conv_id from conversations
+)
+select o.conv_id, coalesce(gaps, 0) as gaps, coalesce(blank, 0) as blank, coalesce(duplicate, 0) as duplicate,
+       coalesce(truncated, 0) as truncated, coalesce(illegal, 0) as illegal,
+       coalesce((way)[1], 0)::bigint as cost, coalesce((way)[2], '') as audit,
+       sha256(coalesce(array_to_string((way)[3], chr(10)), '')) as repaired_sha256
+from originals o
+left join counts c on o.conv_id is not distinct from c.conv_id
+left join best b on o.conv_id is not distinct from b.conv_id
+"""
+
+ORACLES["op12_shared_lists"] = """
+with sound as (
+  select row_number() over () as line, vec_id,
+         case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+         list_transform(embedding, lambda x: floor(256 * x::double)) as parts
+  from embeddings
+  where label is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), scored as (
+  select a.line, a.vec_id as anchor_id, b.line as other, b.vec_id as other_id, a.label = b.label as same,
+         list_inner_product(a.parts, b.parts)::bigint as score
+  from sound a join sound b on a.vec_id % 50 = 0 and a.line <> b.line
+), positives as (
+  select line, anchor_id, other, other_id as positive_id, score as positive_score from scored where same
+  qualify row_number() over (partition by line order by score desc, other_id, other) <= 5
+), hard as (
+  select p.anchor_id, p.positive_id, s.other_id as negative_id, positive_score, s.score as negative_score,
+         row_number() over (partition by p.line, p.other order by s.score desc, s.other_id, s.other) as rank
+  from positives p join scored s on p.line = s.line and not s.same
+    and 100 * s.score between 50 * positive_score and 95 * positive_score
+)
+select anchor_id, positive_id, rank::int as rank, negative_id, positive_score, negative_score
+from hard where rank <= 3
+"""

@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from tracemill.llm import (
     bpe,
+    conversation_repair,
     fingerprints,
+    hard_negatives,
     line_dedup,
     near_dedup,
     packing,
@@ -130,6 +132,16 @@ def op7_bottom_k_fingerprints(spark, sf_dir):
     return fingerprints.compare_with_next(table(spark, sf_dir, "documents"))
 
 
+@query
+def op11_edit_lattice(spark, sf_dir):
+    return conversation_repair.repair_report(table(spark, sf_dir, "conversations"))
+
+
+@query
+def op12_shared_lists(spark, sf_dir):
+    return hard_negatives.negatives_of_embeddings(table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op13_whole_tokens(spark, sf_dir):
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
