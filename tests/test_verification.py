@@ -4,6 +4,7 @@ import json
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from tracemill.operators.requests import (
     SYSTEM_PROMPT,
@@ -11,6 +12,7 @@ from tracemill.operators.requests import (
     load_system_prompt,
     request_rows,
 )
+from tracemill.operators.running import running_start
 from tracemill.operators.verification import Fields, verify
 
 PROBLEMS = [
@@ -152,3 +154,53 @@ def test_system_prompt_file(spark, tmp_path):
     file = tmp_path / "prompt.txt"
     file.write_text(" two\nlines \n")
     assert load_system_prompt(spark, str(file)) == "two\nlines"
+
+
+def test_repeats_on_both_sides_are_paired_one_by_one(texts):
+    """Of m problems and n completions of one id max(m, n) pairs are judged, each row in one."""
+    problems = [("a", f"ask {i}", "1") for i in range(3)] + [("b", f"ask {i}", "1") for i in range(2)] + [("c", "x", "1")]
+    replies = [("a", r"\boxed{1} " + str(i), "m") for i in range(2)] + [("b", r"\boxed{2} " + str(i), "m") for i in range(5)]
+    found = verify(texts("id prompt answer", problems), texts("id completion source_model", replies))
+    accepted = found.accepted.collect()
+    assert sorted(r.prompt for r in accepted) == ["ask 0", "ask 1", "ask 2"]
+    assert {r.reasoning for r in accepted} == {r"\boxed{1} 0", r"\boxed{1} 1"}
+    rejected = [(r["id"], r.reject_reason, r.preview) for r in found.rejected.collect()]
+    assert sorted(rejected, key=repr) == sorted(
+        [("b", "mismatch", r"\boxed{2} " + str(i)) for i in range(5)] + [("c", "no_completion", None)], key=repr
+    )
+    assert found.summary().first().asDict() == {"accepted_rows": 3, "rejected_rows": 6}
+    found.release()
+
+
+def test_pairing_does_not_depend_on_the_partitions(texts, spark):
+    problems = texts("id prompt answer", [("a", f"ask {i % 7}", "1") for i in range(50)])
+    replies = texts("id completion source_model", [("a", f"\\boxed{{1}} {i % 9}", "m") for i in range(70)])
+
+    def met(p, c):
+        return sorted((r.prompt, r.reasoning) for r in verify(p, c).accepted.collect())
+
+    first = met(problems.coalesce(1), replies.coalesce(1))
+    assert len(first) == 70 and first == met(problems.repartition(7), replies.repartition(5))
+
+
+def test_a_hot_id_on_both_sides_lies_in_many_tasks(spark, settings):
+    """Of exact copies as well; pairs are as many as the larger side has rows."""
+    settings(spark__sql__adaptive__coalescePartitions__enabled="false")
+    size = 20_000
+    problems = spark.range(size).selectExpr("'hot' as id", "'ask' as prompt", "'1' as answer")
+    replies = spark.range(size + 500).selectExpr("'hot' as id", "'\\\\boxed{1}' as completion", "'m' as source_model")
+    pairs = verify(problems, replies).pairs
+    assert pairs.count() == size + 500
+    tasks = running_start(
+        problems.select("id", F.monotonically_increasing_id().alias("row"), F.lit(1).alias("one")), ["id"], ["row"], "one"
+    )
+    assert tasks.agg(F.count_distinct("start")).first()[0] == size
+
+
+def test_nothing_runs_before_an_outcome_is_asked_for(texts, spark):
+    def fail(value):
+        raise AssertionError("ran")
+
+    bad = F.udf(fail, "string")
+    problems = texts("id prompt answer", [("a", "x", "1")]).withColumn("id", bad("id"))
+    verify(problems, texts("id completion source_model", [("a", "y", "m")]))

@@ -3,6 +3,7 @@
 from tracemill.operators.checks import MixError, mix_checks, mix_report, require_checks
 from tracemill.operators.cleaning import clean_report, clean_traces, judge_traces, rejected_traces
 from tracemill.operators.combine import attach_completions, exclude_ids, oversample, union_texts
+from tracemill.operators.conversations import conversation_segments, conversation_texts
 from tracemill.operators.evaluation import Evaluation, evaluate
 from tracemill.operators.requests import load_system_prompt, request_rows
 from tracemill.operators.sampling import (
@@ -36,6 +37,8 @@ __all__ = [
     "build_dataset",
     "clean_report",
     "clean_traces",
+    "conversation_segments",
+    "conversation_texts",
     "evaluate",
     "exclude_ids",
     "format_dataset",

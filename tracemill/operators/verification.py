@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,8 +12,10 @@ from tracemill.functions.answers import last_boxed, same_answer
 from tracemill.functions.text import preview, strip
 from tracemill.operators.combine import (
     attach_completions,
-    check_repeats,
+    exclude_ids,
+    pair_occurrences,
     repeated_ids,
+    repeated_on_both,
     unknown_completions,
 )
 from tracemill.operators.projection import computed_once
@@ -82,14 +85,41 @@ def rejected_fields(pairs: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class Verified:
-    """Judged completions and the problems without any, as lazy tables."""
+    """Judged completions and the problems without any.
+
+    Nothing runs before an outcome is asked for. The first one looks for ids that are
+    repeated on both sides, and pairs the rows of these one by one.
+    """
 
-    pairs: DataFrame
-    silent: DataFrame
     problems: DataFrame
     completions: DataFrame
+    read: DataFrame
     stored: DataFrame | None = None
 
+    @cached_property
+    def _repeated(self) -> DataFrame | None:
+        """Ids repeated on both sides, stored; None if there are none."""
+        found = stage(repeated_on_both(self.problems, self.completions), "repeated-ids")
+        if found.isEmpty():
+            release(found)
+            return None
+        return found
+
+    @cached_property
+    def pairs(self) -> DataFrame:
+        """Every completion with its problem."""
+        if self._repeated is None:
+            return attach_completions(self.problems, self.read)[0]
+        asked, given = (exclude_ids(df, self._repeated) for df in (self.problems, self.read))
+        order = ("prompt", "answer"), ("reasoning", "source_model")
+        numbered = pair_occurrences(self.problems, self.read, self._repeated, order=order)
+        return attach_completions(asked, given)[0].unionByName(numbered)
+
+    @property
+    def silent(self) -> DataFrame:
+        """Problems without a completion."""
+        return attach_completions(self.problems, self.read, answered=self.completions)[1]
+
     @property
     def accepted(self) -> DataFrame:
         """Right completions, whole, with the problem they belong to."""
@@ -144,16 +174,17 @@ def verify(
 ) -> Verified:
     """Judge completions of problems, row by row.
 
-    A problem without any completion counts as a failed request. Ids repeated on
-    both sides are an error. ``store`` keeps what was read from the completions
-    as a table, which pays where more than one outcome is used: the completions are
-    searched for boxes once, and each outcome reads only the columns it needs.
+    A problem without any completion counts as a failed request. Several rows of an id on
+    one side are all judged against the other side's row; several on both sides are paired
+    one by one (:func:`pair_occurrences`). ``store`` keeps what was read from the
+    completions as a table, which pays where more than one outcome is used: the completions
+    are searched for boxes once, and each outcome reads only the columns it needs.
+    Without it no job runs here.
     """
     asked = expected(problems, fields)
     given = completions.select(F.col(fields.id).alias("id"))
-    check_repeats(asked, given)
-    read, ids, stored = read_boxes(completions, fields), given, None
-    if store:
-        read = ids = stored = stage(read, "boxes")
-    pairs, silent = attach_completions(asked, read, "id", ids)
-    return Verified(pairs, silent, asked, given, stored)
+    read = read_boxes(completions, fields)
+    if not store:
+        return Verified(asked, given, read)
+    stored = stage(read, "boxes")
+    return Verified(asked, stored.select("id"), stored, stored)

@@ -11,6 +11,7 @@ from workload.registry import (
     HEAD_ROWS,
     LIMITED_ROWS,
     SAMPLE_ROWS,
+    SEGMENT_CHARS,
     TEST_RATIO,
     TIED_ROWS,
     TOLERANCE,
@@ -198,6 +199,28 @@ PAIRS = f"""pairs as (
 verdicts as (
   select *, {same(latex_strict("answer"), latex_strict("boxed_answer"))} as ok from pairs)"""
 
+# Rows of an id that is repeated on both sides meet by their place, the rarer side again and again.
+REPEATED = f"""copied_problems as (
+  select id, concat('#', unnest(range(case when n % 3 = 0 then n % 4 + 1 else 1 end)), ' ', prompt) as prompt, answer
+  from (select *, cast(substr(id, 2) as bigint) as n from problems)),
+copied_completions as (
+  select id, concat('#', unnest(range(case when n % 3 = 0 then n % 5 + 1 else 1 end)), ' ', completion) as completion,
+    source_model
+  from (select *, cast(substr(id, 2) as bigint) as n from completions)),
+asked as (
+  select *, count(*) over (partition by id) as m, row_number() over (partition by id
+    order by md5(concat(md5(prompt), ':', md5({strip("answer")})))) - 1 as k from copied_problems),
+given as (
+  select *, count(*) over (partition by id) as n, row_number() over (partition by id
+    order by md5(concat(md5(completion), ':', md5(source_model)))) - 1 as l from copied_completions),
+pairs as (
+  select asked.id as id, prompt, {strip("answer")} as answer, completion as reasoning,
+    {strip(last_box("completion"))} as boxed_answer, given.id is not null as answered
+  from asked left join given on asked.id = given.id
+    and (m = 1 or n = 1 or k % least(m, n) = l % least(m, n))),
+verdicts as (
+  select *, {same(latex_strict("answer"), latex_strict("boxed_answer"))} as ok from pairs)"""
+
 DIRECT_TEXT = chat(asked("prompt"), boxed(latex_space("answer")))
 TRACE_TEXT = chat(
     rf"concat(prompt, '{chr(10)}{INSTRUCTION_SUFFIX}')",
@@ -381,6 +404,15 @@ ORACLES: dict[str, str] = {
         "select id, case when ok then 'accepted' when not answered then 'no_completion' "
         "when boxed_answer is null then 'no_box' else 'mismatch' end as outcome from verdicts"
     ),
+    "verify_paired": sql(
+        f"""select id, md5(prompt) as problem, md5(reasoning) as completion, cast(null as varchar) as reject_reason
+  from verdicts where ok union all
+  select id, null, md5(preview), reject_reason from ({REJECTED})""",
+        PROBLEMS,
+        TRACES,
+        COMPLETIONS,
+        REPEATED,
+    ),
     "attached": on_pairs(
         "select id, answer, reasoning as completion, source_model from pairs"
     ),
@@ -423,6 +455,16 @@ ORACLES: dict[str, str] = {
   from conversations as asked join conversations as replied
     on asked.conv_id = replied.conv_id and asked.turn + 1 = replied.turn
   where asked.role = 'user' and replied.role = 'assistant'""",
+    "chat_conversations": f"""with rendered as (
+    select conv_id, turn, role, {strip("text")} as content,
+      concat('<|im_start|>', role, '\n', {strip("text")}, '<|im_end|>') as body from conversations
+  ), cut as (
+    select *, coalesce(sum(length(body)) over (partition by conv_id
+      order by turn nulls first, role nulls first, md5(content) nulls first
+      rows between unbounded preceding and 1 preceding), 0)::bigint // {SEGMENT_CHARS} as segment from rendered
+  ) select conv_id, segment, count(*)::int as turns,
+    string_agg(body, '\n' order by turn nulls first, role nulls first, md5(content) nulls first) as text
+  from cut group by conv_id, segment""",
     "baseline_recipe": on_problems(
         f"select id, {DIRECT} as text from problems {SEEDED} limit {SAMPLE_ROWS}"
     ),

@@ -13,6 +13,7 @@ from tracemill.functions.text import preview, strip_long
 from tracemill.operators import checks, evaluation
 from tracemill.operators.cleaning import trace_flags
 from tracemill.operators.combine import attach_completions, oversample
+from tracemill.operators.conversations import conversation_texts
 from tracemill.operators.ranking import seeded_key
 from tracemill.operators.verification import Fields
 from tracemill.plans import recipes
@@ -31,6 +32,7 @@ TEST_RATIO = 0.1
 DIRECT_ROWS = 500
 TIED_ROWS = 20
 LIMITED_ROWS = 30
+SEGMENT_CHARS = 2000
 
 QUERIES: dict[str, Query] = {}
 
@@ -227,6 +229,29 @@ def verify_audit(spark, sf):
     return _copied(spark, sf).audit()
 
 
+@query
+def verify_paired(spark, sf):
+    """Ids repeated on both sides: every third problem twice or more, completions too.
+
+    Copies differ, so each pair shows which of them met.
+    """
+    number = F.substring("id", 2, 20).cast("bigint")
+
+    def repeated(df, column, by):
+        times = F.when(number % 3 == 0, number % by + 1).otherwise(1).cast("int")
+        copies = df.select("*", F.posexplode(F.array_repeat(F.lit(0), times)).alias("copy", "_"))
+        marked = F.concat(F.lit("#"), F.col("copy"), F.lit(" "), F.col(column))
+        return copies.withColumn(column, marked).drop("copy", "_")
+
+    asked = repeated(problems(spark, sf), "prompt", 4)
+    verified = tm.verify(asked, repeated(completions(spark, sf), "completion", 5))
+    right = verified.accepted.select("id", F.md5("prompt").alias("problem"), F.md5("reasoning").alias("completion"))
+    wrong = verified.rejected.select(
+        "id", F.lit(None).cast("string").alias("problem"), F.md5("preview").alias("completion"), "reject_reason"
+    )
+    return right.withColumn("reject_reason", F.lit(None).cast("string")).unionByName(wrong)
+
+
 @query
 def attached(spark, sf):
     """The left join of problems and completions as one table."""
@@ -389,6 +414,12 @@ def chat_pairs(spark, sf):
     return joined.select("conv_id", "turn", chat.render_messages(pair).alias("text"))
 
 
+@query
+def chat_conversations(spark, sf):
+    """Whole conversations, the longer ones in segments."""
+    return conversation_texts(table(spark, sf, "conversations"), SEGMENT_CHARS)
+
+
 # --- recipes and checks ----------------------------------------------------
 
 
