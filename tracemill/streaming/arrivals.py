@@ -1,6 +1,7 @@
 """Verification of completions as they arrive, with Structured Streaming.
 
-Stateless: every completion is judged on its own. The checkpoint remembers which
+Stateless: every completion is judged on its own, so what becomes of it does not depend on
+the files that happen to be read together. The checkpoint remembers which
 files were read, and each micro-batch writes its own folder, replacing what a
 failed attempt left there. So a rerun adds nothing, and a retry nothing twice. The
 folder carries the id that the checkpoint gave the stream, so that streams with other
@@ -14,8 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tracemill.operators.combine import attach_completions, check_repeats
 from tracemill.operators.verification import (
+    Fields,
     accepted_fields,
     expected,
     read_boxes,
@@ -23,7 +24,6 @@ from tracemill.operators.verification import (
 )
 from tracemill.sources.records import (
     ACCEPTED_FIELDS,
-    COMPLETION_FIELDS,
     REJECTED_FIELDS,
     text_schema,
 )
@@ -32,35 +32,76 @@ from tracemill.sources.staging import release, stage
 
 ACCEPTED_FOLDER = "accepted"
 REJECTED_FOLDER = "rejected"
+AMBIGUOUS = "ambiguous_id"
 
 
-def watch_completions(spark: SparkSession, folder: str, files_per_batch: int = 1000) -> DataFrame:
-    """Completions as JSON lines, from files that keep appearing in ``folder``."""
-    reader = spark.readStream.schema(text_schema(COMPLETION_FIELDS))
+def watch_json_lines(
+    spark: SparkSession, folder: str, names: tuple[str, ...], files_per_batch: int = 1000
+) -> DataFrame:
+    """Text fields of JSON lines, from files that keep appearing in ``folder``."""
+    reader = spark.readStream.schema(text_schema(names))
     reader = reader.option("mode", "FAILFAST").option("maxFilesPerTrigger", files_per_batch)
     return reader.json(folder)
 
 
+def watch_completions(
+    spark: SparkSession, folder: str, files_per_batch: int = 1000, fields: Fields = Fields()
+) -> DataFrame:
+    """Arriving completions."""
+    names = (fields.id, fields.completion, fields.source_model)
+    return watch_json_lines(spark, folder, names, files_per_batch)
+
+
+def asked_once(problems: DataFrame) -> DataFrame:
+    """One row for each id: its problem, and whether the id names several different ones.
+
+    Grouped by the id together with its hash: the join above then brings an exchange of its
+    own, whose skewed partitions adaptive execution can split.
+    """
+    problem = F.struct("prompt", "answer")
+    grouped = problems.groupBy("id", F.crc32(F.col("id").cast("binary")).alias("id_hash"))
+    ends = grouped.agg(F.min(problem).alias("problem"), F.max(problem).alias("other"))
+    several = ~F.col("problem").eqNullSafe(F.col("other"))
+    return ends.select("id", "problem.*", several.alias("ambiguous"))
+
+
 def verify_arrivals(
-    problems: DataFrame, arrivals: DataFrame, output: str, checkpoint: str
+    problems: DataFrame,
+    arrivals: DataFrame,
+    output: str,
+    checkpoint: str,
+    fields: Fields = Fields(),
 ) -> StreamingQuery:
     """Judge all completions that are there and not yet judged, then stop.
 
+    Copies of a problem are one problem here, and each completion gives one verdict. An id
+    of several different problems does not tell which of them was answered; its
+    completions are rejected as ``ambiguous_id``. Completions of no problem have no outcome,
+    nor have problems without a completion, as more may arrive.
+
     The batch is stored first: its size is then known, so that a small batch is broadcast
     to the problems instead of shuffling them all. Its pairs are stored too, so
-    that they are joined once for both outcomes. Both tables are deleted afterwards.
-    Problems without a completion are no outcome here; more may arrive.
+    that problems are read and joined once for both outcomes. Both tables are deleted
+    afterwards.
     """
-    asked = expected(problems)
+    asked = expected(problems, fields)
 
     def judge(batch: DataFrame, batch_id: int) -> None:
-        answered = stage(read_boxes(batch), "arrivals")
-        wanted = asked.join(answered.select("id").distinct(), "id", "left_semi")
-        check_repeats(wanted.select("id"), answered.select("id"))
-        pairs = stage(attach_completions(wanted, answered)[0], "arrival-pairs")
+        answered = stage(read_boxes(batch, fields), "arrivals")
+        wanted = asked_once(asked.join(answered.select("id").distinct(), "id", "left_semi"))
+        pairs = stage(wanted.join(answered, "id"), "arrival-pairs")
+        told = pairs.filter(~F.col("ambiguous"))
+        unclear = pairs.filter("ambiguous").select(
+            "id",
+            F.lit(None).cast("string").alias("expected"),
+            F.col("boxed_answer").alias("predicted"),
+            F.lit(AMBIGUOUS).alias("reject_reason"),
+            "preview",
+        )
         part = f"stream={stream_id(batch.sparkSession, checkpoint)}/batch={batch_id}"
-        replace_json_lines(accepted_fields(pairs), f"{output}/{ACCEPTED_FOLDER}/{part}")
-        replace_json_lines(rejected_fields(pairs), f"{output}/{REJECTED_FOLDER}/{part}")
+        replace_json_lines(accepted_fields(told), f"{output}/{ACCEPTED_FOLDER}/{part}")
+        rejected = rejected_fields(told).unionByName(unclear)
+        replace_json_lines(rejected, f"{output}/{REJECTED_FOLDER}/{part}")
         release(pairs)
         release(answered)
 
