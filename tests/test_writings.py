@@ -1,0 +1,154 @@
+"""Appends that cannot double, request files within bounds, CSV read by many tasks."""
+
+import json
+from collections import defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from tracemill import load_records, request_rows, write_request_files
+from tracemill.operators.evaluation import evaluate
+from tracemill.operators.requests import file_numbers, request_lines
+from tracemill.sources.records import lines_are_records, read_csv
+from tracemill.sources.sinks import append_once, committed_writings, read_committed, replace_json_lines
+
+
+def test_an_append_is_seen_whole_and_once(texts, spark, tmp_path):
+    path = str(tmp_path / "rows")
+    one, two = texts("id text", [("a", "1"), ("b", None)]), texts("id text", [("c", "3")])
+    assert read_committed(spark, path, ("id", "text")).collect() == []
+    assert append_once(one, path, "one") and append_once(two, path, "two")
+    assert not append_once(two, path, "two")
+    found = read_committed(spark, path, ("id", "text")).collect()
+    assert sorted(map(tuple, found)) == [("a", "1"), ("b", None), ("c", "3")]
+    for name in ("", "_x", ".x", "a/b", "a b"):
+        with pytest.raises(ValueError):
+            append_once(one, path, name)
+
+
+def test_a_failed_append_is_not_seen_and_can_be_repeated(texts, spark, tmp_path):
+    """It fails in a task after another has written its rows."""
+    path = str(tmp_path / "rows")
+    rows = texts("id", [(str(i),) for i in range(40)]).repartition(4)
+    append_once(texts("id", [("x",)]), path, "first")
+    fails = rows.withColumn("id", F.when(F.col("id") == "17", F.raise_error(F.lit("lost"))).otherwise(F.col("id")))
+    with pytest.raises(Exception, match="lost"):
+        append_once(fails, path, "second")
+    # As a writer leaves it that dies between its rows and its record.
+    replace_json_lines(rows.limit(5), f"{path}/write=third")
+    assert committed_writings(spark, path) == ["first"]
+    assert read_committed(spark, path, ("id",)).count() == 1
+    for name in ("second", "third"):
+        assert append_once(rows, path, name)
+    found = [r["id"] for r in read_committed(spark, path, ("id",)).collect()]
+    assert sorted(found) == sorted([*map(str, range(40))] * 2 + ["x"])
+
+
+def test_request_files_keep_both_bounds(spark, tmp_path):
+    problems = spark.range(3000, numPartitions=6).select(
+        F.concat(F.lit("p"), F.col("id") % 2500).alias("id"),
+        F.repeat(F.lit("é "), (F.col("id") % 300).cast("int")).alias("prompt"),
+    )
+    path = str(tmp_path / "files")
+    requests = request_rows(problems)
+    write_request_files(requests, path, 100, 90_000)
+    files, lines = defaultdict(list), []
+    for file in (tmp_path / "files").glob("file=*/part-*"):
+        files[file.parent.name].append(file)
+        text = file.read_bytes()
+        lines += text.decode().splitlines()
+        assert len(text) <= 90_000 and text.count(b"\n") <= 100
+    assert all(len(parts) == 1 for parts in files.values())
+    assert sorted(lines) == sorted(r.line for r in request_lines(requests).collect())
+    assert 30 <= len(files) <= 80
+    assert json.loads(lines[0]).keys() == {"id", "body"}
+    with pytest.raises(ValueError, match="larger than a file"):
+        write_request_files(requests, path + "-small", 100, 900)
+
+
+def test_copies_of_one_request_are_spread(spark, settings):
+    settings(spark__sql__adaptive__coalescePartitions__enabled="false", spark__sql__shuffle__partitions=6)
+    lines = spark.range(9000).select(F.lit("a").alias("id"), F.lit("the same").alias("line"))
+    numbered = file_numbers(lines, 100, 10**6)
+    sizes = [r["count"] for r in numbered.groupBy("file").count().collect()]
+    assert sum(sizes) == 9000 and max(sizes) <= 100 and len(sizes) < 100
+    assert file_numbers(lines.limit(0)).count() == 0
+
+
+def csv_file(folder, text):
+    folder.mkdir(exist_ok=True)
+    (folder / "a.csv").write_bytes(text.encode())
+    return str(folder)
+
+
+@pytest.mark.parametrize(
+    ("text", "certain"),
+    [
+        ("id,a\n1,x\n2,\n", True),
+        ('id,a\n1,"x, y"\n2,"say ""so"""\n3,""\n', True),
+        ('id,a\r\n1,"x"\r\n2,y\r\n', True),
+        ('id,a\n1,"x\ny"\n2,z\n', False),
+        ('id,a\n1,"x\n\n y"\n', False),
+        # A quote inside of a plain field, and a field that begins a line later.
+        ('id,a\n5" disk,"x\ny"\n', False),
+        ('id,a\n1,x "y" z\n', False),
+        ("id,a\n1,x\n  \n", False),
+        ("id,a\n1,x\ry\n", False),
+    ],
+)
+def test_fields_over_lines_are_found(spark, tmp_path, text, certain):
+    path = csv_file(tmp_path / "in", text)
+    assert lines_are_records(spark, path) is certain
+    if certain:
+        assert read_csv(spark, path, True).collect() == read_csv(spark, path, False).collect()
+
+
+def test_both_ways_of_reading_give_the_same_rows(spark, tmp_path):
+    rows = [f'{i},"say ""{i}"", so",{"é" * (i % 9)}' for i in range(20_000)]
+    (tmp_path / "large.csv").write_text("id,text,more\n" + "\n".join(rows))
+    path = str(tmp_path / "large.csv")
+    found = load_records(spark, path)
+    whole = load_records(spark, path, multi_line=True)
+    assert sorted(found.collect()) == sorted(whole.collect())
+
+
+def test_a_large_file_of_plain_lines_is_read_by_many_tasks(spark, tmp_path, settings):
+    settings(spark__sql__files__maxPartitionBytes="100KB", spark__sql__files__openCostInBytes="1KB")
+    lines = "\n".join(f'{i},"some, text {i}"' for i in range(40_000))
+    (tmp_path / "large.csv").write_text("id,text\n" + lines)
+    (tmp_path / "spans.csv").write_text("id,text\n" + lines + '\n1,"over\ntwo"')
+    path = str(tmp_path / "large.csv")
+    assert load_records(spark, path).rdd.getNumPartitions() > 5
+    assert load_records(spark, path).count() == 40_000
+    assert load_records(spark, path, multi_line=True).rdd.getNumPartitions() == 1
+    spans = load_records(spark, str(tmp_path / "spans.csv"))
+    assert spans.rdd.getNumPartitions() == 1 and spans.count() == 40_001
+
+
+def test_accuracy_by_groups_tells_null_from_total(spark):
+    rows = [("1", "1", "x", None), ("1", "2", "x", "k"), ("2", "2", None, "k"), ("3", "4", None, None)]
+    predictions = spark.createDataFrame(rows, "answer string, prediction string, lang string, kind string")
+    found = evaluate(predictions).by_group("lang", ["lang", "kind"])
+    assert found.columns == ["breakdown", "lang", "kind", "evaluated", "matched", "accuracy"]
+    assert sorted(map(tuple, found.collect()), key=repr) == sorted(
+        [
+            ("", None, None, 4, 2, 0.5),
+            ("lang", "x", None, 2, 1, 0.5),
+            ("lang", None, None, 2, 1, 0.5),
+            ("lang,kind", "x", None, 1, 1, 1.0),
+            ("lang,kind", "x", "k", 1, 0, 0.0),
+            ("lang,kind", None, "k", 1, 1, 1.0),
+            ("lang,kind", None, None, 1, 0, 0.0),
+        ],
+        key=repr,
+    )
+    assert [tuple(r) for r in evaluate(predictions.limit(0)).by_group("lang").collect()] == []
+    with pytest.raises(ValueError):
+        evaluate(predictions).by_group()
+
+
+def test_the_mix_report_does_not_exclude_again(spark, smallest):
+    from workload.registry import _mix
+
+    plan = _mix(spark, smallest).report()._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftAnti" not in plan

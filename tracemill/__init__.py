@@ -4,8 +4,8 @@ from tracemill.operators.checks import MixError, mix_checks, mix_report, require
 from tracemill.operators.cleaning import clean_report, clean_traces, judge_traces, rejected_traces
 from tracemill.operators.combine import attach_completions, exclude_ids, oversample, union_texts
 from tracemill.operators.conversations import conversation_segments, conversation_texts
-from tracemill.operators.evaluation import Evaluation, evaluate
-from tracemill.operators.requests import load_system_prompt, request_rows
+from tracemill.operators.evaluation import Evaluation, evaluate, summarize_by
+from tracemill.operators.requests import load_system_prompt, request_rows, write_request_files
 from tracemill.operators.sampling import (
     head_limit,
     sample_exact,
@@ -57,9 +57,11 @@ __all__ = [
     "sample_strict",
     "shuffle_rows",
     "split_train_test",
+    "summarize_by",
     "trace_recipe",
     "training_text",
     "union_texts",
     "verify",
     "with_id",
+    "write_request_files",
 ]

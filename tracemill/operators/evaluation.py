@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import cached_property
 
@@ -63,6 +64,26 @@ def summarize(judged: DataFrame) -> DataFrame:
     return counts.select("*", F.coalesce(ratio, F.lit(0.0)).alias("accuracy"))
 
 
+def summarize_by(judged: DataFrame, *breakdowns: str | Sequence[str]) -> DataFrame:
+    """The summary in total and by each breakdown, a column or several, in one pass.
+
+    ``breakdown`` names the columns that a row is about, joined by commas, and is empty for
+    the total. The other columns are null there; a null in a column that the row is about is a
+    group of its own. Without any row there is none here either.
+    """
+    sets = [[], *([b] if isinstance(b, str) else list(b) for b in breakdowns)]
+    names = list(dict.fromkeys(name for columns in sets for name in columns))
+    if not names:
+        raise ValueError("name a column to break the summary down by")
+    about = F.concat_ws(",", *(F.when(F.grouping(name) == 0, F.lit(name)) for name in names))
+    counts = judged.groupingSets(sets, *names).agg(
+        about.alias("breakdown"), F.count("*").alias("evaluated"), F.count_if("matched").alias("matched")
+    )
+    ratio = F.try_divide(F.col("matched"), F.col("evaluated"))
+    accuracy = F.coalesce(ratio, F.lit(0.0)).alias("accuracy")
+    return counts.select("breakdown", *names, "evaluated", "matched", accuracy)
+
+
 def sample_misses(judged: DataFrame, count: int = DEFAULT_MISSES, by: str = "id") -> DataFrame:
     """The first misses by ``by``."""
     misses = judged.filter(~F.col("matched")).select(by, "expected", "predicted", "boxed")
@@ -89,6 +110,13 @@ class Evaluation:
         texts = self.predictions.select(self.answer, self.prediction)
         return summarize(judge_predictions(texts, self.answer, self.prediction, self.tolerance))
 
+    def by_group(self, *breakdowns: str | Sequence[str]) -> DataFrame:
+        """The summary in total and by columns of the predictions (:func:`summarize_by`)."""
+        names = [n for b in breakdowns for n in ([b] if isinstance(b, str) else b)]
+        needed = dict.fromkeys((*names, self.answer, self.prediction))
+        texts = self.predictions.select(*needed)
+        return summarize_by(judge_predictions(texts, self.answer, self.prediction, self.tolerance), *breakdowns)
+
     @cached_property
     def misses(self) -> DataFrame:
         """The first misses by ``by``, or by a hash of the texts where there is none."""

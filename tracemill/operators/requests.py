@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tracemill.functions.chat import message
+from tracemill.operators.running import running_start
+from tracemill.sources.staging import release, stage
 
 # The texts and defaults of a generation request.
 SYSTEM_PROMPT = r"""You are generating supervised fine-tuning data for a reasoning model.
@@ -26,6 +28,10 @@ DEFAULT_MODEL = "gpt-4.1-mini"
 DEFAULT_TEMPERATURE = 0.2
 DEFAULT_MAX_TOKENS = 1200
 
+# What one file of a batch may hold.
+FILE_ROWS = 50_000
+FILE_BYTES = 200_000_000
+
 
 def load_system_prompt(spark: SparkSession, path: str) -> str:
     """The stripped text of a prompt file, or the default where there is none."""
@@ -67,3 +73,50 @@ def request_rows(
         user.alias("user_message"),
         F.to_json(F.struct(*parts)).alias("body"),
     )
+
+
+def request_lines(requests: DataFrame) -> DataFrame:
+    """``id, line``: each request as the JSON line that is written."""
+    line = F.to_json(F.struct("id", "body"), {"ignoreNullFields": "false"})
+    return requests.select("id", line.alias("line"))
+
+
+def file_numbers(lines: DataFrame, max_rows: int = FILE_ROWS, max_bytes: int = FILE_BYTES) -> DataFrame:
+    """``lines`` with the ``file`` that each goes to, in the order of their MD5.
+
+    A line weighs its share of a file, by rows or by bytes, whichever is more; lines whose
+    total weight fits into one file keep both bounds. Files are cut where the running weight
+    passes the next multiple of what a file can hold besides the heaviest line, so no line
+    needs to know where the file before it ended. A line larger than a file is an error.
+    """
+    if max_rows < 1 or max_bytes < 1:
+        raise ValueError("a file needs room for a row and a byte")
+    size = (F.octet_length("line") + 1).cast("decimal(20,0)")
+    weight = F.greatest(size * max_rows, F.lit(max_bytes).cast("decimal(20,0)")).cast("decimal(38,0)")
+    rows = lines.select(
+        "*", F.monotonically_increasing_id().alias("_row"), F.md5("line").alias("_digest"), weight.alias("_weight")
+    )
+    rows = stage(rows, "request-lines")
+    heaviest = int(rows.agg(F.max("_weight")).first()[0] or 0)
+    room = max_rows * max_bytes
+    if heaviest > room:
+        raise ValueError(f"a request of {heaviest // max_rows} bytes is larger than a file of {max_bytes}")
+    light = rows.select("_digest", "_row", "_weight")
+    started = running_start(light, [], ["_digest", "_row"], "_weight", "_start")
+    step = F.lit(max(room - heaviest, 1)).cast("decimal(38,0)")
+    numbered = started.select("_row", F.call_function("div", F.col("_start"), step).alias("file"))
+    return rows.join(numbered, "_row").drop("_row", "_digest", "_weight")
+
+
+def write_request_files(
+    requests: DataFrame, path: str, max_rows: int = FILE_ROWS, max_bytes: int = FILE_BYTES, overwrite: bool = False
+) -> None:
+    """JSON lines of ``id`` and ``body`` in files ``file=<number>/part-*`` within both bounds.
+
+    Every request is in exactly one file, copies too.
+    """
+    numbered = stage(file_numbers(request_lines(requests), max_rows, max_bytes), "request-files")
+    writer = numbered.select("file", "line").repartition("file").write.partitionBy("file")
+    # One task has all lines of a file, and no setting of the session may cut them again.
+    writer.option("maxRecordsPerFile", 0).mode("overwrite" if overwrite else "errorifexists").text(path)
+    release(numbered)

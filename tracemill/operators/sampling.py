@@ -36,6 +36,25 @@ def sample_exact(
     return first_rows(df, count, seeded_key(seed, *keys), uniform=True)
 
 
+def sample_counted(
+    df: DataFrame, count: int, seed: int = DEFAULT_SEED, keys: Sequence[str] = ("id",)
+) -> tuple[DataFrame, int]:
+    """As :func:`sample_exact`, with the number of rows there are.
+
+    The first pass of the sample counts them anyway.
+    """
+    if count < 0:
+        raise ValueError(f"row count must not be negative: {count}")
+    counted = []
+
+    def wanted(available: int) -> int:
+        counted.append(available)
+        return count
+
+    sample = split_at(df, [seeded_key(seed, *keys), content_key(df)], wanted)[0]
+    return sample, counted[0]
+
+
 def sample_strict(
     df: DataFrame, count: int, seed: int = DEFAULT_SEED, keys: Sequence[str] = ("id",)
 ) -> DataFrame:

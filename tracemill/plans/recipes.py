@@ -22,6 +22,7 @@ from tracemill.operators.cleaning import cleaning_counters, judge_traces, sound_
 from tracemill.operators.combine import exclude_ids, oversample, union_texts
 from tracemill.operators.sampling import (
     DEFAULT_SEED,
+    sample_counted,
     sample_exact,
     sample_strict,
     shuffle_rows,
@@ -104,7 +105,7 @@ class Mix:
 
     ``rows`` (``origin, id, copy, text``) renders two stored tables, the sampled
     direct replies and the cleaned traces. ``cleaning`` holds the counters of the
-    pass that cleaned the traces.
+    pass that cleaned the traces, ``pool_rows`` what the sample counted.
     """
 
     cleaning: dict[str, int]
@@ -112,6 +113,7 @@ class Mix:
     pool: DataFrame
     clean: DataFrame
     rows: DataFrame
+    pool_rows: int
     direct_samples: int
     seed: int
     stored: tuple[DataFrame, ...] = ()
@@ -126,7 +128,7 @@ class Mix:
         return self.ordered.select("text")
 
     def report(self) -> DataFrame:
-        return mix_report(self.problems, self.pool, self.cleaning["clean_rows"], self.rows)
+        return mix_report(self.problems, self.pool_rows, self.cleaning["clean_rows"], self.rows)
 
     def checks(self) -> DataFrame:
         return mix_checks(self.report(), self.direct_samples)
@@ -159,10 +161,10 @@ def mixed_recipe(
     judged = judge_traces(traces).observe(counted, *cleaning_counters())
     clean = stage(sound_traces(judged), "clean")
     pool = exclude_ids(problems, clean)
-    sampled = direct_texts(sample_exact(pool, direct_samples, seed))
-    direct = stage(sampled.hint("rebalance"), "direct")
+    sampled, pool_rows = sample_counted(pool, direct_samples, seed)
+    direct = stage(direct_texts(sampled).hint("rebalance"), "direct")
     rows = union_texts(direct, trace_texts(clean, copies))
-    return Mix(counted.get, problems, pool, clean, rows, direct_samples, seed, (clean, direct))
+    return Mix(counted.get, problems, pool, clean, rows, pool_rows, direct_samples, seed, (clean, direct))
 
 
 @dataclass(frozen=True)
@@ -177,6 +179,7 @@ class Recipe:
     reasoning_field: str | None = None
     instruction_suffix: str | None = chat.INSTRUCTION_SUFFIX
     seed: int = DEFAULT_SEED
+    multi_line: bool | None = None
 
     @classmethod
     def from_config(cls, config: Mapping[str, Any]) -> Recipe:
@@ -230,7 +233,7 @@ def build_dataset(
     keep: tuple[str, ...] = (),
 ) -> tuple[DataFrame, DataFrame | None]:
     """Load the recipe's records and format them; gives train and test part."""
-    records = load_records(spark, recipe.path)
+    records = load_records(spark, recipe.path, multi_line=recipe.multi_line)
     repeated = recipe.rows_wanted(max_samples, dry_run) is not None or recipe.val_ratio > 0
     if repeated and not recipe.path.rstrip("/").lower().endswith(".parquet"):
         # Sampling and splitting pass over the keys several times: parse the text once.

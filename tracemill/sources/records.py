@@ -21,16 +21,36 @@ def text_schema(fields: Sequence[str]) -> T.StructType:
     return T.StructType([T.StructField(name, T.StringType()) for name in fields])
 
 
-def read_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+def lines_are_records(spark: SparkSession, path: str) -> bool:
+    """Whether it is certain that no field of the CSV files spans lines.
+
+    Certain it is if on each line every quote belongs to a field that is quoted from its
+    start to its end: then no line begins inside of one. A quoted part, from one quote to the
+    next, becomes a mark; what a quote in a field doubles makes two parts side by side. A mark
+    beside anything but a comma, a mark or an end, or a quote left over, leaves doubt, and
+    so do lone carriage returns and lines of blanks only, which the two ways of
+    reading take differently. One pass over the lines, by many tasks.
+    """
+    lines = spark.read.option("lineSep", "\n").text(path)
+    line = F.rtrim(F.col("value"), F.lit("\r"))
+    marked = F.regexp_replace(line, '"[^"]*"', "\x00")
+    doubt = marked.rlike('["\r]|[^,\x00]\x00|\x00[^,\x00]') | line.contains("\x00")
+    doubt = doubt | ((F.trim(line) == "") & (line != ""))
+    return lines.filter(doubt).isEmpty()
+
+
+def read_csv(spark: SparkSession, path: str, multi_line: bool | None = None) -> DataFrame:
     """CSV with a header; quoted fields may span lines and double their quotes.
 
     Columns are those of the header, all text. An empty field is an empty text:
     CSV cannot tell it from a missing one. A file with multi-line fields cannot
-    be split, so give Spark many files, or Parquet, where there is much to read. All
-    files of a folder must have the same header; one with other columns, or another
-    order of them, stops the read. Where no field spans lines, ``multi_line=False`` lets
-    Spark split the files.
+    be split and is read by one task, so give Spark many files, or Parquet, where there is
+    much of that. Unless ``multi_line`` says so, a pass over the lines finds out whether
+    fields may span them (:func:`lines_are_records`). All files of a folder must have the same
+    header; one with other columns, or another order of them, stops the read.
     """
+    if multi_line is None:
+        multi_line = not lines_are_records(spark, path)
     reader = spark.read.option("header", True).option("inferSchema", False)
     reader = reader.option("multiLine", multi_line).option("escape", '"')
     reader = reader.option("mode", "FAILFAST").option("enforceSchema", False)
@@ -57,18 +77,22 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
 
 
 def load_records(
-    spark: SparkSession, path: str, fields: Sequence[str] | None = None
+    spark: SparkSession,
+    path: str,
+    fields: Sequence[str] | None = None,
+    multi_line: bool | None = None,
 ) -> DataFrame:
     """Read by suffix: ``.csv``, ``.jsonl``, ``.ndjson`` or ``.parquet``.
 
     ``fields`` names what to take from JSON lines, where that is not everything; the
-    other formats carry their own column names.
+    other formats carry their own column names. ``multi_line`` is for CSV, see
+    :func:`read_csv`.
     """
     suffix = PurePosixPath(path.rstrip("/")).suffix
     try:
         match suffix.lower():
             case ".csv":
-                return read_csv(spark, path)
+                return read_csv(spark, path, multi_line)
             case ".jsonl" | ".ndjson":
                 return read_json_lines(spark, path, fields)
             case ".parquet":

@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from workload.registry import (
     DIRECT_ROWS,
+    FILE_BYTES,
+    FILE_ROWS,
     HEAD_ROWS,
     LIMITED_ROWS,
     SAMPLE_ROWS,
@@ -365,6 +367,16 @@ ORACLES: dict[str, str] = {
     ),
     "eval_summary": sql(SUMMARY.format("near"), PREDICTIONS, SCORED),
     "eval_summary_exact": sql(SUMMARY.format("exact"), PREDICTIONS, SCORED),
+    "eval_by_group": sql(
+        """select concat_ws(',', case when grouping(kind) = 0 then 'kind' end,
+      case when grouping(shape) = 0 then 'shape' end) as breakdown, kind, shape, count(*) as evaluated,
+    count(*) filter (where near) as matched, round(count(*) filter (where near) / count(*), 4) as accuracy
+  from (select near, case when n % 4 > 0 then concat('kind', n % 4) end as kind, concat('shape', n % 5) as shape
+    from (select near, cast(substr(id, 2) as bigint) as n from scored))
+  group by grouping sets ((), (kind), (shape), (kind, shape))""",
+        PREDICTIONS,
+        SCORED,
+    ),
     "eval_misses": sql(
         "select id, expected, predicted, boxed from scored where not near order by id limit 5",
         PREDICTIONS,
@@ -418,6 +430,16 @@ ORACLES: dict[str, str] = {
     ),
     "request_rows": request("max_tokens", "gpt-4.1-mini", 1200, ", 'temperature', 0.2"),
     "request_rows_o_series": request("max_completion_tokens", "o4-mini", 16000, ""),
+    "request_files": f"""with requests as ({request("max_tokens", "gpt-4.1-mini", 1200, ", 'temperature', 0.2")}),
+  lines as (
+    select id, body, cast(json_object('id', id, 'body', body) as varchar) as line from requests),
+  weighed as (
+    select *, greatest((strlen(line) + 1) * {FILE_ROWS}, {FILE_BYTES})::bigint as weight from lines),
+  started as (
+    select *, coalesce(sum(weight) over (order by md5(line) rows between unbounded preceding and 1 preceding), 0)
+      as start from weighed)
+  select id, body, (start // ({FILE_ROWS * FILE_BYTES} - (select max(weight) from weighed)))::bigint as file
+  from started""",
     "exclude_ids": on_pool("select id, answer from pool"),
     "head_limit": on_problems(f"select id, answer from problems order by id limit {HEAD_ROWS}"),
     "sample_exact": on_problems(
@@ -521,6 +543,16 @@ ORACLES: dict[str, str] = {
         COMPLETIONS,
         PAIRS,
     ),
+    "append_committed": sql(
+        "select *, cast(null as varchar) as source_model from clean union all " + ACCEPTED,
+        PROBLEMS,
+        TRACES,
+        JUDGED,
+        CLEAN,
+        COMPLETIONS,
+        PAIRS,
+    ),
+    "load_csv_lines": on_problems("select id, answer, concat('\"', answer, '\", ', id) as quoted from problems"),
     "training_sink": on_problems(f"select {DIRECT} as text from problems"),
     "stream_accepted": on_pairs(ACCEPTED),
     "stream_rejected": on_pairs(REJECTED.replace("where not ok", "where answered and not ok")),

@@ -33,6 +33,8 @@ DIRECT_ROWS = 500
 TIED_ROWS = 20
 LIMITED_ROWS = 30
 SEGMENT_CHARS = 2000
+FILE_ROWS = 30
+FILE_BYTES = 100_000
 
 QUERIES: dict[str, Query] = {}
 
@@ -130,6 +132,17 @@ def eval_no_id(spark, sf):
     return _rounded(tm.evaluate(predictions(spark, sf).drop("id"), tolerance=TOLERANCE).summary)
 
 
+@query
+def eval_by_group(spark, sf):
+    """In total, by two columns and by both; every fourth row has no kind."""
+    number = F.substring("id", 2, 20).cast("bigint")
+    kind = F.when(number % 4 > 0, F.concat(F.lit("kind"), (number % 4).cast("string")))
+    shape = F.concat(F.lit("shape"), (number % 5).cast("string"))
+    grouped = predictions(spark, sf).withColumn("kind", kind).withColumn("shape", shape)
+    evaluation_ = tm.evaluate(grouped, tolerance=TOLERANCE)
+    return _rounded(evaluation_.by_group("kind", "shape", ("kind", "shape")))
+
+
 @query
 def eval_misses(spark, sf):
     return tm.evaluate(predictions(spark, sf), tolerance=TOLERANCE).misses
@@ -274,6 +287,14 @@ def request_rows_o_series(spark, sf):
     return tm.request_rows(problems(spark, sf), model="o4-mini", max_tokens=16000)
 
 
+@query
+def request_files(spark, sf):
+    """Which file each request is in, read back from the files."""
+    path = staging_path(spark, "request-files")
+    tm.write_request_files(tm.request_rows(problems(spark, sf)), path, FILE_ROWS, FILE_BYTES)
+    return spark.read.schema("id string, body string, file bigint").json(path)
+
+
 # --- sampling, union, expansion --------------------------------------------
 
 
@@ -514,6 +535,16 @@ def load_csv(spark, sf):
     return tm.load_records(spark, path)
 
 
+@query
+def load_csv_lines(spark, sf):
+    """A file whose fields do not span lines, so that many tasks can read it."""
+    path = staging_path(spark, "answers") + ".csv"
+    quoted = F.concat(F.lit('"'), F.col("answer"), F.lit('", '), F.col("id"))
+    answered = problems(spark, sf).select("id", "answer", quoted.alias("quoted"))
+    answered.write.option("header", True).option("escape", '"').csv(path)
+    return tm.load_records(spark, path)
+
+
 @query
 def load_json_lines(spark, sf):
     path = staging_path(spark, "traces") + ".jsonl"
@@ -543,6 +574,18 @@ def append_accepted(spark, sf):
     return tm.load_records(spark, path, ACCEPTED_FIELDS)
 
 
+@query
+def append_committed(spark, sf):
+    """The same rows, one writing repeated and one begun but not finished."""
+    path = staging_path(spark, "committed")
+    accepted = _verified(spark, sf).accepted
+    sinks.append_once(tm.clean_traces(traces(spark, sf)), path, "clean")
+    for _ in range(2):
+        sinks.append_once(accepted, path, "accepted")
+    sinks.replace_json_lines(accepted, f"{path}/write=unfinished")
+    return sinks.read_committed(spark, path, ACCEPTED_FIELDS)
+
+
 @query
 def training_sink(spark, sf):
     path = staging_path(spark, "training") + ".parquet"
