@@ -3,7 +3,8 @@ import random
 import numpy as np
 import pytest
 
-from tracemill.llm.line_dedup import dedup_lines, half_keys, line_report, variant_keys, within_one
+from tracemill.llm import line_dedup
+from tracemill.llm.line_dedup import bitmap_bits, dedup_lines, half_keys, line_report, variant_keys, within_one
 
 
 def edit_distance(one, other):
@@ -21,13 +22,12 @@ def plain_report(rows, least=5):
     for doc, text in sorted((r for r in rows if r[1] is not None), key=lambda r: r[0]):
         for number, line in enumerate(text.split("\n")):
             words = line.encode().split()
-            earlier = [w for w, _ in lines if len(w) >= least]
+            earlier = [w for w, _ in lines if w]
             verdict = None
-            if len(words) >= least:
-                if words in earlier:
-                    verdict = "exact"
-                elif any(edit_distance(words, w) <= 1 for w in earlier):
-                    verdict = "near"
+            if words in earlier:
+                verdict = "exact"
+            elif len(words) >= least and any(edit_distance(words, w) <= 1 for w in earlier if len(w) >= least):
+                verdict = "near"
             lines.append((words, (doc, line, verdict)))
     report = {doc: (0, 0, 0, text) for doc, text in rows}
     for doc, _ in rows:
@@ -105,5 +105,38 @@ def test_short_lines_lose_exact_copies(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     left = {r.doc_id: r.text for r in dedup_lines(docs).collect()}
     assert left == {1: rows[0][1], 2: "own\n\nshort line two here", 4: rows[3][1], 5: rows[4][1]}
-    report = {r.doc_id: (r.n_exact, r.n_near) for r in line_report(docs, least_exact=1).collect()}
+    report = {r.doc_id: (r.n_exact, r.n_near) for r in line_report(docs).collect()}
     assert report == {1: (0, 0), 2: (1, 0), 3: (1, 0), 4: (0, 0), 5: (0, 0)}
+    kept = {r.doc_id: r.n_exact for r in line_report(docs, least_exact=5).collect()}
+    assert set(kept.values()) == {0}
+
+
+def test_no_exact_copy_of_a_line_stays(spark, smallest):
+    docs = spark.read.parquet(f"{smallest}/documents.parquet")
+    seen = set()
+    for row in sorted(line_report(docs).collect(), key=lambda r: r.doc_id):
+        for line in (row.text or "").split("\n"):
+            words = tuple(line.encode().split())
+            assert not words or words not in seen
+            seen.add(words)
+
+
+def test_a_text_of_very_many_lines(spark):
+    """Half of its 200,000 lines are lost, in time that grows with their number."""
+    rows = [(1, "\n".join(f"line {i // 2} of very many words" for i in range(200_000))), (2, "line 7 of very many words")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: r for r in line_report(docs, least_words=7).collect()}
+    assert (found[1].n_lines, found[1].n_exact, found[2].n_exact) == (200_000, 100_000, 1)
+    assert found[1].text == "\n".join(f"line {i} of very many words" for i in range(100_000)) and found[2].text == ""
+
+
+def test_bitmap_grows_with_the_halves(spark, monkeypatch):
+    assert bitmap_bits(0) == line_dedup.LEAST_BITS and bitmap_bits(10**12) == line_dedup.MOST_BITS
+    assert 8 * 10**6 <= bitmap_bits(10**6) < 16 * 10**6
+    # A full bitmap prunes nothing and changes nothing.
+    rows = [(i, f"some words of a line {i // 2}\nother words {i % 5} in a line here") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    expected = sorted(map(tuple, line_report(docs).collect()))
+    for name in ("LEAST_BITS", "MOST_BITS"):
+        monkeypatch.setattr(line_dedup, name, line_dedup._BUCKET)
+    assert sorted(map(tuple, line_report(docs).collect())) == expected

@@ -30,9 +30,11 @@ from tracemill.sources.staging import stage
 # Words of lines that are compared for one edit, and of those that lose exact copies.
 LEAST_WORDS = 5
 LEAST_EXACT = 1
-# Bits of the bitmap of shared halves, a multiple of Spark's 32,768 per bucket. A fuller
-# bitmap prunes less and changes no result.
-BITS = 1 << 26
+# Bits of the bitmap of shared halves: eight for each of them, within these bounds. Beyond
+# 2^25 shared halves the bitmap, then 32 MB, gets fuller: it prunes less, and results stay.
+LEAST_BITS, MOST_BITS = 1 << 20, 1 << 28
+BITS_PER_HALF = 8
+# Spark's bits in a bucket of a bitmap.
 _BUCKET = 8 * 4096
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
@@ -141,13 +143,20 @@ def shared_halves(lines: DataFrame) -> DataFrame:
     return stage(ends.filter("low < high").select("half"), "shared-halves")
 
 
+def bitmap_bits(halves: int) -> int:
+    """The next power of two that gives every shared half its bits."""
+    wanted = 1 << max(0, BITS_PER_HALF * halves - 1).bit_length()
+    return min(max(wanted, LEAST_BITS), MOST_BITS)
+
+
 def half_bitmap(shared: DataFrame) -> np.ndarray:
-    """A bit for each shared half, on the driver: ``BITS`` of them, whatever the data."""
-    at = F.pmod("half", F.lit(BITS))
+    """Bits for the shared halves, on the driver: ``MOST_BITS`` at most, whatever the data."""
+    bits = bitmap_bits(shared.count())
+    at = F.pmod("half", F.lit(bits))
     pieces = shared.groupBy(F.bitmap_bucket_number(at + 1).alias("bucket")).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position(at + 1)).alias("bits")
     )
-    bitmap = np.zeros(BITS // 8, dtype=np.uint8)
+    bitmap = np.zeros(bits // 8, dtype=np.uint8)
     for row in pieces.collect():
         start = (row.bucket - 1) * _BUCKET // 8
         bitmap[start : start + _BUCKET // 8] = np.frombuffer(row.bits, np.uint8)
@@ -160,6 +169,7 @@ def candidate_lines(docs: DataFrame, text: str, id_column: str, least_words: int
 
     def make():
         bits = bitmap.value
+        size = 8 * len(bits)
 
         def step(names, hashes, texts):
             rows = []
@@ -168,7 +178,7 @@ def candidate_lines(docs: DataFrame, text: str, id_column: str, least_words: int
                     if len(words) < least_words:
                         continue
                     halves = half_keys(words)
-                    if any(bits[(h % BITS) >> 3] >> (h % BITS & 7) & 1 for h in halves):
+                    if any(bits[(h % size) >> 3] >> (h % size & 7) & 1 for h in halves):
                         line = b" ".join(words).decode("utf-8", "replace")
                         rows.append((line_digest(words), line, halves))
             return [list(column) for column in zip(*rows)] or [[], [], []]
@@ -263,9 +273,9 @@ def _cleaned(docs: DataFrame, text: str, id_column: str, least_words: int, least
     joined = own.join(lost, same, "left").select(
         "document", "exact", "near", F.concat("exact", "near").alias("gone"), F.split(body, "\n", -1).alias("lines")
     )
-    numbered = F.transform("lines", lambda line, at: F.struct(line.alias("line"), at.alias("at")))
-    rest = F.filter(numbered, lambda x: ~F.array_contains("gone", x["at"]))
-    cleaned = F.array_join(F.transform(rest, lambda x: x["line"]), "\n")
+    # A difference of sets of numbers, which takes time in proportion to the lines.
+    left = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), "gone")
+    cleaned = F.array_join(F.transform(left, lambda at: F.get("lines", at)), "\n")
     count = lambda name: F.coalesce(F.when(F.col(name).isNotNull(), F.size(name)), F.lit(0)).cast("long").alias(f"n_{name}")
     return joined.select(
         "document",
@@ -279,7 +289,7 @@ def line_report(
     text: str = "text",
     id_column: str = "doc_id",
     least_words: int = LEAST_WORDS,
-    least_exact: int = LEAST_WORDS,
+    least_exact: int = LEAST_EXACT,
 ) -> DataFrame:
     """Every document's ``n_lines, n_exact, n_near`` and the text that is left.
 
@@ -287,7 +297,7 @@ def line_report(
     one word's insertion, deletion or replacement away (near), whether or not that one
     stays. Earlier means a smaller id, then a smaller line number; rows without id come
     last. Lines with fewer than ``least_words`` words have no near ones, and with fewer than
-    ``least_exact`` they always stay; its default is the rule of the SQL of op8. A null text stays null
+    ``least_exact`` they always stay; by default only lines without a word do. A null text stays null
     and has no lines, an empty one has one. Repeated rows are one document and
     lose the same lines. Other columns are not looked at.
     """
@@ -304,7 +314,7 @@ def dedup_lines(
 ) -> DataFrame:
     """``docs`` with repeated lines cut out, by the rule of :func:`line_report`.
 
-    Unless ``least_exact`` says otherwise, every line with a word loses its exact copies. Documents that lose lines and have no word left go. All columns but the text are
+    Documents that lose lines and have no word left go. All columns but the text are
     handed on as they are.
     """
     cleaned = _cleaned(docs, text, id_column, least_words, least_exact)

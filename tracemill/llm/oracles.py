@@ -120,7 +120,7 @@ with lines as (
          list_filter(regexp_split_to_array(body, '[\x20\x09-\x0D]+'), lambda w: w <> '') as words
   from lines
 ), counted as (
-  select *, len(words) >= 5 as judged,
+  select *, len(words) >= 5 as judged, len(words) >= 1 as worded,
          row_number() over (partition by words order by doc_id, line) as nth from worded
 ), firsts as (
   select words, len(words) as n, doc_id, line, row_number() over (order by doc_id, line) as pos
@@ -138,7 +138,7 @@ with lines as (
   union select words from shorter where other < pos
   union select longer from shorter where pos < other
 ), verdicts as (
-  select c.*, judged and nth > 1 as exact, judged and nth = 1 and near.words is not null as close
+  select c.*, worded and nth > 1 as exact, judged and nth = 1 and near.words is not null as close
   from counted c left join near on c.words = near.words
 )
 select d.doc_id, count(v.line) as n_lines, count(*) filter (exact) as n_exact,
