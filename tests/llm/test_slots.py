@@ -104,3 +104,28 @@ def test_a_missing_owner_is_an_error(spark):
     for lacking in (slot_map.filter("virtual_slot <> 5"), slot_map.withColumn("parts", F.lit(2))):
         with pytest.raises(Exception, match="no owner of slot"):
             slots.shard_records(docs, 4, slots=64, slot_map=lacking).count()
+
+
+def test_layout_of_the_table_does_not_matter(spark):
+    """One stored map, two layouts: the same records in every shard, those of divided slots too."""
+    rows = spark.range(5000).select(
+        F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 900).alias("doc_id"),
+        F.concat(F.lit("text "), F.col("id") % 700).alias("text"),
+    )
+    rows = rows.unionByName(spark.range(900).select(F.lit(8).cast("long").alias("doc_id"), F.lit("a copy").alias("text")))
+    measured = slots.measure(rows, "doc_id", "text", 64)
+    parts = slots.slot_parts(measured, 64)
+    slot_map = slots.first_map(slots.placed(measured, parts), parts, 4)
+    assert slot_map.filter("parts > 1").count() > 5
+    found = []
+    for layout in (rows.coalesce(1), rows.repartition(7, "text"), rows.orderBy(F.rand(3))):
+        sharded = slots.shard_records(layout, 4, slots=64, slot_map=slot_map)
+        found.append(sorted(map(tuple, sharded.drop("slot").collect())))
+    assert found[0] == found[1] == found[2]
+
+
+def test_a_column_of_the_folders_name(spark, tmp_path):
+    docs = spark.range(50).select(F.col("id").alias("doc_id"), F.lit("x").alias("text"), F.lit("mine").alias("_shard"))
+    slots.write_shards(docs, str(tmp_path / "shards"), 2)
+    back = spark.read.parquet(str(tmp_path / "shards"))
+    assert back.count() == 50 and back.filter("_shard = 'mine'").count() == 50 and "__shard" in back.columns

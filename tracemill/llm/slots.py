@@ -5,7 +5,9 @@ shards: a small map says which, by the bytes each slot holds, and has a version.
 Rebalancing edits the map and moves no more slots than it must.
 
 A slot with far more bytes than the others, as one id with very many rows makes, is
-dealt into parts that the map treats as slots of their own. The map therefore has at
+dealt into parts that the map treats as slots of their own. A record's part follows from its
+key and text, and among exact copies from their number, so with a stored map a record's
+shard does not depend on how a table is laid out. The map therefore has at
 most twice as many rows as there are slots, whatever the data. It has every slot and every
 part, those without rows too, so that later rows find an owner.
 """
@@ -15,6 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tracemill.operators.running import running_start
 from tracemill.sources.staging import stage
 
 SLOTS = 4096
@@ -65,14 +68,25 @@ def slot_parts(measured: DataFrame, slots: int) -> DataFrame:
     )
 
 
+IDENTITY = ("record", "text_crc32", "size")
+
+
 def placed(measured: DataFrame, parts: DataFrame) -> DataFrame:
     """Measured rows with the part of their slot; ``parts`` has a row per slot.
 
-    Rows of a slot that is not there get part -1, which no map has.
+    Rows of divided slots are dealt out by key, checksum and size, copies of one record by
+    their number among them; which copy has which number makes no difference. Only these
+    rows are numbered. Rows of a slot that is not there get part -1, which no map has.
     """
     joined = measured.join(F.broadcast(parts), "virtual_slot", "left")
-    part = F.pmod(F.xxhash64("row"), F.col("parts")).cast("int")
-    return joined.select("*", F.coalesce(part, F.lit(-1)).alias("part"))
+    divided = F.coalesce(F.col("parts") > 1, F.lit(False))
+    part = F.when(F.col("parts").isNull(), -1).otherwise(0)
+    rest = joined.filter(~divided).select("*", part.alias("part"))
+    light = joined.filter(divided).select(*IDENTITY, "row", F.lit(1).alias("one"))
+    copies = running_start(light, IDENTITY, ["row"], "one", "copy").select("row", "copy")
+    whole = joined.filter(divided).join(copies, "row").select(*joined.columns, "copy")
+    part = F.pmod(F.xxhash64(*IDENTITY, "copy"), F.col("parts")).cast("int")
+    return rest.unionByName(whole.withColumn("part", part).drop("copy"))
 
 
 def owned(rows: DataFrame, slot_map: DataFrame) -> DataFrame:
@@ -238,20 +252,27 @@ def write_shards(
 ) -> DataFrame:
     """Write whole records into folders ``_shard=0`` and so on; returns the slot map.
 
-    Every task writes what it has read, so nothing is shuffled. Rows of a divided
-    slot are spread by their number, which is stored with them.
+    Tasks write what they have read; only rows of divided slots are moved. Null texts and
+    keys, copies and columns of any name are written as they are; if there is a column
+    ``_shard``, the folders' name gets another ``_`` in front. Without rows nothing but an
+    empty folder is written.
     """
     numbered = docs.select(
         F.struct(*docs.columns).alias("_record"),
+        F.col(key).alias("record"),
+        text_crc32(F.col(text)).alias("text_crc32"),
         slot_of(F.col(key), slots).alias("virtual_slot"),
         utf8_size(F.col(text)).alias("size"),
         F.monotonically_increasing_id().alias("row"),
     )
+    folder = "_shard"
+    while folder in docs.columns:
+        folder = f"_{folder}"
     whole = stage(numbered, "slot-documents")
-    measured = whole.select("virtual_slot", "size", "row")
+    measured = whole.drop("_record")
     parts = slot_parts(measured, slots)
     slot_map = first_map(placed(measured, parts), parts, shards)
     dealt = placed(whole, slot_map.select("virtual_slot", "parts").distinct())
-    sharded = owned(dealt, slot_map).select("_record.*", F.col("shard").alias("_shard"))
-    sharded.write.partitionBy("_shard").parquet(path)
+    sharded = owned(dealt, slot_map).select("_record.*", F.col("shard").alias(folder))
+    sharded.write.partitionBy(folder).parquet(path)
     return slot_map
