@@ -1,7 +1,7 @@
 import re
 from collections import Counter
 
-from tracemill.llm.quality_rules import judge_quality, quantile_sketches, merge_sketches, text_counts
+from tracemill.llm.quality_rules import judge_quality, quantile_sketches, merge_sketches, metric_columns, text_counts, thresholds
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -39,6 +39,31 @@ def test_thresholds_adapt(spark):
     assert [d for d, good in kept.items() if not good] == [200]
 
 
+def test_bounds_differ_by_source_and_are_learned(spark):
+    """On the scale of the smaller test data too; the labels say who is hurt."""
+    folder = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    judged = judge_quality(docs)
+    measured = judged.filter("not base_failed")
+    bounds = thresholds(quantile_sketches(measured, ("lang", "source"))).collect()
+    assert len(bounds) > 50
+    for name in ("word_length_high", "word_length_low", "dup_line_rate_high", "repeat_rate_high"):
+        assert len({row[name] for row in bounds}) > 3
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    known = measured.join(labels, "doc_id")
+    kept = {(r.quality, r.kept): r["count"] for r in known.groupBy("quality", "kept").count().collect()}
+    assert kept.get((1, False), 0) <= 0.01 * kept[1, True]
+    assert kept[0, False] > 3 * kept.get((0, True), 0)
+
+
+def test_a_small_group_borrows_from_its_language(spark):
+    plain = " ".join(f"word{i}" for i in range(80))
+    rows = [(i, plain + f" {i}", "en", "large") for i in range(200)] + [(300 + i, plain + " # # #", "en", "small") for i in range(2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    bounds = {r.source: r.symbol_rate_high for r in thresholds(quantile_sketches(judge_quality(docs), ("lang", "source"))).collect()}
+    assert bounds == {"large": 1, "small": 1}
+
+
 def test_odd_rows(odd_documents, no_documents):
     judged = {r.doc_id: r for r in judge_quality(odd_documents).collect()}
     assert judged[0].n_words == 0 and judged[0].base_failed and not judged[0].kept
@@ -49,8 +74,6 @@ def test_odd_rows(odd_documents, no_documents):
 
 def test_sketches_merge(spark, smallest):
     docs = spark.read.parquet(f"{smallest}/documents.parquet")
-    from tracemill.llm.quality_rules import metric_columns
-
     measured = text_counts(docs).select("*", *(c.alias(n) for n, c in metric_columns().items()))
     whole = quantile_sketches(measured, ("lang",))
     parts = quantile_sketches(measured.filter("doc_id % 2 = 0"), ("lang", "source")).unionByName(

@@ -68,33 +68,46 @@ with read as (
   select lang, source, metric,
          (value >> greatest(length(bin(value)) - 6, 0)) << greatest(length(bin(value)) - 6, 0) as bucket
   from flat
-), levels as (
-  select 0 as level, lang, source, metric, bucket from bucketed
-  union all select 1, lang, null, metric, bucket from bucketed
-  union all select 2, null, null, metric, bucket from bucketed
+), every as (
+  select metric, bucket, (texts * 100000 // sum(texts) over (partition by metric))::bigint as prior
+  from (select metric, bucket, count(*) as texts from bucketed group by all)
+), lang_sizes as (
+  select lang, metric, count(*) as size from bucketed group by all
+), lang_counts as (
+  select lang, metric, bucket, count(*) as texts from bucketed group by all
+), lang_shares as (
+  select s.lang, s.metric, e.bucket,
+         ((coalesce(texts, 0) * 100000 + 30 * prior) // (size + 30))::bigint as prior
+  from lang_sizes s join every e using (metric)
+  left join lang_counts c on s.lang is not distinct from c.lang and s.metric = c.metric and e.bucket = c.bucket
+), groups as (
+  select distinct lang, source, metric from bucketed
+), own as (
+  select lang, source, metric, bucket, count(*) as texts from bucketed group by all
+), weights as (
+  select g.lang, g.source, g.metric, l.bucket, coalesce(texts, 0) * 100000 + 30 * prior as weight
+  from groups g join lang_shares l on g.lang is not distinct from l.lang and g.metric = l.metric
+  left join own o on g.lang is not distinct from o.lang and g.source is not distinct from o.source
+    and g.metric = o.metric and l.bucket = o.bucket
 ), ranked as (
-  select level, lang, source, metric, bucket,
-         row_number() over (partition by level, lang, source, metric order by bucket) as upto,
-         count(*) over (partition by level, lang, source, metric) as total
-  from levels
-), quarters as (
-  select level, lang, source, metric, any_value(total) as texts,
-         min(bucket) filter (4 * upto >= total) as q1, min(bucket) filter (4 * upto >= 3 * total) as q3
+  select *, sum(weight) over (partition by lang, source, metric order by bucket) as upto,
+         sum(weight) over (partition by lang, source, metric) as total
+  from weights
+), quantiles as (
+  select lang, source, metric, min(bucket) filter (100 * upto >= 25 * total) as q25,
+         min(bucket) filter (100 * upto >= 50 * total) as q50, min(bucket) filter (100 * upto >= 75 * total) as q75,
+         min(bucket) filter (100 * upto >= 90 * total) as q90, min(bucket) filter (100 * upto >= 99 * total) as q99
   from ranked group by all
-), chosen as (
-  select a.lang, a.source, a.metric,
-         case when a.texts >= 100 then a.q1 when b.texts >= 100 then b.q1 else c.q1 end as q1,
-         case when a.texts >= 100 then a.q3 when b.texts >= 100 then b.q3 else c.q3 end as q3
-  from quarters a
-  join quarters b on b.level = 1 and a.lang is not distinct from b.lang and a.metric = b.metric
-  join quarters c on c.level = 2 and a.metric = c.metric
-  where a.level = 0
-), slack(metric, slack) as (
-  values ('word_length', 200), ('symbol_rate', 250), ('dup_line_rate', 400), ('repeat_rate', 300)
+), ends as (
+  select lang, source, metric, case metric when 'word_length' then q75 when 'symbol_rate' then q90 else q99 end as upper,
+         case metric when 'word_length' then q25 else q50 end as lower,
+         case metric when 'word_length' then 6 else 1 end as reach
+  from quantiles
 ), fences as (
-  select lang, source, metric, q3 + greatest(3 * (q3 - q1), slack) as high,
-         case when metric = 'word_length' then q1 - greatest(3 * (q3 - q1), slack) end as low
-  from chosen join slack using (metric)
+  select lang, source, metric,
+         upper + reach * (upper - lower) + (1::bigint << greatest(length(bin(upper)) - 6, 0)) as high,
+         lower - reach * (upper - lower) as low
+  from ends
 ), bounds as (
   select lang, source,
          max(high) filter (metric = 'word_length') as h1, max(low) filter (metric = 'word_length') as l1,

@@ -6,7 +6,9 @@ thirty-second of their value. Sketches are merged by adding counts, so partial o
 any shuffle, sources can be merged into languages, and a sketch can be stored and
 grown by later data. Unlike sampled sketches they do not depend on the order of rows.
 
-A text is rejected where a ratio lies outside the fences of its language and source.
+A text is rejected where a ratio lies outside the fences of its language and source. Every
+fence is computed from quantiles of their sketch; no cutoff is fixed. Small groups borrow
+from their language, and languages from all texts, by weight: the larger a group, the less.
 """
 
 from __future__ import annotations
@@ -29,27 +31,35 @@ MOST_REPEATED_PERCENT = 50
 
 # Leading binary digits that a bucket keeps.
 DIGITS = 6
-# Groups with fewer texts use the sketch of their language, then that of all texts.
-LEAST_TEXTS = 100
+# A group's sketch is blended with its language's as if that were so many texts more.
+PRIOR_TEXTS = 30
+# Parts of a text in which blended weights are counted, as whole numbers.
+UNIT = 100_000
 
 
 @dataclass(frozen=True)
 class Fence:
-    """Bounds around the middle half of a metric: ``reach`` times its width, at
-    least ``slack``."""
+    """Bounds learned from the quantiles ``upper`` and ``lower`` (in per cent) of a metric.
+
+    The upper bound lies ``reach`` times their distance above ``upper`` and a bucket more; with
+    ``low`` there is a lower bound as far below ``lower``. A metric that is 0 for nearly all
+    texts needs a quantile further out.
+    """
 
     metric: str
-    slack: int
-    reach: int = 3
+    upper: int
+    lower: int
+    reach: int
     low: bool = False
 
 
 FENCES = (
-    Fence("word_length", slack=200, low=True),
-    Fence("symbol_rate", slack=250),
-    Fence("dup_line_rate", slack=400),
-    Fence("repeat_rate", slack=300),
+    Fence("word_length", 75, 25, reach=6, low=True),
+    Fence("symbol_rate", 90, 50, reach=1),
+    Fence("dup_line_rate", 99, 50, reach=1),
+    Fence("repeat_rate", 99, 50, reach=1),
 )
+LEVELS = tuple(sorted({level for fence in FENCES for level in (fence.upper, fence.lower)}))
 
 
 def words_of(text: Column) -> Column:
@@ -157,48 +167,69 @@ def merge_sketches(sketches: DataFrame, groups: tuple[str, ...]) -> DataFrame:
     return sketches.groupBy(*groups, "metric", "bucket").agg(F.sum("texts").alias("texts"))
 
 
-def quartiles(sketches: DataFrame, groups: tuple[str, ...]) -> DataFrame:
-    """``groups, metric, texts, q1, q3`` of each sketch; buckets are few and bounded."""
-    within = Window.partitionBy(*groups, "metric")
-    upto = F.sum("texts").over(within.orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0))
-    ranked = sketches.select(
-        *groups, "metric", "bucket", upto.alias("upto"), F.sum("texts").over(within).alias("total")
-    )
-    at = lambda quarter: F.min(F.when(4 * F.col("upto") >= quarter * F.col("total"), F.col("bucket")))
-    return ranked.groupBy(*groups, "metric").agg(
-        F.max("total").alias("texts"), at(1).alias("q1"), at(3).alias("q3")
+def blended(sketches: DataFrame) -> DataFrame:
+    """``lang, source, metric, bucket, weight`` of every group, in whole parts of a text.
+
+    ``weight`` is the group's own texts and ``PRIOR_TEXTS`` spread like its language's,
+    which is blended with all texts in the same way. A group has a row for every bucket of
+    the metric in any text; these are bounded in number by the digits of a bucket.
+    """
+    every = merge_sketches(sketches, ()).withColumnRenamed("texts", "all_texts")
+    every = every.select(
+        "metric", "bucket", F.expr(f"all_texts * {UNIT} div sum(all_texts) over (partition by metric)").alias("all_share")
     )
 
+    def spread(own: DataFrame, groups: list[str], prior: DataFrame, on: list[str]) -> DataFrame:
+        """Counts of each group beside the prior's shares, in all buckets of the prior."""
+        sizes = own.groupBy(*groups, "metric").agg(F.sum("texts").alias("size")).alias("g")
+        same = [F.col(f"g.{name}").eqNullSafe(F.col(f"p.{name}")) for name in [*on, "metric"]]
+        condition = same[0] if len(same) == 1 else same[0] & same[1]
+        grid = sizes.join(prior.alias("p"), condition).select(
+            *(F.col(f"g.{name}").alias(name) for name in [*groups, "metric"]), "size", "bucket", "prior"
+        ).alias("l")
+        counts = own.alias("r")
+        same = F.col("l.bucket") == F.col("r.bucket")
+        for name in [*groups, "metric"]:
+            same = same & F.col(f"l.{name}").eqNullSafe(F.col(f"r.{name}"))
+        return grid.join(counts, same, "left").select("l.*", F.coalesce("texts", F.lit(0)).alias("texts"))
+
+    languages = spread(merge_sketches(sketches, ("lang",)), ["lang"], every.withColumnRenamed("all_share", "prior"), [])
+    shares = languages.select(
+        "lang", "metric", "bucket",
+        F.expr(f"(texts * {UNIT} + {PRIOR_TEXTS} * prior) div (size + {PRIOR_TEXTS})").alias("prior"),
+    )
+    own = merge_sketches(sketches, ("lang", "source"))
+    groups = spread(own, ["lang", "source"], shares, ["lang"])
+    weight = F.col("texts") * UNIT + PRIOR_TEXTS * F.col("prior")
+    return groups.select("lang", "source", "metric", "bucket", weight.alias("weight"))
+
+
+def quantiles(weights: DataFrame) -> DataFrame:
+    """``lang, source, metric, q<level>`` of each blended sketch."""
+    within = Window.partitionBy("lang", "source", "metric")
+    upto = F.sum("weight").over(within.orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0))
+    ranked = weights.select("*", upto.alias("upto"), F.sum("weight").over(within).alias("total"))
+    at = lambda level: F.min(F.when(100 * F.col("upto") >= level * F.col("total"), F.col("bucket")))
+    return ranked.groupBy("lang", "source", "metric").agg(*(at(level).alias(f"q{level}") for level in LEVELS))
+
+
+def bucket_width(value: Column) -> Column:
+    """How many whole numbers fall into the bucket that begins with this value."""
+    drop = F.greatest(F.length(F.bin(value)) - DIGITS, F.lit(0))
+    return F.call_function("shiftleft", F.lit(1).cast("long"), drop)
 
-def thresholds(sketches: DataFrame, least_texts: int = LEAST_TEXTS) -> DataFrame:
-    """``lang, source`` and ``<metric>_low/_high`` for every group.
 
-    A group with fewer than ``least_texts`` texts takes the quartiles of its
-    language, or those of all texts.
-    """
-    levels = [("lang", "source"), ("lang",), ()]
-    found = [quartiles(merge_sketches(sketches, groups), groups) for groups in levels]
-    renamed = [
-        table.select(
-            *(F.col(name).alias(f"{name}{level}") for name in groups),
-            F.col("metric").alias(f"metric{level}"),
-            F.struct("texts", "q1", "q3").alias(f"at{level}"),
-        )
-        for level, (groups, table) in enumerate(zip(levels, found))
-    ]
-    joined = renamed[0].join(
-        renamed[1], F.col("lang0").eqNullSafe(F.col("lang1")) & (F.col("metric0") == F.col("metric1"))
-    ).join(renamed[2], F.col("metric0") == F.col("metric2"))
-    enough = lambda level: F.col(f"at{level}.texts") >= least_texts
-    at = F.when(enough(0), F.col("at0")).when(enough(1), F.col("at1")).otherwise(F.col("at2"))
-    rows = joined.select(F.col("lang0").alias("lang"), F.col("source0").alias("source"), F.col("metric0").alias("metric"), at.alias("at"))
+def thresholds(sketches: DataFrame) -> DataFrame:
+    """``lang, source`` and ``<metric>_low/_high`` for every group."""
+    rows = quantiles(blended(sketches))
     bounds = []
     for fence in FENCES:
-        width = F.greatest(fence.reach * (F.col("at.q3") - F.col("at.q1")), F.lit(fence.slack))
+        upper, lower = F.col(f"q{fence.upper}"), F.col(f"q{fence.lower}")
+        away = fence.reach * (upper - lower)
         here = F.col("metric") == fence.metric
-        bounds.append(F.max(F.when(here, F.col("at.q3") + width)).alias(f"{fence.metric}_high"))
+        bounds.append(F.max(F.when(here, upper + away + bucket_width(upper))).alias(f"{fence.metric}_high"))
         if fence.low:
-            bounds.append(F.max(F.when(here, F.col("at.q1") - width)).alias(f"{fence.metric}_low"))
+            bounds.append(F.max(F.when(here, lower - away)).alias(f"{fence.metric}_low"))
     return rows.groupBy("lang", "source").agg(*bounds)
 
 
@@ -211,7 +242,7 @@ def inside_fences() -> Column:
     return good
 
 
-def judge_quality(docs: DataFrame, text: str = "text", least_texts: int = LEAST_TEXTS) -> DataFrame:
+def judge_quality(docs: DataFrame, text: str = "text") -> DataFrame:
     """Every document's ``text_hash``, counts, metrics, ``base_failed`` and ``kept``.
 
     ``docs`` has ``doc_id, lang, source`` and the text; other columns are not looked
@@ -225,7 +256,7 @@ def judge_quality(docs: DataFrame, text: str = "text", least_texts: int = LEAST_
     metrics = [column.alias(name) for name, column in metric_columns().items()]
     measured = stage(counted.select("*", *metrics, fails_base().alias("base_failed")), "quality-counts")
     groups = ("lang", "source")
-    bounds = thresholds(quantile_sketches(measured.filter(~F.col("base_failed")), groups), least_texts)
+    bounds = thresholds(quantile_sketches(measured.filter(~F.col("base_failed")), groups))
     bounds = bounds.select(*(F.col(name).alias(f"_{name}" if name in groups else name) for name in bounds.columns))
     same = F.col("lang").eqNullSafe(F.col("_lang")) & F.col("source").eqNullSafe(F.col("_source"))
     judged = measured.join(bounds, same, "left")
