@@ -107,3 +107,61 @@ def test_what_no_automaton_explains_is_no_credential():
     formats = s.Formats(s.infer_automaton(labelled), s.infer_automaton(ordinary))
     assert all(formats.odds(word) < 0 for word in ("STATEMENT", "CONSTITUTION", "understanding"))
     assert formats.odds(labelled[0][:12]) > s.LEAST_ODDS
+
+
+def random_values(pick, alphabet, size, count):
+    return ["".join(pick.choice(alphabet) for _ in range(size)) for _ in range(count)]
+
+
+def test_length_and_position_are_learned():
+    """From 40 hexadecimal digits: a state for each place, and a token of 20 scores less."""
+    labelled = [hashlib.sha1(str(i).encode()).hexdigest() for i in range(130)]
+    automaton = s.infer_automaton(labelled)
+    assert len(automaton) == 41 and [st.ends for st in automaton] == [0] * 40 + [130]
+    formats = s.Formats(automaton, s.infer_automaton(["understanding", "international"] * 50))
+    fresh = hashlib.sha1(b"fresh").hexdigest()
+    assert formats.odds(fresh) > formats.odds(fresh[:39]) and formats.odds(fresh) > formats.odds(fresh + "0")
+    # By the same letters, apart from how many of them there are.
+    likely = [s.log_likelihood(automaton, "h" * size) for size in (20, 39, 40, 41)]
+    assert likely[2] > max(likely[0], likely[1], likely[3]) + 3
+
+
+def test_classes():
+    assert s.classes_of("deadbeef-0123+DEAD00_Ab9z.Zz/zz9=QQ") == "llllllll-dddd+HHHHHH_bbbb.mm/LLL=uu"
+    assert s.classes_of("") == "" and set(s.classes_of("a1-B2_cD.9/=+x")) <= set(s.CLASSES)
+
+
+def test_fresh_bare_credentials_are_found_and_ordinary_tokens_are_not(spark):
+    """Formats that no fixed pattern knows, learned from assignments."""
+    import random
+    import string
+
+    pick = random.Random(8)
+    both = string.ascii_letters + string.digits
+    make = lambda n: (
+        ["sk_live_" + v for v in random_values(pick, both, 24, n)]
+        + random_values(pick, "0123456789ABCDEF", 16, n)
+        + ["-".join(random_values(pick, string.ascii_uppercase + string.digits, 5, 4)) for _ in range(n)]
+    )
+    words = ["".join(pick.choice(["in", "ter", "na", "tio", "nal", "un", "der"]) for _ in range(5)) for _ in range(400)]
+    dates = [f"2024-{i % 12 + 1:02}-{i % 28 + 1:02}" for i in range(60)]
+    ordinary = words + dates + [f"{w}-{v}" for w, v in zip(words, words[7:])]
+    pick.shuffle(ordinary)
+    rows = [(i, f"{ordinary[i % len(ordinary)]} token={v} and {ordinary[(7 * i) % len(ordinary)]}") for i, v in enumerate(make(60))]
+    formats = s.learn_formats(spark.createDataFrame(rows, "doc_id long, text string"))
+    fresh = make(40)
+    rows = [(10_000 + i, f"see {v} there") for i, v in enumerate(fresh)]
+    rows += [(20_000 + i, f"see {v} there") for i, v in enumerate(ordinary)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: r.spans for r in s.scan_secrets(docs, formats=formats).collect()}
+    caught = sum(found[10_000 + i] == f"format:4:{4 + len(v)}" for i, v in enumerate(fresh))
+    wrong = sum("format" in found[20_000 + i] for i in range(len(ordinary)))
+    assert caught >= 0.9 * len(fresh) and wrong == 0
+
+
+def test_a_very_long_value_is_found_but_not_learned_from(spark):
+    long = "A1" * 3000
+    docs = spark.createDataFrame([(1, f"token={long}"), (2, "token=abcdefgh1")], "doc_id long, text string")
+    rows = {r.doc_id: r.spans for r in s.scan_secrets(docs).collect()}
+    assert rows[1] == f"assign:0:{6 + len(long)}"
+    assert len(s.learn_formats(docs).credentials) < 12

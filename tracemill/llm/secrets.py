@@ -2,7 +2,9 @@
 
 Values that the fixed patterns find are labelled credentials. Their prefix tree is
 folded into a probabilistic automaton by merging states whose outcomes do not differ
-significantly (ALERGIA); a second automaton comes from ordinary tokens. Every token
+significantly (ALERGIA); a second automaton comes from ordinary tokens. Automata read the
+alphabet of each run of letters and digits, so random strings of one format share a path
+and its states keep their positions: lengths are learned too. Every token
 outside the fixed findings that is as long as a labelled credential may be is then scored
 by its likelihood ratio, and reported if the credentials' format explains it better than the
 ordinary one and than characters drawn at random.
@@ -42,8 +44,9 @@ BASE_KINDS = KINDS[:3]
 # Tokens the automata judge: all that are long enough for a labelled credential.
 LEAST_TOKEN = ASSIGN_LEAST
 TOKEN = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{%d,}" % LEAST_TOKEN)
-# Distinct values of either sort that the automata are learned from.
+# Distinct values of either sort that the automata are learned from, and the longest of them.
 SAMPLE = 1000
+LONGEST_EXAMPLE = 1000
 # Chance of keeping two states apart that are the same.
 ALPHA = 0.05
 # Natural logarithm of the odds at which a token is reported.
@@ -54,21 +57,34 @@ REMEMBERED, LONGEST_REMEMBERED = 1 << 16, 64
 Span = tuple[int, int, str]
 
 
-def symbol(character: str) -> str:
-    """The class of a character; automata read classes."""
-    if character.isdigit():
-        return "0"
-    if character in "abcdef":
-        return "a"
-    if character in "ABCDEF":
-        return "A"
-    if character.isalpha():
-        return "z" if character.islower() else "Z"
-    return character
+RUN = re.compile(r"[A-Za-z0-9]+")
+HEX_LOWER, HEX_UPPER = re.compile(r"[0-9a-f]+"), re.compile(r"[0-9A-F]+")
 
 
-SYMBOLS = "0aAzZ+/_=-."
-_CLASSES = {code: symbol(chr(code)) for code in range(128)}
+def alphabet(run: str) -> str:
+    """The class of a run of letters and digits, the smallest alphabet that it shows.
+
+    ``d`` digits, ``l`` and ``u`` letters of one case, ``m`` of both; with digits ``h`` and
+    ``H`` hexadecimal, ``L`` and ``U`` other letters of one case, ``b`` of both.
+    """
+    if run.isdigit():
+        return "d"
+    lower, upper = run.islower(), run.isupper()
+    if run.isalpha():
+        return "l" if lower else "u" if upper else "m"
+    if HEX_LOWER.fullmatch(run):
+        return "h"
+    if HEX_UPPER.fullmatch(run):
+        return "H"
+    return "L" if lower else "U" if upper else "b"
+
+
+def classes_of(word: str) -> str:
+    """Each character's class: that of its run, or itself where it stands between runs."""
+    return RUN.sub(lambda run: alphabet(run[0]) * len(run[0]), word)
+
+
+CLASSES = "dluhHmLUb+/_=-."
 
 
 @dataclass
@@ -83,7 +99,7 @@ def prefix_tree(words: Iterable[str]) -> list[State]:
     states = [State()]
     for word in words:
         at = 0
-        for letter in map(symbol, word):
+        for letter in classes_of(word):
             state = states[at]
             state.visits += 1
             state.seen[letter] = state.seen.get(letter, 0) + 1
@@ -162,11 +178,11 @@ def infer_automaton(words: Iterable[str], alpha: float = ALPHA) -> list[State]:
     ]
 
 
-def log_likelihood(automaton: list[State], word: str) -> float:
-    """Logarithm of the probability of a word, with half a count for the unseen."""
-    outcomes = len(SYMBOLS) + 1
+def log_likelihood(automaton: list[State], classes: str) -> float:
+    """Logarithm of the probability of a string of classes, with half a count for the unseen."""
+    outcomes = len(CLASSES) + 1
     at, total = 0, 0.0
-    for letter in map(symbol, word):
+    for letter in classes:
         if at is None:
             total -= math.log(outcomes)
             continue
@@ -186,11 +202,15 @@ class Formats:
     ordinary: list[State]
 
     def odds(self, word: str) -> float:
+        return self.class_odds(classes_of(word))
+
+    def class_odds(self, classes: str) -> float:
         if self.credentials is None:
             return -math.inf
         # A token that neither automaton explains, such as a word in capitals, is no credential.
-        chance = -(len(word) + 1) * math.log(len(SYMBOLS) + 1)
-        return log_likelihood(self.credentials, word) - max(log_likelihood(self.ordinary, word), chance)
+        chance = -(len(classes) + 1) * math.log(len(CLASSES) + 1)
+        ordinary = max(log_likelihood(self.ordinary, classes), chance)
+        return log_likelihood(self.credentials, classes) - ordinary
 
 
 def remembering(formats: Formats) -> Callable[[str], float]:
@@ -198,10 +218,10 @@ def remembering(formats: Formats) -> Callable[[str], float]:
     known: dict[str, float] = {}
 
     def odds(word: str) -> float:
-        classes = word.translate(_CLASSES)
+        classes = classes_of(word)
         if classes in known:
             return known[classes]
-        value = formats.odds(classes)
+        value = formats.class_odds(classes)
         if len(classes) <= LONGEST_REMEMBERED:
             if len(known) >= REMEMBERED:
                 known.clear()
@@ -303,7 +323,7 @@ def _examples(docs: DataFrame, text: str, sample: int) -> DataFrame:
                 values[False].update(whole[start:end] for start, end in free)
             out = ([], [])
             for labelled, own in values.items():
-                first = heapq.nsmallest(sample, (v for v in own if len(v) <= 1000), key=_place)
+                first = heapq.nsmallest(sample, (v for v in own if len(v) <= LONGEST_EXAMPLE), key=_place)
                 out[0].extend([labelled] * len(first))
                 out[1].extend(first)
             return list(out)
@@ -314,7 +334,11 @@ def _examples(docs: DataFrame, text: str, sample: int) -> DataFrame:
 
 
 def learn_formats(docs: DataFrame, text: str = "text", sample: int = SAMPLE) -> Formats:
-    """Automata from at most ``sample`` distinct values of either sort, by hash."""
+    """Automata from at most ``sample`` distinct values of either sort, by hash.
+
+    Values of more than ``LONGEST_EXAMPLE`` characters are found and scored like all others,
+    but not learned from.
+    """
     distinct = _examples(docs, text, sample).distinct()
     words = {}
     for labelled in (True, False):
@@ -387,7 +411,11 @@ def scan_secrets(
 def redact_secrets(
     docs: DataFrame, text: str = "text", mark: str = "[secret]", formats: Formats | None = None
 ) -> DataFrame:
-    """``docs`` with the secrets in ``text`` replaced; all other columns unchanged."""
+    """``docs`` with the secrets in ``text`` replaced; all other columns unchanged.
+
+    Null texts stay null and empty ones empty; every row is masked by itself, copies too. An
+    empty table stays empty.
+    """
     learned = formats or learn_formats(docs, text)
 
     @F.pandas_udf("string")
