@@ -59,3 +59,35 @@ def test_odd_rows(spark, odd_documents, no_documents):
     assert r.score_quality(no_documents, labels).collect() == []
     none = r.score_quality(odd_documents, labels.limit(0)).collect()
     assert {row.score for row in none} == {0.5}
+
+
+def test_one_row_for_each_labelled_id(spark):
+    """However many rows a labelled id has; the same one in every layout."""
+    docs = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id")).alias("doc_id"),
+        F.concat(F.lit("some words "), F.repeat(F.lit("x "), (F.col("id") % 50).cast("int"))).alias("text"),
+    )
+    labels = spark.range(1, 400).select(F.col("id").alias("doc_id"), (F.col("id") % 2).alias("quality"))
+    rows = [sorted(map(tuple, r.training_rows(layout, labels, 100).collect())) for layout in (docs, docs.repartition(5))]
+    assert rows[0] == rows[1] and len(rows[0]) <= 100
+    every = r.training_rows(docs, labels).count()
+    asked = labels.filter((F.crc32(F.col("doc_id").cast("string")) % 5 != 0)).join(docs, "doc_id").select("doc_id")
+    assert every == asked.distinct().count()
+
+
+def plain_statistics(text):
+    words = text.encode().split()
+    lines = [line for line in text.encode().split(b"\n") if line.split()]
+    grams = [tuple(words[i : i + r.WINDOW]) for i in range(len(words) - r.WINDOW + 1)]
+    often = {g for g in grams if grams.count(g) > 1}
+    covered = {i + k for i, g in enumerate(grams) if g in often for k in range(r.WINDOW)}
+    return len(words), len(lines), len(covered)
+
+
+def test_statistics_like_brute_force(spark):
+    texts = ["a b c a b c", "x\n\nx\n y z", "a a a a a", "one", "", " \n ", "p q r s p q r t"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for row in r.text_statistics(docs).collect():
+        n_words, n_lines, covered = plain_statistics(texts[row.doc_id])
+        assert (row.n_words, row.n_lines) == (n_words, n_lines)
+        assert row.repeat_rate == (1000 * covered / n_words if n_words else 0)

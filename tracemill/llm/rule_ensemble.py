@@ -30,7 +30,10 @@ TRAINING_ROWS = 20_000
 TREES = 40
 DEPTH = 3
 PENALTY = 0.002
-ITERATIONS = 40
+# The fit ends where a step changes the objective by less than this share; the number of
+# steps is only a stop for what never settles.
+TOLERANCE = 1e-6
+MOST_STEPS = 2000
 SEED = 17
 _HASHES = 1 << 20
 
@@ -181,7 +184,7 @@ class RuleModel:
 def training_rows(docs: DataFrame, labels: DataFrame, limit: int = TRAINING_ROWS) -> DataFrame:
     """Statistics and ``label`` of at most ``limit`` labelled documents by hash.
 
-    Never of held-out ones. Null labels and documents with contradicting labels
+    One row for each document id. Never of held-out ones. Null labels and documents with contradicting labels
     are left out.
     """
     usable = labels.filter(F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1))
@@ -192,8 +195,12 @@ def training_rows(docs: DataFrame, labels: DataFrame, limit: int = TRAINING_ROWS
     near = F.pmod(F.xxhash64("doc_id"), F.lit(_HASHES)) < int(min(share, 1.0) * _HASHES)
     some = once.filter(near).orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
     some = stage(some.select("doc_id", F.col("quality").cast("double").alias("label")), "rule-labels")
-    # At most `limit` rows of two numbers.
+    # At most `limit` rows of two numbers, and one text for each of them, however many rows an
+    # id has: the one whose hash comes first.
     labelled = docs.select("doc_id", "text").join(F.broadcast(some), "doc_id")
+    labelled = labelled.groupBy("doc_id").agg(
+        F.min_by("text", F.xxhash64("text")).alias("text"), F.first("label").alias("label")
+    )
     return stage(text_statistics(labelled).drop("doc_id"), "rule-training")
 
 
@@ -212,7 +219,7 @@ def fit_rules(training: DataFrame) -> RuleModel:
     if not rules:
         return RuleModel(math.log(counts[1.0] / counts[0.0]), ())
     fires = F.array(*(rule_column(rule).cast("double") for rule in rules))
-    lasso = LogisticRegression(elasticNetParam=1.0, regParam=PENALTY, maxIter=ITERATIONS, standardization=False)
+    lasso = LogisticRegression(elasticNetParam=1.0, regParam=PENALTY, maxIter=MOST_STEPS, tol=TOLERANCE, standardization=False)
     fitted = lasso.fit(few.select("label", array_to_vector(fires).alias("features")))
     pairs = zip(rules, map(float, fitted.coefficients.toArray()))
     return RuleModel(float(fitted.intercept), tuple((r, w) for r, w in pairs if w))
