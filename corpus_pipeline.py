@@ -28,27 +28,44 @@ def _sized(docs: DataFrame) -> DataFrame:
 
 
 def judge_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the quality rules; the others go."""
-    return keep_rows(docs, quality_rules.judge_quality(docs))
+    """Documents that pass the quality rules; the others go.
+
+    Null and empty texts go too. Copies, ties and rows without id are judged one by one.
+    """
+    return quality_rules.passing_documents(docs)
 
 
 def cut_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without lines that repeat earlier ones; those left empty go."""
+    """Documents without lines that repeat earlier ones; those left empty go.
+
+    Null and empty texts lose nothing and stay. Equal rows are one document here: none of them
+    is the other's copy. Earlier means a smaller id; rows without id come last.
+    """
     return _sized(line_dedup.dedup_lines(docs))
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates."""
+    """One document of each group of near duplicates, that with the smallest id.
+
+    Texts without a word have no duplicates and stay. Equal rows stay together; of several
+    rows without id in a group that has an id none stays.
+    """
     return keep_rows(docs, near_dedup.near_duplicates(docs, percent=NEAR_PERCENT))
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with a mark in place of every secret."""
+    """All documents, with a mark in place of every secret.
+
+    Null and empty texts stay as they are, copies are masked alike.
+    """
     return _sized(secrets.redact_secrets(docs))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents and their places in the training sequences."""
+    """The pieces of all documents and their places in the training sequences.
+
+    A null or empty text is one piece of its end mark; repeated rows are packed each.
+    """
     return packing.pack_documents(docs, tokenizer("byte_bpe_50k.json"))
 
 

@@ -1,7 +1,7 @@
 import re
 from collections import Counter
 
-from tracemill.llm.quality_rules import judge_quality, quantile_sketches, merge_sketches, metric_columns, text_counts, thresholds
+from tracemill.llm.quality_rules import judge_quality, quantile_sketches, merge_sketches, metric_columns, passing_documents, text_counts, thresholds
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -86,3 +86,15 @@ def test_sketches_merge(spark, smallest):
 def test_native(odd_documents):
     plan = judge_quality(odd_documents)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_passing_documents_are_whole_and_not_shuffled(spark, smallest, odd_documents, no_documents):
+    docs = spark.read.parquet(f"{smallest}/documents.parquet")
+    verdicts = {r.doc_id: r.kept for r in judge_quality(docs).collect()}
+    kept = passing_documents(docs)
+    expected = [r for r in docs.collect() if verdicts[r.doc_id]]
+    assert sorted(map(repr, kept.collect())) == sorted(map(repr, expected)) and len(expected) > 100
+    assert kept.columns == docs.columns
+    named = odd_documents.selectExpr("*", "1 as document", "2 as metric", "3 as text_hash")
+    assert passing_documents(named).dtypes == named.dtypes
+    assert passing_documents(no_documents).collect() == []

@@ -242,16 +242,21 @@ def inside_fences() -> Column:
     return good
 
 
-def judge_quality(docs: DataFrame, text: str = "text") -> DataFrame:
+def judge_quality(docs: DataFrame, text: str = "text", carry: bool = False) -> DataFrame:
     """Every document's ``text_hash``, counts, metrics, ``base_failed`` and ``kept``.
 
+    ``carry`` adds the whole row as ``document``, so that a verdict need not be joined to it.
+
     ``docs`` has ``doc_id, lang, source`` and the text; other columns are not looked
     at. A null or empty text has no words and fails. Null languages and sources
     are groups of their own. Copies are judged alike, each row once. Sketches are
     made of the texts that pass the base rules.
     """
     whole = F.col(text)
-    narrow = docs.select("doc_id", "lang", "source", F.xxhash64(whole).alias("text_hash"), whole.alias("_whole"))
+    carried = [F.struct(*docs.columns).alias("document")] if carry else []
+    narrow = docs.select(
+        "doc_id", "lang", "source", F.xxhash64(whole).alias("text_hash"), whole.alias("_whole"), *carried
+    )
     counted = text_counts(narrow, "_whole")
     metrics = [column.alias(name) for name, column in metric_columns().items()]
     measured = stage(counted.select("*", *metrics, fails_base().alias("base_failed")), "quality-counts")
@@ -262,3 +267,14 @@ def judge_quality(docs: DataFrame, text: str = "text") -> DataFrame:
     judged = measured.join(bounds, same, "left")
     kept = ~F.col("base_failed") & F.coalesce(inside_fences(), F.lit(False))
     return judged.select(*measured.columns, kept.alias("kept"))
+
+
+def passing_documents(docs: DataFrame, text: str = "text") -> DataFrame:
+    """The rows of ``docs`` that are kept, whole; no document is shuffled.
+
+    Rows are stored beside their counts, and the few bounds are joined to these. Null and
+    empty texts go; copies and rows without id are judged one by one; all columns come back
+    as they were, whatever they are called. An empty table stays empty.
+    """
+    judged = judge_quality(docs, text, carry=True).filter("kept")
+    return judged.select(*(F.col("document")[name].alias(name) for name in docs.columns))
