@@ -99,11 +99,8 @@ class Verified:
     @cached_property
     def _repeated(self) -> DataFrame | None:
         """Ids repeated on both sides, stored; None if there are none."""
-        found = stage(repeated_on_both(self.problems, self.completions), "repeated-ids")
-        if found.isEmpty():
-            release(found)
-            return None
-        return found
+        found = repeated_on_both(self.problems, self.completions)
+        return None if found.isEmpty() else stage(found, "repeated-ids")
 
     @cached_property
     def pairs(self) -> DataFrame:
@@ -161,9 +158,10 @@ class Verified:
         )
 
     def release(self) -> None:
-        """Delete what ``store`` kept; the outcomes cannot be read after that."""
-        if self.stored is not None:
-            release(self.stored)
+        """Delete what was stored; the outcomes cannot be read after that."""
+        for table in (self.stored, self.__dict__.get("_repeated")):
+            if table is not None:
+                release(table)
 
 
 def verify(

@@ -459,8 +459,8 @@ def trace_recipe(spark, sf):
     return tm.trace_recipe(traces(spark, sf), keep=("id", "answer"))
 
 
-def _mix(spark, sf):
-    return tm.mixed_recipe(problems(spark, sf), traces(spark, sf), DIRECT_ROWS)
+def _mix(spark, sf, rows=DIRECT_ROWS):
+    return tm.mixed_recipe(problems(spark, sf), traces(spark, sf), rows)
 
 
 @query
