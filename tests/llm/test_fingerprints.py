@@ -66,3 +66,22 @@ def test_merging_parts(spark):
     for part in (0, 1):
         union = np.unique(np.concatenate([shingle_set(t) for t in texts[part::2]]))
         assert merged[part] == fp.write(union[: fp.SKETCH])
+
+
+def test_a_hot_id_lies_in_many_ranges(spark, settings):
+    """A third of all rows under one id, another third without id; each has the next in its order."""
+    settings(spark__sql__shuffle__partitions=12)
+    names = lambda i: 50 if i % 3 == 0 else None if i % 3 == 1 else i
+    rows = [(names(i), f"text {i} of some words and {i * i} more") for i in range(900)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    keyed = docs.selectExpr("~coalesce(doc_id, -9223372036854775807L - 1) as place", "xxhash64(text) as hash", "doc_id", "text")
+    ordered = keyed.orderBy("place", "hash").collect()
+    bounds = fp._range_bounds(keyed.select("place", "hash"), 12)
+    assert len({b for b in bounds if b[0] == ~50}) >= 3 and len({b for b in bounds if b[0] == 2**63 - 1}) >= 3
+    expected = {}
+    for row, after in zip(ordered, ordered[1:] + ordered[:1]):
+        cut = len(row.text) // 3
+        edited = row.text[: len(row.text) - cut] + after.text[:cut]
+        expected[hashlib.sha256(edited.encode()).hexdigest()] = row.doc_id
+    rows = fp.compare_with_next(docs).collect()
+    assert len(rows) == 900 and {r.edited_sha256: r.doc_id for r in rows} == expected

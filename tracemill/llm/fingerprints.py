@@ -10,6 +10,8 @@ in the other; one alone estimates how many distinct shingles there are. Sets of
 from __future__ import annotations
 
 import hashlib
+from bisect import bisect_right
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -25,6 +27,7 @@ SKETCH = 128
 DIGITS = 16
 # Characters of an edited text that come from elsewhere: one in so many.
 EDITED_PART = 3
+LOWEST = -(2**63)
 
 
 def sketch(text: str | None, size: int = SKETCH) -> np.ndarray:
@@ -108,11 +111,26 @@ def merge_fingerprints(
     return first.groupBy(*groups).agg(F.array_join(F.array_sort(F.collect_list("_value")), "").alias(column))
 
 
-def _range_bounds(ids: DataFrame, ranges: int) -> list[int]:
-    """Ids that cut all documents into ranges of about equal size, ascending."""
-    cuts = [i / ranges for i in range(1, ranges)] or [0.5]
-    found = ids.agg(F.percentile_approx("id", cuts, 100 * ranges)).first()[0]
-    return sorted(set(found or []))
+Key = tuple[int, int]
+
+
+def _range_bounds(keys: DataFrame, ranges: int) -> list[Key]:
+    """Keys (``place, hash``) that begin ranges of about equal size, ascending.
+
+    Cuts are made by place; a place with several cuts has very many rows and is cut by
+    hash as often. At most ``ranges`` cuts of either sort reach the driver.
+    """
+    shares = [i / ranges for i in range(1, ranges)] or [0.5]
+    cut = lambda name: F.percentile_approx(name, shares, 100 * ranges)
+    cuts = Counter(keys.agg(cut("place")).first()[0] or [])
+    bounds = {(place, LOWEST) for place in cuts}
+    hot = [place for place, times in cuts.items() if times > 1]
+    if hot:
+        inside = keys.filter(F.col("place").isin(hot)).groupBy("place").agg(cut("hash").alias("cuts"))
+        for place, hashes in inside.collect():
+            times = cuts[place]
+            bounds |= {(place, hashes[i * len(hashes) // times]) for i in range(1, times)}
+    return sorted(bounds)
 
 
 def compare_with_next(
@@ -126,51 +144,52 @@ def compare_with_next(
 
     Ids are whole numbers; rows without id come last. Rows with one id follow each other
     by a hash of their text. A null text is empty. Documents are dealt out in ranges of
-    ids, and the first of each range is also sent to the end of the range before,
-    so one shuffle and one pass over each range do. Other columns are not looked at.
+    ids and hashes, so rows of one id may lie in many, and the first of each range is also sent
+    to the end of the range before: one shuffle and one pass over each range do. Only exact
+    copies of a row, id included, stay together. Other columns are not looked at.
     """
-    lowest = -(2**63)
+    # Large ids come first: the bitwise complement turns their order round.
+    place = F.bitwise_not(F.coalesce(F.col(id_column).cast("long"), F.lit(LOWEST)))
+    body = F.coalesce(F.col(text), F.lit(""))
     rows = docs.select(
-        F.coalesce(F.col(id_column).cast("long"), F.lit(lowest)).alias("id"),
-        F.col(id_column).isNull().alias("unnamed"),
-        F.coalesce(F.col(text), F.lit("")).alias("text"),
+        place.alias("place"), F.xxhash64(body).alias("hash"), F.col(id_column).isNull().alias("unnamed"), body.alias("text")
     )
-    ids = rows.select("id")
+    keys = rows.select("place", "hash")
     ranges = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    bounds = np.array(_range_bounds(ids, ranges), dtype=np.int64)
+    bounds = _range_bounds(keys, ranges)
 
-    def range_of(values: np.ndarray) -> np.ndarray:
-        # Large ids come first.
-        return len(bounds) - np.searchsorted(bounds, values, side="right")
+    def ranges_of(batch: pa.RecordBatch) -> list[int]:
+        both = zip(batch.column("place").to_pylist(), batch.column("hash").to_pylist())
+        return [bisect_right(bounds, key) for key in both]
 
     def number(batches):
         for batch in batches:
-            values = batch.column("id").to_numpy()
-            yield pa.RecordBatch.from_arrays([pa.array(range_of(values)), batch.column("id")], ["range", "id"])
+            own = pa.array(ranges_of(batch), pa.int64())
+            yield pa.RecordBatch.from_arrays([own, *batch.columns], ["range", "place", "hash"])
 
-    heads = ids.mapInArrow(number, "range long, id long").groupBy("range").agg(F.max("id").alias("id"))
+    heads = keys.mapInArrow(number, "range long, place long, hash long").groupBy("range")
+    heads = heads.agg(F.min(F.struct("place", "hash")).alias("head"))
     # One row per range.
-    first = sorted((row.range, row.id) for row in heads.collect())
+    first = sorted((row.range, tuple(row.head)) for row in heads.collect())
     before = {head: first[at - 1][0] for at, (_, head) in enumerate(first)}
-    routed = T._parse_datatype_string("range long, tail boolean, id long, unnamed boolean, text string")
+    routed = T._parse_datatype_string("range long, tail boolean, place long, hash long, unnamed boolean, text string")
     arrow = to_arrow_schema(routed)
 
     def route(batches):
         for batch in batches:
-            values = batch.column("id").to_numpy()
-            own = pa.array(range_of(values))
-            tail = pa.array(np.zeros(len(values), dtype=bool))
+            own = pa.array(ranges_of(batch), pa.int64())
+            tail = pa.array(np.zeros(batch.num_rows, dtype=bool))
             yield pa.RecordBatch.from_arrays([own, tail, *batch.columns], schema=arrow)
-            at = [i for i, value in enumerate(values.tolist()) if value in before]
+            both = list(zip(batch.column("place").to_pylist(), batch.column("hash").to_pylist()))
+            at = [i for i, key in enumerate(both) if key in before]
             if at:
                 copies = batch.take(pa.array(at))
-                to = pa.array([before[v] for v in copies.column("id").to_pylist()], pa.int64())
+                to = pa.array([before[both[i]] for i in at], pa.int64())
                 tails = pa.array(np.ones(len(at), dtype=bool))
                 yield pa.RecordBatch.from_arrays([to, tails, *copies.columns], schema=arrow)
 
     dealt = rows.mapInArrow(route, routed).repartitionById(len(bounds) + 1, F.col("range").cast("int"))
-    dealt = dealt.withColumn("hash", F.xxhash64("text"))
-    ordered = dealt.sortWithinPartitions("range", "tail", F.desc("id"), "hash")
+    ordered = dealt.sortWithinPartitions("range", "tail", "place", "hash")
 
     def make():
         kept: list = []
@@ -188,7 +207,7 @@ def compare_with_next(
                     changed = sketch(edited, size)
                     found.append(
                         (
-                            None if missing else own,
+                            None if missing else ~own,
                             len(body),
                             hashlib.sha256(edited.encode()).hexdigest(),
                             write(mine),
@@ -206,4 +225,4 @@ def compare_with_next(
         f"`{id_column}` long, n_chars long, edited_sha256 string, fingerprint string, "
         "edited_fingerprint string, near_edited double, near_next double"
     )
-    return map_slices(ordered.select("range", "tail", "id", "unnamed", "text"), make, schema)
+    return map_slices(ordered.select("range", "tail", "place", "unnamed", "text"), make, schema)
