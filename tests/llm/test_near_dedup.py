@@ -101,3 +101,18 @@ def test_chance_of_a_missed_link():
         p, needed = percent / 100, least_shared(10**9, 64, percent)
         missed = sum(comb(64, i) * p**i * (1 - p) ** (64 - i) for i in range(needed))
         assert 0.99 * chance < missed < 1.01 * chance
+
+
+def test_exact_links_leave_nothing_to_a_sketch(spark):
+    """With a sketch of four values links get lost; listing whole sets finds them all."""
+    pick = random.Random(7)
+    rows = []
+    for _ in range(12):
+        base = [f"w{pick.randrange(10**6)}" for _ in range(80)]
+        rows += [" ".join(base), *(edited(pick, base, 1) for _ in range(3))]
+    rows = list(enumerate(rows))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    expected = plain_components(rows)
+    assert len({c for _, c in expected.values()}) == 12
+    exact = near_duplicates(docs, size=4, exact=True)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in exact.collect()} == expected

@@ -262,3 +262,43 @@ with sound as (
 select anchor_id, positive_id, rank::int as rank, negative_id, positive_score, negative_score
 from hard where rank <= 3
 """
+
+ORACLES["op4_bottom_k_near_dedup"] = r"""
+with recursive worded as (
+  select doc_id, list_filter(regexp_split_to_array(
+           translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'),
+           lambda w: w <> '') as words
+  from documents
+), shingles as (
+  select distinct doc_id, unnest(case when len(words) = 0 then [] when len(words) < 5 then [array_to_string(words, ' ')]
+    else list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i + 4], ' ')) end) as shingle
+  from worded where words is not null
+), sizes as (
+  select doc_id, count(*) as n from shingles group by doc_id
+), sets as (
+  select doc_id, n, md5(string_agg(shingle, chr(10) order by shingle)) as digest
+  from shingles join sizes using (doc_id) group by doc_id, n
+), firsts as (
+  select digest, any_value(n) as n, min(doc_id) as first from sets group by digest
+), common as (
+  select a.doc_id as a, b.doc_id as b, count(*) as shared
+  from shingles a join shingles b using (shingle)
+  where a.doc_id < b.doc_id and a.doc_id in (select first from firsts) and b.doc_id in (select first from firsts)
+  group by a.doc_id, b.doc_id
+), links as (
+  select a, b from common join sizes x on a = x.doc_id join sizes y on b = y.doc_id
+  where 100 * shared >= 85 * (x.n + y.n - shared)
+), sides as (
+  select a, b from links union all select b, a from links
+), reach(node, other) as (
+  select first, first from firsts
+  union
+  select node, b from reach join sides on other = a
+), components as (
+  select node, min(other) as component_id from reach group by node
+)
+select d.doc_id, coalesce(s.n, 0) as n_shingles, coalesce(component_id, d.doc_id) as component_id,
+       d.doc_id = coalesce(component_id, d.doc_id) as kept
+from documents d left join sets s on d.doc_id = s.doc_id
+left join firsts f on s.digest = f.digest left join components c on f.first = c.node
+"""
