@@ -173,3 +173,18 @@ def test_no_temporary_folder_on_a_cluster():
 def test_a_temporary_folder_in_local_sessions():
     session = FakeSession(spark__master="local[4]", spark__app__id="here")
     assert staging.staging_folder(session) == staging.staging_folder(session)
+
+
+def test_tables_stored_on_the_way_can_be_deleted(spark, texts):
+    from pathlib import Path
+
+    df = texts("id", [("a",)])
+    with staging.stored_tables() as outer:
+        staging.stage(df, "one")
+        with staging.stored_tables() as inner:
+            kept = staging.stage(df, "two")
+    staging.stage(df, "three")
+    assert len(outer) == 2 and inner == outer[1:]
+    staging.release_paths(spark, outer[:1])
+    gone, there = (Path(path.removeprefix("file:")) for path in outer)
+    assert not gone.exists() and there.exists() and kept.count() == 1

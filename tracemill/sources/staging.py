@@ -9,11 +9,14 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 _local_folders: dict[str, str] = {}
+_watched: list[list[str]] = []
 
 
 def staging_folder(spark: SparkSession) -> str:
@@ -41,10 +44,31 @@ def staging_path(spark: SparkSession, label: str) -> str:
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once as Parquet and return the table read back."""
     path = staging_path(df.sparkSession, label)
+    for paths in _watched:
+        paths.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def stored_tables() -> Iterator[list[str]]:
+    """The paths of all tables stored inside, by whatever is called there."""
+    paths: list[str] = []
+    _watched.append(paths)
+    try:
+        yield paths
+    finally:
+        # By identity: two lists of the same paths are not one.
+        _watched[:] = [other for other in _watched if other is not paths]
+
+
+def release_paths(spark: SparkSession, paths: list[str]) -> None:
+    """Delete stored tables by their paths, once nothing reads them any more."""
+    for path in paths:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def release(df: DataFrame) -> None:
     """Delete the stored table that ``df`` reads, once nothing else needs it.
 
