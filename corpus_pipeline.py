@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tracemill.llm import line_dedup, near_dedup, packing, quality_rules, secrets
 from tracemill.llm.queries import tokenizer
 from tracemill.llm.verdicts import keep_rows
-from tracemill.sources.staging import stage
+from tracemill.sources.staging import release_paths, stage, stored_tables
 
 # Documents are near duplicates from this share of common shingles of five words on.
 NEAR_PERCENT = 80
@@ -81,9 +81,17 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages, one after the other, over the documents of ``sf_dir``."""
+    """All stages, one after the other, over the documents of ``sf_dir``.
+
+    Once a stage's result is stored, what it has read and stored on the way is deleted.
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     *first, (_, last) = STAGES
+    done: list[str] = []
     for name, step in first:
-        docs = stage(step(spark, docs, sf_dir), f"pipeline-{name}")
+        with stored_tables() as paths:
+            docs = stage(step(spark, docs, sf_dir), f"pipeline-{name}")
+        *inner, result = paths
+        release_paths(spark, done + inner)
+        done = [result]
     return last(spark, docs, sf_dir)

@@ -1,10 +1,13 @@
 """Registered queries against their SQL, and the pipeline stage by stage."""
 
+from pathlib import Path
+
 import pytest
 
 import corpus_pipeline
 from tracemill.llm.oracles import ORACLES
 from tracemill.llm.queries import QUERIES
+from tracemill.sources.staging import stored_tables
 from workload.compare import connect, differences
 
 
@@ -37,6 +40,15 @@ def test_pipeline(spark, smallest, odd_documents, no_documents):
     assert corpus_pipeline.run(spark, smallest).count() > 100
 
 
+def test_a_run_leaves_its_last_tables_only(spark, smallest):
+    with stored_tables() as paths:
+        rows = corpus_pipeline.run(spark, smallest)
+        assert rows.count() > 100
+    there = [path for path in paths if Path(path.removeprefix("file:")).exists()]
+    assert len(paths) > 25 and len(there) < 6
+    assert any("pipeline-secret_scans" in path for path in there)
+
+
 def test_pipeline_drops_copies_from_four_fifths_on(spark, smallest):
     """One word replaced: 45 of 55 shingles are shared (0.82), of shorter texts 38 of 48 (0.79)."""
     rows = []
