@@ -136,3 +136,20 @@ def test_other_windows_and_scales(spark):
     label = F.col("label")
     found = mine_negatives(table(spark, rows), F.col("vec_id") == 0, label, scale=1, positives=1, negatives=2, low=1)
     assert [tuple(r) for r in found.orderBy("rank").collect()] == [(0, 800, 1, 650, 5, 4), (0, 800, 2, 750, 5, 4)]
+
+
+def test_scores_held_are_bounded(monkeypatch):
+    """A cluster of many members takes shorter steps and finds the same."""
+    chance = np.random.default_rng(6)
+    vectors = np.floor(256 * chance.normal(size=(700, 4)))
+    rows, labels = np.arange(700), np.arange(700) % 3
+    candidates = {"vectors": vectors, "row": rows, "id": rows, "label": labels}
+    anchors = {"vectors": vectors, "row": rows, "label": labels, "cluster": np.zeros(700, int)}
+    anchors |= {"lows": np.full((700, 1), hard_negatives.NONE), "highs": np.full((700, 1), hard_negatives.LARGEST_SCORE)}
+    whole = hard_negatives.walk_tile(anchors, candidates, False, 3)
+    held = []
+    real = hard_negatives.exact_scores
+    monkeypatch.setattr(hard_negatives, "SCORES_HELD", 5_000)
+    monkeypatch.setattr(hard_negatives, "exact_scores", lambda a, b: held.append(len(a) * len(b)) or real(a, b))
+    parts = hard_negatives.walk_tile(anchors, candidates, False, 3)
+    assert max(held) <= 5_000 and all((whole[name] == parts[name]).all() for name in whole)

@@ -36,8 +36,10 @@ LEAST_BLOCK_ROWS = 4_096
 SAMPLE_ROWS = 8_192
 CLUSTERS = 64
 ROUNDS = 8
-# Candidates of a step down the list: at first, and at most.
+# Candidates of a step down the list: at first, and at most; and scores held at a time,
+# where a cluster has very many members.
 FIRST_STEP, LARGEST_STEP = 256, 4_096
+SCORES_HELD = 1 << 22
 # Scores are cut to this, so that a hundred times one fits 64 bits.
 LARGEST_SCORE = (1 << 63) // 100 - 1
 # Larger products than this are not added exactly by floating point.
@@ -174,7 +176,8 @@ def walk_tile(anchors: dict, candidates: dict, same: bool, wanted: int) -> dict[
             active = active[most >= walk.needed(active).min(axis=1)]
             if not len(active):
                 break
-            part = order[at : at + step]
+            taken = min(step, max(1, SCORES_HELD // len(active)))
+            part = order[at : at + taken]
             scores = exact_scores(vectors[active], candidates["vectors"][part])
             fitting = (labels[active][:, None] == candidates["label"][part]) == same
             fitting &= rows[active][:, None] != candidates["row"][part]
@@ -186,7 +189,7 @@ def walk_tile(anchors: dict, candidates: dict, same: bool, wanted: int) -> dict[
                 if len(who):
                     which = part[which]
                     walk.take(window, active[who], scores[hit], candidates["id"][which], candidates["row"][which])
-            at += step
+            at += taken
             step = min(2 * step, LARGEST_STEP)
         member, window, place = np.nonzero(walk.scores > NONE)
         kept = member, window, place
