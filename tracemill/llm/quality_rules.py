@@ -263,6 +263,8 @@ def judge_quality(docs: DataFrame, text: str = "text", carry: bool = False) -> D
     groups = ("lang", "source")
     bounds = thresholds(quantile_sketches(measured.filter(~F.col("base_failed")), groups))
     bounds = bounds.select(*(F.col(name).alias(f"_{name}" if name in groups else name) for name in bounds.columns))
+    # Stored, so that Spark knows their size: while they are few, rows meet them where they lie.
+    bounds = stage(bounds, "quality-bounds")
     same = F.col("lang").eqNullSafe(F.col("_lang")) & F.col("source").eqNullSafe(F.col("_source"))
     judged = measured.join(bounds, same, "left")
     kept = ~F.col("base_failed") & F.coalesce(inside_fences(), F.lit(False))
