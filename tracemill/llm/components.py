@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tracemill.sources.staging import stage
+from tracemill.sources.staging import release, stage
 
 
 def connected_components(links: DataFrame) -> DataFrame:
@@ -30,6 +30,8 @@ def connected_components(links: DataFrame) -> DataFrame:
             "node", "old", F.least("new", "next").alias("component")
         )
         jumped = stage(jumped, "labels")
+        release(labels)
         labels = jumped.select("node", "component")
         if jumped.filter(F.col("old") != F.col("component")).isEmpty():
+            release(edges)
             return labels

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from tracemill.llm.batches import map_slices
 from tracemill.llm.shingles import finish_hash
-from tracemill.sources.staging import stage
+from tracemill.sources.staging import release, stage
 
 # Words of lines that are compared for one edit, and of those that lose exact copies.
 LEAST_WORDS = 5
@@ -191,7 +191,9 @@ def candidate_lines(docs: DataFrame, text: str, id_column: str, least_words: int
     found = stage(found.dropDuplicates(["digest"]), "likely-lines")
     halves = found.select("digest", F.explode("halves").alias("half"))
     sure = halves.join(shared, "half", "left_semi").select("digest").distinct()
-    return stage(found.select("digest", "words").join(sure, "digest", "left_semi"), "candidate-lines")
+    sought = stage(found.select("digest", "words").join(sure, "digest", "left_semi"), "candidate-lines")
+    release(found)
+    return sought
 
 
 def earlier_near(candidates: DataFrame, firsts: DataFrame) -> DataFrame:
@@ -235,7 +237,10 @@ def earlier_near(candidates: DataFrame, firsts: DataFrame) -> DataFrame:
 
         return step
 
-    return stage(map_slices(worded, verify, "digest binary").distinct(), "near-lines")
+    near = stage(map_slices(worded, verify, "digest binary").distinct(), "near-lines")
+    release(variants)
+    release(meeting)
+    return near
 
 
 def lost_lines(
@@ -250,7 +255,10 @@ def lost_lines(
     firsts = lines.groupBy("digest").agg(F.min(position()).alias("first"), F.count("*").alias("times"))
     firsts = stage(firsts, "first-lines")
     shared = shared_halves(lines)
-    near = earlier_near(candidate_lines(docs, text, id_column, least_words, shared), firsts)
+    candidates = candidate_lines(docs, text, id_column, least_words, shared)
+    near = earlier_near(candidates, firsts)
+    release(candidates)
+    release(shared)
     known = firsts.join(near.withColumn("near", F.lit(True)), "digest", "left")
     known = known.filter((F.col("times") > 1) | F.col("near")).select("digest", "first", "near")
     met = lines.select("doc", "text_hash", "line", "digest").join(known, "digest")

@@ -38,7 +38,7 @@ from tracemill.llm.shingles import (
     shingle_set,
     union_sketch,
 )
-from tracemill.sources.staging import stage
+from tracemill.sources.staging import release, stage
 
 SKETCH = 64
 THRESHOLD_PERCENT = 85
@@ -128,7 +128,9 @@ def _rarest(values: DataFrame, needed: Column) -> DataFrame:
     first = placed.filter(F.col("place") <= F.col("kept") - needed + 1)
     first = stage(first.select("value", "node", "n", "alone", "place"), "first-values")
     met = first.groupBy("value").agg(F.count("*").alias("nodes")).filter("nodes > 1").select("value")
-    return stage(first.join(met, "value", "left_semi"), "inverted-lists")
+    lists = stage(first.join(met, "value", "left_semi"), "inverted-lists")
+    release(first)
+    return lists
 
 
 def sketch_lists(nodes: DataFrame, size: int, percent: int) -> DataFrame:
@@ -158,8 +160,10 @@ def full_lists(texts: DataFrame, percent: int, words: int) -> DataFrame:
         return step
 
     values = map_slices(texts.select("node", "text"), make, "node long, n long, value long")
-    values = stage(values.distinct(), "full-values").withColumn("kept", F.col("n"))
-    return _rarest(values, F.ceil(F.col("n") * percent / 100))
+    values = stage(values.distinct(), "full-values")
+    lists = _rarest(values.withColumn("kept", F.col("n")), F.ceil(F.col("n") * percent / 100))
+    release(values)
+    return lists
 
 
 def _may_overlap(one: dict[str, Column], other: dict[str, Column], percent: int) -> Column:
@@ -318,14 +322,21 @@ def find_links(
             pairs = hub_pairs(lists, HUBS[number], labels, percent)
         else:
             pairs = open_pairs(lists, labels, percent)
-        likely = stage(promising(stage(pairs, "pairs"), nodes, size, percent, exact), "likely-pairs")
+        pairs = stage(pairs, "pairs")
+        likely = stage(promising(pairs, nodes, size, percent, exact), "likely-pairs")
         sure = likely.filter("sure").select("a", "b")
         found = stage(
             sure.unionByName(confirmed(likely.filter("not sure").select("a", "b"), texts, percent, words)), "links"
         )
+        release(pairs)
+        release(likely)
         if not found.isEmpty():
             links = found if links is None else links.unionByName(found)
             labels = connected_components(links)
+    release(texts)
+    release(lists)
+    if not exact:
+        release(listed)
     return labels
 
 
