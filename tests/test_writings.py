@@ -2,6 +2,7 @@
 
 import json
 from collections import defaultdict
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from tracemill.operators.evaluation import evaluate
 from tracemill.operators.requests import file_numbers, request_lines
 from tracemill.sources.records import lines_are_records, read_csv
 from tracemill.sources.sinks import append_once, committed_writings, read_committed, replace_json_lines
+from tracemill.sources.staging import SHUFFLE_CLEANUP, stored_tables
 
 
 def test_an_append_is_seen_whole_and_once(texts, spark, tmp_path):
@@ -66,6 +68,74 @@ def test_request_files_keep_both_bounds(spark, tmp_path):
         write_request_files(requests, path + "-small", 100, 900)
 
 
+def test_a_request_larger_than_a_file_is_alone(spark, tmp_path):
+    """Copies of it too; others keep both bounds, and no just fitting one makes all files small."""
+    large = F.when(F.col("id") % 500 == 7, 40_000).when(F.col("id") == 8, 26_500).when(F.col("id") == 9, 20_000)
+    problems = spark.range(3000, numPartitions=6).select(
+        F.concat(F.lit("p"), F.col("id") % 500).alias("id"),
+        F.repeat(F.lit("é "), F.coalesce(large, F.col("id") % 300).cast("int")).alias("prompt"),
+    )
+    requests = request_rows(problems)
+    with pytest.raises(ValueError, match="larger than a file"):
+        write_request_files(requests, str(tmp_path / "none"), 100, 90_000)
+    assert not (tmp_path / "none").exists()
+    write_request_files(requests, str(tmp_path / "files"), 100, 90_000, large_alone=True)
+    files = [file.read_bytes().splitlines(True) for file in (tmp_path / "files").glob("file=*/part-*")]
+    lines = [line.decode().rstrip("\n") for file in files for line in file]
+    assert sorted(lines) == sorted(r.line for r in request_lines(requests).collect())
+    sizes = [(len(file), sum(map(len, file))) for file in files]
+    assert sum(size > 90_000 for _, size in sizes) == 6
+    assert all(count == 1 if size > 90_000 else count <= 100 for count, size in sizes)
+    assert sum(count == 1 and 45_000 < size for count, size in sizes) == 8
+    assert len(files) <= 8 + 2 * sum(size / 90_000 + count / 100 for count, size in sizes if count > 1) + 1
+    assert len({file.parent.name for file in (tmp_path / "files").glob("file=*/part-*")}) == len(files)
+
+
+def test_only_requests_larger_than_a_file(spark):
+    lines = spark.range(50).select(F.lit("a").alias("id"), F.repeat(F.lit("x"), 2000).alias("line"))
+    numbered = file_numbers(lines, 10, 1000, large_alone=True)
+    assert sorted(r["file"] for r in numbered.collect()) == list(range(50))
+
+
+def test_no_setting_cuts_request_files_and_none_stays(spark, tmp_path, settings):
+    """Lines with tabs and line ends, small splits, and a table without rows."""
+    settings(spark__sql__files__maxRecordsPerFile=7, spark__sql__files__maxPartitionBytes="1KB")
+    settings(spark__sql__files__openCostInBytes="1B", spark__sql__adaptive__enabled="false")
+    cleanup = spark.conf.get(SHUFFLE_CLEANUP, None)
+    problems = spark.range(400, numPartitions=5).select(
+        F.concat(F.lit("p\t"), F.col("id") % 90).alias("id"), F.lit("a\tb\r\nc\u2028\x85é").alias("prompt")
+    )
+    requests = request_rows(problems)
+    with stored_tables() as paths:
+        write_request_files(requests, str(tmp_path / "files"), 40, 10**6)
+        write_request_files(requests.limit(0), str(tmp_path / "empty"), 40, 10**6)
+    files = [*(tmp_path / "files").glob("file=*/part-*")]
+    assert len(files) == len({file.parent for file in files}) < 20
+    lines = [line.decode() for file in files for line in file.read_bytes().split(b"\n")[:-1]]
+    assert sorted(lines) == sorted(r.line for r in request_lines(requests).collect())
+    assert [*(tmp_path / "empty").rglob("part-*")] == []
+    assert paths and not any(Path(path).exists() for path in paths)
+    assert spark.conf.get(SHUFFLE_CLEANUP, None) == cleanup
+
+
+def test_the_query_takes_texts_larger_than_a_file(spark, tmp_path):
+    from workload.registry import FILE_BYTES, QUERIES
+
+    documents = spark.range(40).select(
+        F.col("id").alias("doc_id"),
+        F.repeat(F.lit("ab "), F.when(F.col("id") == 3, FILE_BYTES).otherwise(300).cast("int")).alias("text"),
+        F.lit("en").alias("lang"),
+        F.lit("web").alias("source"),
+    )
+    documents.withColumn("n_chars", F.length("text").cast("bigint")).write.parquet(str(tmp_path / "documents.parquet"))
+    found = QUERIES["request_files"](spark, str(tmp_path)).collect()
+    assert sorted(r["id"] for r in found) == sorted(f"d{i}" for i in range(40))
+    alone = next(r["file"] for r in found if r["id"] == "d3")
+    assert [r["id"] for r in found if r["file"] == alone] == ["d3"]
+    body = next(r["body"] for r in found if r["id"] == "d3")
+    assert json.loads(body)["messages"][1]["content"].endswith("ab " * FILE_BYTES)
+
+
 def test_copies_of_one_request_are_spread(spark, settings):
     settings(spark__sql__adaptive__coalescePartitions__enabled="false", spark__sql__shuffle__partitions=6)
     lines = spark.range(9000).select(F.lit("a").alias("id"), F.lit("the same").alias("line"))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tracemill.functions.chat import message
 from tracemill.operators.running import running_start
-from tracemill.sources.staging import release, stage
+from tracemill.sources.staging import release_paths, shuffles_deleted, stage, staging_path, stored_tables
 
 # The texts and defaults of a generation request.
 SYSTEM_PROMPT = r"""You are generating supervised fine-tuning data for a reasoning model.
@@ -81,13 +81,20 @@ def request_lines(requests: DataFrame) -> DataFrame:
     return requests.select("id", line.alias("line"))
 
 
-def file_numbers(lines: DataFrame, max_rows: int = FILE_ROWS, max_bytes: int = FILE_BYTES) -> DataFrame:
+def file_numbers(
+    lines: DataFrame, max_rows: int = FILE_ROWS, max_bytes: int = FILE_BYTES, large_alone: bool = False
+) -> DataFrame:
     """``lines`` with the ``file`` that each goes to, in the order of their MD5.
 
     A line weighs its share of a file, by rows or by bytes, whichever is more; lines whose
     total weight fits into one file keep both bounds. Files are cut where the running weight
     passes the next multiple of what a file can hold besides the heaviest line, so no line
-    needs to know where the file before it ended. A line larger than a file is an error.
+    needs to know where the file before it ended.
+
+    A line larger than a file is an error, or with ``large_alone`` has a file of its own, the
+    only kind to pass ``max_bytes``. Where there is one, lines of more than half a file are
+    alone too, in files numbered after the others: besides the heaviest of the rest there is
+    half a file of room, so a line that just fits does not make all files small.
     """
     if max_rows < 1 or max_bytes < 1:
         raise ValueError("a file needs room for a row and a byte")
@@ -96,27 +103,55 @@ def file_numbers(lines: DataFrame, max_rows: int = FILE_ROWS, max_bytes: int = F
     rows = lines.select(
         "*", F.monotonically_increasing_id().alias("_row"), F.md5("line").alias("_digest"), weight.alias("_weight")
     )
-    rows = stage(rows, "request-lines")
-    heaviest = int(rows.agg(F.max("_weight")).first()[0] or 0)
+    rows = stage(rows, "request-lines", "zstd")
     room = max_rows * max_bytes
+    small = F.when(F.col("_weight") <= room // 2, F.col("_weight"))
+    heaviest, heaviest_small, total_small = (
+        int(found or 0) for found in rows.agg(F.max("_weight"), F.max(small), F.sum(small)).first()
+    )
+    alone, first_alone = F.lit(False), 0
     if heaviest > room:
-        raise ValueError(f"a request of {heaviest // max_rows} bytes is larger than a file of {max_bytes}")
-    light = rows.select("_digest", "_row", "_weight")
-    started = running_start(light, [], ["_digest", "_row"], "_weight", "_start")
+        if not large_alone:
+            raise ValueError(f"a request of {heaviest // max_rows} bytes is larger than a file of {max_bytes}")
+        alone, heaviest = F.col("_weight") > room // 2, heaviest_small
+        first_alone = -(-total_small // (room - heaviest))
     step = F.lit(max(room - heaviest, 1)).cast("decimal(38,0)")
-    numbered = started.select("_row", F.call_function("div", F.col("_start"), step).alias("file"))
+    amount = F.when(alone, F.lit(1).cast("decimal(38,0)")).otherwise(F.col("_weight"))
+    light = rows.select("_digest", "_row", alone.alias("_alone"), amount.alias("_amount"))
+    started = running_start(light, ["_alone"], ["_digest", "_row"], "_amount", "_start")
+    shared = F.call_function("div", F.col("_start"), step)
+    file = F.when(F.col("_alone"), F.col("_start").cast("bigint") + first_alone).otherwise(shared)
+    numbered = started.select("_row", file.alias("file"))
     return rows.join(numbered, "_row").drop("_row", "_digest", "_weight")
 
 
 def write_request_files(
-    requests: DataFrame, path: str, max_rows: int = FILE_ROWS, max_bytes: int = FILE_BYTES, overwrite: bool = False
+    requests: DataFrame,
+    path: str,
+    max_rows: int = FILE_ROWS,
+    max_bytes: int = FILE_BYTES,
+    overwrite: bool = False,
+    large_alone: bool = False,
 ) -> None:
     """JSON lines of ``id`` and ``body`` in files ``file=<number>/part-*`` within both bounds.
 
-    Every request is in exactly one file, copies too.
+    Every request is in exactly one file, copies too. A request larger than a file stops the
+    write, or with ``large_alone`` is the only one of its file.
     """
-    numbered = stage(file_numbers(request_lines(requests), max_rows, max_bytes), "request-files")
-    writer = numbered.select("file", "line").repartition("file").write.partitionBy("file")
-    # One task has all lines of a file, and no setting of the session may cut them again.
-    writer.option("maxRecordsPerFile", 0).mode("overwrite" if overwrite else "errorifexists").text(path)
-    release(numbered)
+    spark = requests.sparkSession
+    placed = staging_path(spark, "request-files")
+    with shuffles_deleted(spark):
+        with stored_tables() as earlier:
+            numbered = file_numbers(request_lines(requests), max_rows, max_bytes, large_alone)
+        # JSON has no tabs or line ends but escaped ones. No setting of the session may cut the files.
+        placing = F.concat_ws("\t", F.col("file").cast("string"), "line")
+        whole = numbered.select("file", "line").repartition("file").select(placing)
+        whole.write.option("maxRecordsPerFile", 0).text(placed, "gzip", "\n")
+        release_paths(spark, earlier)
+        # A gzip file is never split, so one task has all lines of a file, without another shuffle.
+        parts = F.split("value", "\t", 2)
+        lines = spark.read.text(placed, lineSep="\n")
+        lines = lines.select(parts[0].cast("bigint").alias("file"), parts[1].alias("line"))
+        writer = lines.write.partitionBy("file").mode("overwrite" if overwrite else "errorifexists")
+        writer.option("maxRecordsPerFile", 0).text(path)
+    release_paths(spark, [placed])

@@ -15,6 +15,7 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _local_folders: dict[str, str] = {}
 _watched: list[list[str]] = []
 
@@ -41,15 +42,26 @@ def staging_path(spark: SparkSession, label: str) -> str:
     return f"{staging_folder(spark)}/tracemill/{label}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
+def stage(df: DataFrame, label: str, compression: str | None = None) -> DataFrame:
     """Write ``df`` once as Parquet and return the table read back."""
     path = staging_path(df.sparkSession, label)
     for paths in _watched:
         paths.append(path)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def shuffles_deleted(spark: SparkSession) -> Iterator[None]:
+    """Inside, the shuffle files of a query are deleted as soon as it has ended."""
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(SHUFFLE_CLEANUP) if before is None else spark.conf.set(SHUFFLE_CLEANUP, before)
+
+
 @contextmanager
 def stored_tables() -> Iterator[list[str]]:
     """The paths of all tables stored inside, by whatever is called there."""

@@ -289,9 +289,9 @@ def request_rows_o_series(spark, sf):
 
 @query
 def request_files(spark, sf):
-    """Which file each request is in, read back from the files."""
+    """Which file each request is in, read back from the files; one larger than a file is alone."""
     path = staging_path(spark, "request-files")
-    tm.write_request_files(tm.request_rows(problems(spark, sf)), path, FILE_ROWS, FILE_BYTES)
+    tm.write_request_files(tm.request_rows(problems(spark, sf)), path, FILE_ROWS, FILE_BYTES, large_alone=True)
     return spark.read.schema("id string, body string, file bigint").json(path)
 
 
